@@ -1,16 +1,19 @@
 """Exact, interpolated percentiles (``PERCENTILE_CONT``) per group that stay distributed under heavy skew.
 
-Spark's ``percentile``/``median`` merge every distinct value of a group inside one reduce task, so a city holding a
-third of all rows would land in a single task. Here the work is split by value range instead:
-
-1. pre-aggregate ``(group, measure, value) → count`` (map-side combine; a hot group is spread by value hash);
-2. range-partition those pairs on ``(group, measure, value)`` — a hot group spans many partitions — and number each
-   row's running count inside its (partition, group) segment; the result is checkpointed to shared storage so the
-   sampled range bounds stay fixed and lineage is cut;
-3. per segment totals (≤ partitions + groups rows) give each segment's starting rank within its group;
-4. only the rows covering ranks ⌊p⌋ and ⌈p⌉, p = q·(n−1), are kept and interpolated.
-
-No task ever holds more than one range partition of pre-aggregated values, and nothing passes through the driver.
+Groups are split by size (rows per group, a cheap partial aggregate):
+
+* ordinary groups (≤ ``max_rows_in_task`` rows): Spark's exact ``percentile``. Its partial aggregate ships one
+  value→count map per group and map task; the final buffer of a group holds at most one entry per distinct value, so
+  memory per group is bounded by the threshold.
+* hot groups (more rows than that — "one city holds a third of all rows"): values are pre-aggregated to
+  ``(group, measure, value) → count`` (map-side combine), range-partitioned on ``(group, measure, value)`` so the hot
+  group spans many partitions, and each row gets its running count inside its (partition, group) segment. That result
+  is checkpointed to the shared checkpoint folder (fixing the sampled range bounds and cutting lineage). Per-segment
+  totals (≤ partitions + groups rows) give each segment's first rank; only the rows covering ranks ⌊p⌋ and ⌈p⌉,
+  p = q·(n−1), are kept and interpolated.
+
+No task holds more than the threshold's worth of one group's values, and nothing passes through the driver except the
+yes/no answer to "is any group hot?".
 """
 
 from __future__ import annotations
@@ -24,8 +27,27 @@ from pyspark.sql import functions as F
 from airshed.session import ensure_checkpoint_dir
 
 
+# Rows one group may bring into a single aggregation buffer (an entry is ~40 bytes).
+DEFAULT_MAX_ROWS_IN_TASK = 2_000_000
+
+
+def value_counts(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
+    """Long form ``(group…, _m, _v, _c)``: count of each distinct value of each measure; NULL values get count 0 so
+    an all-NULL group survives with no rank."""
+    measures = F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v"))
+                         for i, c in enumerate(value_cols)])
+    return (df.select(*group_cols, F.inline(measures))
+            .groupBy(*group_cols, "_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("_c", F.when(F.col("_v").isNull(), F.lit(0)).otherwise(F.col("_c"))))
+
+
+def _null_safe_keys(g: list[str], prefix: str):
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{i}")) for i, c in enumerate(g)])
+
+
 def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], q: float = 0.5,
-                     names: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                     names: Sequence[str] | None = None, num_partitions: int | None = None,
+                     max_rows_in_task: int = DEFAULT_MAX_ROWS_IN_TASK) -> DataFrame:
     """One row per group with the exact ``percentile_cont(q)`` of each value column (NULLs ignored).
 
     Groups whose values are all NULL yield NULL, like SQL. Grouping keys may be NULL (NULL forms one group).
@@ -34,17 +56,33 @@ def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Seque
         raise ValueError("q must be within [0, 1]")
     g = list(group_cols)
     names = list(names or [f"p{int(q * 100)}_{c}" for c in value_cols])
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(*g, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(value_cols)])
+    xs = [f"_x{i}" for i in range(len(value_cols))]
 
-    measures = F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v"))
-                         for i, c in enumerate(value_cols)])
-    counted = (df.select(*g, F.inline(measures))
-               .groupBy(*g, "_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
-               # NULL values keep their group alive but take no rank.
-               .withColumn("_c", F.when(F.col("_v").isNull(), F.lit(0)).otherwise(F.col("_c"))))
+    def in_buffer(d: DataFrame) -> DataFrame:
+        return d.groupBy(*g).agg(*[F.percentile(F.col(x), F.lit(float(q))).alias(n) for x, n in zip(xs, names)])
+
+    hot = (rows.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows_in_task)
+           .select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(g)]))
+    if hot.isEmpty():
+        return in_buffer(rows)
+    cool = rows.join(hot, _null_safe_keys(g, "_h"), "left_anti")
+    hot_rows = rows.join(hot, _null_safe_keys(g, "_h"), "left_semi")
+    return in_buffer(cool).unionByName(_ranged_percentile(value_counts(hot_rows, g, xs), g, q, names, num_partitions))
+
+
+def _left_by_group(base: DataFrame, wide: DataFrame, g: list[str], names: list[str]) -> DataFrame:
+    base = base.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(g)])
+    on = reduce(lambda a, b: a & b, [F.col(f"_b{i}").eqNullSafe(F.col(c)) for i, c in enumerate(g)])
+    return base.join(wide, on, "left").select(*[F.col(f"_b{i}").alias(c) for i, c in enumerate(g)],
+                                              *[F.col(n) for n in names])
 
+
+def _ranged_percentile(counted: DataFrame, g: list[str], q: float, names: list[str],
+                       num_partitions: int | None) -> DataFrame:
+    spark = counted.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     in_segment = Window.partitionBy("_pid", *g, "_m").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranged = (counted.repartitionByRange(parts, *g, "_m", "_v")
               .withColumn("_pid", F.spark_partition_id())
@@ -82,10 +120,7 @@ def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Seque
               .withColumn("_p", F.col("_v1") + (F.col("_pos") - F.col("_k1")) * (F.col("_v2") - F.col("_v1"))))
 
     wide = picked.groupBy(*g).agg(*[F.max(F.when(F.col("_m") == i, F.col("_p"))).alias(n) for i, n in enumerate(names)])
-    base = segments.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(g)]).distinct()
-    on = reduce(lambda a, b: a & b, [F.col(f"_b{i}").eqNullSafe(F.col(c)) for i, c in enumerate(g)])
-    return base.join(wide, on, "left").select(*[F.col(f"_b{i}").alias(c) for i, c in enumerate(g)],
-                                              *[F.col(n) for n in names])
+    return _left_by_group(segments.select(*g).distinct(), wide, g, names)
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
