@@ -775,6 +775,29 @@ def q_overview_kpis(spark, d):
     return _round(out, ["total_measure"])
 
 
+# ---------------------------------------------------------------------------------------------------------------------
+# Incremental ingest (rows-only check: a streaming run has no single SQL equivalent)
+
+@register("stream_ingest", None)
+def q_stream_ingest(spark, d):
+    """Two increments of ``events`` (before / after the midday cut) land as files in a fresh folder of the shared
+    checkpoint directory; an availableNow file stream merges them into a keyed table (insert-if-absent, one row per
+    (user, type, day)); the result is the loaded table, equal to a one-shot batch load of all events."""
+    import uuid
+
+    from airshed.session import shared_path
+    from airshed.streaming.ingest import incremental_ingest
+
+    root = shared_path(spark, "stream_ingest", uuid.uuid4().hex)
+    ev = Tables(spark, d).events.withColumn("date", F.to_date("ts")).select(*_EV_VALUES)
+    cut = F.lit(CUTOFF_MIDDAY).cast("timestamp_ntz")
+    ev.filter(F.col("ts") < cut).write.parquet(f"{root}/landing/part=1")
+    ev.filter(F.col("ts") >= cut).write.parquet(f"{root}/landing/part=2")
+    incremental_ingest(spark, f"{root}/landing", ev.schema, f"{root}/table", f"{root}/checkpoint", _EV_KEY,
+                       ["ts", "event_id"], source_format="parquet", files_per_trigger=1)
+    return spark.read.parquet(f"{root}/table")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: w.run for name, w in REGISTRY.items()}
 

@@ -1,0 +1,63 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from airshed.operators.percentile import exact_percentile
+
+
+def reference(rows, q):
+    out = {}
+    for g, v in rows:
+        out.setdefault(g, [])
+        if v is not None:
+            out[g].append(v)
+    return {g: (float(np.quantile(vs, q, method="linear")) if vs else None) for g, vs in out.items()}
+
+
+def fixture_rows():
+    rnd = random.Random(7)
+    rows = [("hot", rnd.random() * 100) for _ in range(3000)]          # one group holds most rows
+    rows += [("even", float(v)) for v in [1, 2, 3, 10]]                 # even count → interpolated 2.5
+    rows += [("single", 4.0), ("nulls", None), ("nulls", None), ("dups", 5.0), ("dups", 5.0), ("dups", 7.0)]
+    rows += [(None, 1.0), (None, 3.0)]                                  # NULL key is its own group
+    rows += [(f"g{i}", float(rnd.randint(0, 5))) for i in range(40) for _ in range(7)]
+    return rows
+
+
+@pytest.mark.parametrize("max_rows", [10_000_000, 50])
+@pytest.mark.parametrize("q", [0.5, 0.1, 0.9, 0.0, 1.0])
+def test_exact_percentile_matches_linear_interpolation(spark, max_rows, q):
+    rows = fixture_rows()
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["p"] for r in exact_percentile(df, ["g"], ["v"], q, ["p"], max_rows_in_task=max_rows).collect()}
+    want = reference(rows, q)
+    assert set(got) == set(want)
+    for g, w in want.items():
+        if w is None:
+            assert got[g] is None
+        else:
+            assert got[g] == pytest.approx(w, rel=1e-12, abs=1e-12), g
+
+
+def test_hot_path_spans_partitions_and_several_measures(spark):
+    rnd = random.Random(3)
+    rows = [("hot", rnd.random(), float(rnd.randint(0, 9))) for _ in range(5000)] + \
+           [("cold", float(i), None) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, a double, b double")
+    got = {r["g"]: (r["ma"], r["mb"]) for r in
+           exact_percentile(df, ["g"], ["a", "b"], 0.5, ["ma", "mb"], max_rows_in_task=100,
+                            num_partitions=16).collect()}
+    hot_a = float(np.median([r[1] for r in rows if r[0] == "hot"]))
+    hot_b = float(np.median([r[2] for r in rows if r[0] == "hot"]))
+    assert got["hot"][0] == pytest.approx(hot_a, rel=1e-12) and got["hot"][1] == pytest.approx(hot_b)
+    assert got["cold"] == (2.0, None)
+
+
+def test_median_between_min_and_max(spark):
+    df = spark.range(2000).select((F.col("id") % 13).alias("g"), (F.rand(5) * 1000).alias("v"))
+    med = exact_percentile(df, ["g"], ["v"], 0.5, ["m"], max_rows_in_task=60)
+    bounds = df.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    bad = med.join(bounds, "g").filter((F.col("m") < F.col("lo")) | (F.col("m") > F.col("hi"))).count()
+    assert bad == 0
