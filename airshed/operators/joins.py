@@ -55,7 +55,8 @@ def zip_lists(df: DataFrame, list_cols: Sequence[str], names: Sequence[str] | No
     names = list(names or list_cols)
     sizes = [F.size(c) for c in list_cols]
     same = reduce(lambda a, b: a & b, [s == sizes[0] for s in sizes[1:]], F.lit(True))
-    checked = df.withColumn("_zip_ok", F.assert_true(same, F.lit("parallel lists differ in length")))
     zipped = F.arrays_zip(*[F.col(c).alias(n) for c, n in zip(list_cols, names)])
+    # The check is part of the generated expression, so column pruning cannot drop it.
+    guarded = F.when(same, zipped).otherwise(F.raise_error(F.lit("parallel lists differ in length")))
     rest = [c for c in df.columns if c not in list_cols]
-    return checked.select(*rest, F.inline(zipped))
+    return df.select(*rest, F.inline(guarded))
