@@ -56,12 +56,14 @@ def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType,
                        checkpoint_path: str, keys: Sequence[str], order_cols: Sequence[str],
                        source_format: str = "parquet", glob: str | None = None, files_per_trigger: int | None = None,
                        transform: Callable[[DataFrame], DataFrame] | None = None,
-                       mode: str = "insert_if_absent") -> None:
+                       mode: str = "insert_if_absent", recursive: bool = True) -> None:
     """Process every file not yet seen under ``source_dir`` and merge it into ``target_path``; returns when done.
 
     ``transform`` maps raw rows to warehouse rows (e.g. flight flattening); it runs inside each micro-batch.
     """
     reader = spark.readStream.schema(schema).format(source_format)
+    if recursive:  # landing folders (day, city) are plain directories, not key=value partitions
+        reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger:

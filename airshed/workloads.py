@@ -791,10 +791,10 @@ def q_stream_ingest(spark, d):
     root = shared_path(spark, "stream_ingest", uuid.uuid4().hex)
     ev = Tables(spark, d).events.withColumn("date", F.to_date("ts")).select(*_EV_VALUES)
     cut = F.lit(CUTOFF_MIDDAY).cast("timestamp_ntz")
-    ev.filter(F.col("ts") < cut).write.parquet(f"{root}/landing/part=1")
-    ev.filter(F.col("ts") >= cut).write.parquet(f"{root}/landing/part=2")
-    incremental_ingest(spark, f"{root}/landing", ev.schema, f"{root}/table", f"{root}/checkpoint", _EV_KEY,
-                       ["ts", "event_id"], source_format="parquet", files_per_trigger=1)
+    for i, part in enumerate([ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)], start=1):
+        part.write.parquet(f"{root}/landing/increment-{i}")          # a new day of files lands …
+        incremental_ingest(spark, f"{root}/landing", ev.schema, f"{root}/table", f"{root}/checkpoint", _EV_KEY,
+                           ["ts", "event_id"], source_format="parquet")   # … and the scheduled run picks it up
     return spark.read.parquet(f"{root}/table")
 
 
