@@ -127,3 +127,32 @@ def staged_rewrite(df: DataFrame, spark_path_hint: str = "stage", fmt: str = "pa
     path = shared_path(df.sparkSession, "staging", f"{spark_path_hint}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").format(fmt).save(path)
     return df.sparkSession.read.format(fmt).load(path)
+
+
+def upsert_table(target_path: str, batch: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+                 partition_col: str, fmt: str = "parquet") -> None:
+    """Upsert ``batch`` into a table partitioned by ``partition_col`` (a function of the key, e.g. the day of the
+    observation timestamp), rewriting only the partitions the batch touches.
+
+    The touched partitions are read through a semi join on the partition column (dynamic partition pruning), merged
+    with :func:`upsert_latest`, staged in the shared checkpoint folder (the source of the rewrite must not be the
+    files being replaced) and written back with dynamic partition overwrite. Untouched partitions are never read.
+    """
+    spark = batch.sparkSession
+    try:
+        target = spark.read.format(fmt).load(target_path)
+    except Exception:  # first load: nothing to merge with
+        target = None
+    if target is None:
+        merged = upsert_latest(batch.limit(0), batch, keys, order_cols)
+    else:
+        touched = batch.select(partition_col).distinct()
+        merged = upsert_latest(target.join(touched, [partition_col], "left_semi"), batch.select(*target.columns),
+                               keys, order_cols)
+    staged = staged_rewrite(merged, "upsert")
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        staged.write.mode("overwrite").partitionBy(partition_col).format(fmt).save(target_path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)

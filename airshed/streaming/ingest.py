@@ -9,14 +9,13 @@ merge itself; an optional in-stream dedupe uses ``dropDuplicatesWithinWatermark`
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from airshed.operators.sinks import insert_if_absent, upsert_latest
+from airshed.operators.sinks import insert_if_absent, upsert_table
 
 
 def _path_has_data(spark: SparkSession, path: str) -> bool:
@@ -28,35 +27,29 @@ def _path_has_data(spark: SparkSession, path: str) -> bool:
 
 
 def merge_batch(batch: DataFrame, target_path: str, keys: Sequence[str], order_cols: Sequence[str],
-                mode: str = "insert_if_absent") -> None:
+                mode: str = "insert_if_absent", keep: str = "first", partition_col: str | None = None) -> None:
     """Merge one micro-batch into a Parquet table.
 
-    ``insert_if_absent``: only rows with new keys are appended (existing keys win). ``upsert``: the merged table is
-    rewritten through a staging folder next to the target (last write wins)."""
+    ``insert_if_absent``: only rows with new keys are appended (existing keys win). ``upsert``: last write wins;
+    only the partitions (``partition_col``) the batch touches are rewritten."""
     spark = batch.sparkSession
-    if not _path_has_data(spark, target_path):
-        empty = batch.limit(0)
-        first = (upsert_latest(empty, batch, keys, order_cols) if mode == "upsert"
-                 else insert_if_absent(empty, batch, keys, order_cols))
-        first.write.mode("append").parquet(target_path)
+    if mode == "upsert":
+        if partition_col is None:
+            raise ValueError("upsert needs the partition column the key determines")
+        upsert_table(target_path, batch, keys, order_cols, partition_col)
         return
-    target = spark.read.parquet(target_path)
-    if mode == "insert_if_absent":
-        insert_if_absent(target, batch, keys, order_cols).write.mode("append").parquet(target_path)
-    elif mode == "upsert":
-        merged = upsert_latest(target, batch, keys, order_cols)
-        staging = target_path.rstrip("/") + f".staging-{uuid.uuid4().hex}"
-        merged.write.mode("overwrite").parquet(staging)
-        spark.read.parquet(staging).write.mode("overwrite").parquet(target_path)
-    else:
+    if mode != "insert_if_absent":
         raise ValueError("mode must be 'insert_if_absent' or 'upsert'")
+    target = spark.read.parquet(target_path) if _path_has_data(spark, target_path) else batch.limit(0)
+    insert_if_absent(target, batch, keys, order_cols, keep).write.mode("append").parquet(target_path)
 
 
 def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType, target_path: str,
                        checkpoint_path: str, keys: Sequence[str], order_cols: Sequence[str],
                        source_format: str = "parquet", glob: str | None = None, files_per_trigger: int | None = None,
                        transform: Callable[[DataFrame], DataFrame] | None = None,
-                       mode: str = "insert_if_absent", recursive: bool = True) -> None:
+                       mode: str = "insert_if_absent", recursive: bool = True, keep: str = "first",
+                       partition_col: str | None = None) -> None:
     """Process every file not yet seen under ``source_dir`` and merge it into ``target_path``; returns when done.
 
     ``transform`` maps raw rows to warehouse rows (e.g. flight flattening); it runs inside each micro-batch.
@@ -72,7 +65,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType,
 
     def sink(batch: DataFrame, _batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        merge_batch(rows, target_path, keys, order_cols, mode)
+        merge_batch(rows, target_path, keys, order_cols, mode, keep, partition_col)
 
     query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True).start())

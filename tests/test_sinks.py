@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +72,15 @@ def test_union_history_and_staging(spark):
     assert rows(u.select("slice", "id", "extra")) == [("history", 1, None), ("new", 2, 5.0)]
     staged = sinks.staged_rewrite(u, "hist")
     assert staged.count() == 2
+
+
+def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_dir):
+    path = f"{tmp_dir}/weather"
+    first = spark.createDataFrame([("a", 1, 1, "d1"), ("b", 2, 1, "d2")], "k1 string, day int, seq int, v string")
+    sinks.upsert_table(path, first, ["k1", "day"], ["seq"], "day")
+    untouched = sorted(os.listdir(f"{path}/day=2"))
+    second = spark.createDataFrame([("a", 1, 2, "d1-new"), ("c", 3, 1, "d3")], "k1 string, day int, seq int, v string")
+    sinks.upsert_table(path, second, ["k1", "day"], ["seq"], "day")
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k1", "day", "v").collect())
+    assert got == [("a", 1, "d1-new"), ("b", 2, "d2"), ("c", 3, "d3")]
+    assert sorted(os.listdir(f"{path}/day=2")) == untouched            # day 2 files were not rewritten
