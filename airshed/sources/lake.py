@@ -362,6 +362,21 @@ def filter_lookup(pairs: DataFrame, city: str = "city", country: str = "country"
     return pairs.select(city, country, kept.alias("airports")).filter(F.size("airports") > 0)
 
 
+def lookup_codes(filtered: DataFrame, code_field: str = "codeIataAirport") -> DataFrame:
+    """All airport codes over all cities of a filtered lookup, non-empty ones only; duplicates are kept."""
+    codes = filtered.select(F.explode("airports").alias("_a")).select(F.col("_a")[code_field].alias("code"))
+    return codes.filter(F.col("code").isNotNull() & (F.col("code") != ""))
+
+
+def geocode_first_hit(answers: DataFrame, city: str = "city", payload: str = "payload") -> DataFrame:
+    """Landed geocoder answers (a JSON array of hits per city) → the first hit's lat/lon; a city without hits is
+    dropped."""
+    hits = F.from_json(F.col(payload), "array<struct<name string, lat double, lon double, country string>>")
+    first = F.get(hits, 0)
+    return answers.select(F.col(city).alias("city_name"), first["lat"].alias("lat"), first["lon"].alias("lon")) \
+        .filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # File selection, latest file, lake writer
 

@@ -243,3 +243,15 @@ def test_latest_file_and_lake_writer(spark, tmp_dir):
     df = spark.createDataFrame([("Paris", "2024-01-01", 1)], "city string, day string, n int")
     lake.write_lake_json(df, os.path.join(tmp_dir, "out"), ["city", "day"])
     assert os.path.isdir(os.path.join(tmp_dir, "out", "city=Paris", "day=2024-01-01"))
+
+
+def test_lookup_codes_and_geocoder(spark):
+    ans = json.dumps({"airportsByCities": [{"nameCountry": "France", "codeIcaoAirport": "LFPG", "codeIataAirport": "CDG"},
+                                           {"nameCountry": "France", "codeIcaoAirport": "LFPO", "codeIataAirport": ""}]})
+    pairs = spark.createDataFrame([("Paris", "France", ans), ("Paris", "France", ans)],
+                                  "city string, country string, payload string")
+    assert [r["code"] for r in lake.lookup_codes(lake.filter_lookup(pairs)).collect()] == ["CDG", "CDG"]
+    geo = spark.createDataFrame([("Paris", json.dumps([{"name": "Paris", "lat": 48.8, "lon": 2.3},
+                                                       {"name": "Paris TX", "lat": 33.6, "lon": -95.5}])),
+                                 ("Atlantis", "[]")], "city string, payload string")
+    assert [tuple(r) for r in lake.geocode_first_hit(geo).collect()] == [("Paris", 48.8, 2.3)]
