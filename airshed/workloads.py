@@ -753,7 +753,7 @@ def _limits_sql() -> str:
 @register("limit_exceedance", f"""
 WITH lim(event_type, limit_value) AS (VALUES {_limits_sql()}),
 daily AS (SELECT event_type, CAST(ts AS DATE) AS date, MAX(value) AS value FROM events GROUP BY 1, 2)
-SELECT d.event_type, COUNT(*) AS n_days, COUNT_IF(d.value > l.limit_value) AS n_days_over,
+SELECT d.event_type, COUNT(*) AS n_days, CAST(COUNT_IF(d.value > l.limit_value) AS BIGINT) AS n_days_over,
        ROUND(COUNT_IF(d.value > l.limit_value) / COUNT(*), 6) AS share_over
 FROM daily d JOIN lim l ON d.event_type = l.event_type GROUP BY 1
 """)
