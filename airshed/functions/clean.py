@@ -102,6 +102,14 @@ def allow_list(c, values: Sequence) -> Column:
     return F.lit(True) if not values else as_col(c).isin(list(values))
 
 
+def flow_quality(jam_factor, functional_class=None, lo: float = 0.0, hi: float = 9.9,
+                 classes: Sequence[int] = (1, 2, 3)) -> Column:
+    """Road-flow quality predicate: jam factor within [lo, hi] and (when the field exists) a functional class in
+    ``classes``."""
+    ok = as_col(jam_factor).between(lo, hi)
+    return ok if functional_class is None else ok & as_col(functional_class).isin(list(classes))
+
+
 def has_key(json_text, key: str) -> Column:
     """Key presence in a JSON object text, even when the value is null; NULL for non-objects."""
     return F.array_contains(F.json_object_keys(as_col(json_text)), F.lit(key))

@@ -35,6 +35,11 @@ def explode_segments(df: DataFrame, start, end, width_days: int = 7, inclusive_t
                     F.least(F.date_add("seg_start", width_days - 1), F.col("_end")).alias("seg_end")))
 
 
+def daily_segment(df: DataFrame, day, keep: Sequence[str] | None = None) -> DataFrame:
+    """The single-day segment (start = end = ``day``) used by scheduled daily runs."""
+    return explode_segments(df, day, day, 1, inclusive_tail=True, keep=keep)
+
+
 def segment_plan(df: DataFrame, entity: Sequence[str], ts, width_days: int = 7,
                  inclusive_tail: bool = False) -> DataFrame:
     """Per entity: the date range it covers in the facts, cut into numbered segments."""

@@ -1,0 +1,90 @@
+"""End to end: lake files → warehouse tables → refreshed views, including re-runs."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from airshed.plans import jobs
+
+
+def write(path, obj):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(json.dumps(obj))
+
+
+def flight(num, dep_code, arr_code, dep_actual, arr_actual, status):
+    return {"type": "x", "status": status,
+            "departure": {"iataCode": dep_code, "delay": "3", "scheduledTime": dep_actual, "actualTime": dep_actual},
+            "arrival": {"iataCode": arr_code, "delay": None, "scheduledTime": arr_actual, "actualTime": arr_actual,
+                        "estimatedTime": arr_actual},
+            "airline": {"name": "A", "iataCode": "AA"}, "flight": {"number": num, "iataNumber": f"AA{num}"}}
+
+
+def epoch(h, d=1):
+    return int(dt.datetime(2024, 1, d, h, tzinfo=dt.timezone.utc).timestamp())
+
+
+@pytest.fixture()
+def lake_root(tmp_dir):
+    r = tmp_dir
+    arr = [flight("1", "LHR", "CDG", "2024-01-01T04:00:00.000", "2024-01-01T06:10:00.000", "landed"),
+           flight("1", "LHR", "CDG", "2024-01-01T04:00:00.000", "2024-01-01T06:10:00.000", "landed"),  # repeat
+           flight("2", "MAD", "CDG", "2024-01-01T05:00:00.000", "2024-01-01T07:20:00.000", "landed"),
+           flight("3", "FCO", "ORY", "2024-01-01T05:30:00.000", "2024-01-01T08:00:00.000", "landed")]
+    write(f"{r}/lake/arrivals/Paris/CDG_2024-01-01.json", arr)
+    dep = [flight("9", "CDG", "JFK", "2024-01-01T06:30:00.000", "2024-01-01T14:00:00.000", "active")]
+    write(f"{r}/lake/departures/Paris/CDG_2024-01-01.json", dep)
+    road = [{"location": {"description": "R1", "length": 10.0}, "currentFlow": {"speed": 30.0, "freeFlow": 50.0,
+                                                                                "jamFactor": 1.0}},
+            {"location": {"description": "R2", "length": 10.0}, "currentFlow": {"speed": 40.0, "freeFlow": 60.0,
+                                                                                "jamFactor": 3.0}}]
+    write(f"{r}/lake/road/2024-01-01/Paris_2024-01-01T05--00--00_2024-01-01T08--00--00.json", road)
+    comps = {p: 1.0 for p in ["co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3"]}
+    write(f"{r}/landed/pollution/Paris/a.json", {"list": [
+        {"dt": epoch(6), "main": {"aqi": 2}, "components": comps},
+        {"dt": epoch(7), "main": {"aqi": 4}, "components": dict(comps, no2=9.0)}]})
+    write(f"{r}/landed/weather/Paris/a.json", {"list": [
+        {"dt": epoch(6), "main": {"temp": 1.0, "humidity": 80, "pressure": 1000}, "wind": {"speed": 2.0},
+         "weather": [{"main": "Mist", "description": "mist"}]},
+        {"dt": epoch(8), "main": {"temp": 3.0, "humidity": 60, "pressure": 1010}, "wind": {"speed": 4.0},
+         "weather": [{"main": "Clear", "description": "clear sky"}]}]})
+    airport = lambda code: {"GMT": "1", "codeIataAirport": code, "codeIataCity": "PAR", "codeIcaoAirport": "X",  # noqa
+                            "codeIso2Country": "FR", "latitudeAirport": "48.0", "longitudeAirport": "2.0",
+                            "nameAirport": code, "nameCountry": "France", "phone": None, "timezone": "Europe/Paris"}
+    write(f"{r}/lake/airports/airport_per_city.json", {"Paris": [airport("CDG"), airport("ORY")]})
+    return r
+
+
+def test_jobs_end_to_end(spark, lake_root):
+    r = lake_root
+    wh = jobs.Warehouse(f"{r}/warehouse")
+    jobs.load_airports(spark, wh, f"{r}/lake/airports")
+    jobs.load_flights(spark, wh, f"{r}/lake/arrivals", "arrival", day="2024-01-01")
+    jobs.load_flights(spark, wh, f"{r}/lake/departures", "departure", day="2024-01-01")
+    jobs.load_road(spark, wh, f"{r}/lake/road")
+    jobs.load_observations(spark, wh, f"{r}/landed/pollution", "pollution", history_dir=f"{r}/history/pollution")
+    jobs.load_observations(spark, wh, f"{r}/landed/weather", "weather")
+    report = jobs.refresh_all(spark, wh, f"{r}/views")
+    assert report.ok and len(report.refreshed) == 6, report
+    m = spark.read.parquet(f"{r}/views/master_view_v").collect()
+    assert len(m) == 1
+    p = m[0].asDict()
+    assert (p["city"], p["date"], p["no_arrivals"], p["no_departures"], p["no_total_flights"]) == \
+        ("Paris", dt.date(2024, 1, 1), 3, 1, 4)
+    assert (p["median_speed"], p["air_quality_index"], p["no2"], p["temperature"], p["weather_main"]) == \
+        (35.0, 4, 9.0, 2.0, "Clear")
+
+    # re-runs: flights are idempotent, a repeated road window is refused, observations are upserted
+    jobs.load_flights(spark, wh, f"{r}/lake/arrivals", "arrival", day="2024-01-01")
+    assert spark.read.parquet(wh.path("arrivals")).count() == 3
+    with pytest.raises(ValueError, match="conflicting keys"):
+        jobs.load_road(spark, wh, f"{r}/lake/road")
+    comps = {p: 5.0 for p in ["co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3"]}
+    write(f"{r}/landed/pollution2/Paris/b.json", {"list": [{"dt": epoch(7), "main": {"aqi": 1}, "components": comps}]})
+    jobs.load_observations(spark, wh, f"{r}/landed/pollution2", "pollution")
+    pol = {r_["timestamp"]: r_["air_quality_index"] for r_ in spark.read.parquet(wh.path("air_pollution_data")).collect()}
+    assert pol == {epoch(6): 2, epoch(7): 1}
+    assert os.path.isdir(f"{r}/history/pollution/day=2024-01-01")

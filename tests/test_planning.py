@@ -72,3 +72,12 @@ def test_day_range_and_rolling_weeks(spark):
     wk = spark.range(1).select(planning.rolling_weeks(F.lit(dt.datetime(2024, 12, 31)), 52).alias("w")).first()["w"]
     assert len(wk) == 52 and wk[-1]["week_end"] == dt.datetime(2024, 12, 31)
     assert wk[0]["week_start"] == dt.datetime(2024, 12, 31) - dt.timedelta(days=364)
+
+
+def test_daily_segment_and_flow_quality(spark):
+    from airshed.functions.clean import flow_quality
+    df = spark.createDataFrame([(D(2024, 1, 5),)], "d date")
+    assert [tuple(r) for r in planning.daily_segment(df, "d").collect()] == [(D(2024, 1, 5), 1, D(2024, 1, 5),
+                                                                              D(2024, 1, 5))]
+    q = spark.createDataFrame([(0.0, 1), (9.9, 3), (10.0, 1), (5.0, 4), (None, 1)], "j double, fc int")
+    assert [r["ok"] for r in q.select(flow_quality("j", "fc").alias("ok")).collect()] == [True, True, False, False, None]
