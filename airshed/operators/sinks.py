@@ -78,12 +78,18 @@ def rejected_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return batch.filter(any_null(keys))
 
 
-def strict_append_conflicts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def strict_append_conflicts(target: DataFrame, batch: DataFrame, keys: Sequence[str],
+                            prune_col: str | None = None) -> DataFrame:
     """Keys that would make a strict (COPY-style) append fail: repeated inside the batch or already in the target.
 
-    Both sides are reduced to one row per key by partial aggregation before they meet.
+    Both sides are reduced to one row per key by partial aggregation before they meet. ``prune_col`` (a key column)
+    limits the target scan to the batch's range of that column.
     """
     batch_keys = batch.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_batch"))
+    if prune_col is not None:
+        lo = batch.select(F.min(prune_col)).scalar()
+        hi = batch.select(F.max(prune_col)).scalar()
+        target = target.filter(F.col(prune_col).between(lo, hi))
     target_keys = target.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_target"))
     report = batch_keys.join(target_keys, list(keys), "left")
     return (report.select(*keys, "n_batch", F.coalesce(F.col("n_target"), F.lit(0)).alias("n_target"))
@@ -100,9 +106,9 @@ def union_history(history: DataFrame, new: DataFrame, slice_col: str | None = No
 
 
 def strict_append(target_path: str, target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                  fmt: str = "parquet") -> None:
+                  fmt: str = "parquet", prune_col: str | None = None) -> None:
     """Append ``batch`` only when no key collides; otherwise raise with the number of conflicting keys."""
-    conflicts = strict_append_conflicts(target, batch, keys)
+    conflicts = strict_append_conflicts(target, batch, keys, prune_col)
     if not conflicts.isEmpty():
         raise ValueError(f"strict append refused: {conflicts.count()} conflicting keys")
     batch.write.mode("append").format(fmt).save(target_path)
@@ -134,7 +140,7 @@ def upsert_table(target_path: str, batch: DataFrame, keys: Sequence[str], order_
     """Upsert ``batch`` into a table partitioned by ``partition_col`` (a function of the key, e.g. the day of the
     observation timestamp), rewriting only the partitions the batch touches.
 
-    The touched partitions are read through a semi join on the partition column (dynamic partition pruning), merged
+    The touched partitions are read (partition filters from the batch's range, then a semi join), merged
     with :func:`upsert_latest`, staged in the shared checkpoint folder (the source of the rewrite must not be the
     files being replaced) and written back with dynamic partition overwrite. Untouched partitions are never read.
     """
@@ -146,9 +152,13 @@ def upsert_table(target_path: str, batch: DataFrame, keys: Sequence[str], order_
     if target is None:
         merged = upsert_latest(batch.limit(0), batch, keys, order_cols)
     else:
+        # The [min, max] range enters the scan's partition filters (scalar subqueries are evaluated before files
+        # are listed); the semi join then keeps exactly the touched partitions.
+        lo = batch.select(F.min(partition_col)).scalar()
+        hi = batch.select(F.max(partition_col)).scalar()
         touched = batch.select(partition_col).distinct()
-        merged = upsert_latest(target.join(touched, [partition_col], "left_semi"), batch.select(*target.columns),
-                               keys, order_cols)
+        scoped = target.filter(F.col(partition_col).between(lo, hi)).join(touched, [partition_col], "left_semi")
+        merged = upsert_latest(scoped, batch.select(*target.columns), keys, order_cols)
     staged = staged_rewrite(merged, "upsert")
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

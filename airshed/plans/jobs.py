@@ -89,7 +89,8 @@ def load_road(spark: SparkSession, wh: Warehouse, lake_dir: str, glob: str = "*.
     if target is None:
         per_road.limit(0).write.mode("append").parquet(wh.path("road_traffic"))
         target = wh.read(spark, "road_traffic")
-    strict_append(wh.path("road_traffic"), target, per_road.select(*target.columns), TABLE_KEYS["road_traffic"])
+    strict_append(wh.path("road_traffic"), target, per_road.select(*target.columns), TABLE_KEYS["road_traffic"],
+                  prune_col="date")
 
 
 def load_airports(spark: SparkSession, wh: Warehouse, airport_map_dir: str) -> None:
