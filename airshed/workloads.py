@@ -234,6 +234,37 @@ def q_weighted_avg(spark, d):
     return _round(out, ["l_discount", "l_tax", "l_extendedprice"])
 
 
+@register("road_traffic_view", f"""
+WITH road AS (
+  SELECT l.l_shipdate AS date, n.n_name AS city, CAST(l.l_partkey AS VARCHAR) AS road, l.l_quantity AS length,
+         l.l_discount AS speed, l.l_tax AS freeflow, l.l_extendedprice AS jamfactor
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey),
+per_road AS (
+  SELECT date, city, road, SUM(length) AS length,
+         COALESCE(SUM(speed * length), 0) / NULLIF(SUM(length), 0) AS speed,
+         COALESCE(SUM(freeflow * length), 0) / NULLIF(SUM(length), 0) AS freeflow,
+         COALESCE(SUM(jamfactor * length), 0) / NULLIF(SUM(length), 0) AS jamfactor
+  FROM road WHERE date IS NOT NULL AND city IS NOT NULL AND road IS NOT NULL GROUP BY 1, 2, 3)
+SELECT {_sql_synonyms('city', NATION_SYNONYMS)} AS city, CAST(date AS DATE) AS traffic_date,
+       ROUND(quantile_cont(speed, 0.5), 6) AS median_speed, ROUND(quantile_cont(freeflow, 0.5), 6) AS median_freeflow,
+       ROUND(quantile_cont(jamfactor, 0.5), 6) AS median_jam
+FROM per_road GROUP BY 1, 2
+""")
+def q_road_traffic_view(spark, d):
+    """Road loader + road view on lineitem: per (ship time, supplier nation, part) quantity-weighted means, then the
+    synonym CASE on the nation and exact medians per (nation, day)."""
+    t = Tables(spark, d)
+    nation = F.broadcast(t.nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("city")))
+    supplier = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    road = (t.lineitem.join(supplier, "l_suppkey").join(nation, "s_nationkey")
+            .select(F.col("l_shipdate").alias("date"), "city", F.col("l_partkey").cast("string").alias("road"),
+                    F.col("l_quantity").alias("length"), F.col("l_discount").alias("speed"),
+                    F.col("l_tax").alias("freeflow"), F.col("l_extendedprice").alias("jamfactor")))
+    per_road = agg.weighted_means(road, ["date", "city", "road"], "length", ["speed", "freeflow", "jamfactor"])
+    out = views.road_traffic_view(per_road, synonyms=NATION_SYNONYMS)
+    return _round(out, views.ROAD_MEDIANS)
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # Latest-per-key
 
