@@ -2,9 +2,8 @@
 
 Groups are split by size (rows per group, a cheap partial aggregate):
 
-* ordinary groups (≤ ``max_rows_in_task`` rows): Spark's exact ``percentile``. Its partial aggregate ships one
-  value→count map per group and map task; the final buffer of a group holds at most one entry per distinct value, so
-  memory per group is bounded by the threshold.
+* ordinary groups (≤ ``max_rows_in_task`` rows): rows are clustered by group and Spark's exact ``percentile`` builds
+  one buffer per group (at most one entry per distinct value), so memory per group is bounded by the threshold.
 * hot groups (more rows than that — "one city holds a third of all rows"): values are pre-aggregated to
   ``(group, measure, value) → count`` (map-side combine), range-partitioned on ``(group, measure, value)`` so the hot
   group spans many partitions, and each row gets its running count inside its (partition, group) segment. That result
@@ -18,13 +17,14 @@ yes/no answer to "is any group hot?".
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.session import ensure_checkpoint_dir
+from airshed.session import ensure_checkpoint_dir, shared_path
 
 
 # Rows one group may bring into a single aggregation buffer (an entry is ~40 bytes).
@@ -47,10 +47,13 @@ def _null_safe_keys(g: list[str], prefix: str):
 
 def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], q: float = 0.5,
                      names: Sequence[str] | None = None, num_partitions: int | None = None,
-                     max_rows_in_task: int = DEFAULT_MAX_ROWS_IN_TASK) -> DataFrame:
+                     max_rows_in_task: int = DEFAULT_MAX_ROWS_IN_TASK, materialize_input: bool = False) -> DataFrame:
     """One row per group with the exact ``percentile_cont(q)`` of each value column (NULLs ignored).
 
     Groups whose values are all NULL yield NULL, like SQL. Grouping keys may be NULL (NULL forms one group).
+    The hot-group test reads the input once more; when the input is an expensive derivation (joins, aggregates)
+    rather than a table scan, ``materialize_input`` writes its (group, value) columns once as a staged Parquet table
+    in the shared checkpoint folder so both passes read that copy.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be within [0, 1]")
@@ -58,9 +61,14 @@ def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Seque
     names = list(names or [f"p{int(q * 100)}_{c}" for c in value_cols])
     rows = df.select(*g, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(value_cols)])
     xs = [f"_x{i}" for i in range(len(value_cols))]
+    if materialize_input:
+        rows = _staged(rows)
 
     def in_buffer(d: DataFrame) -> DataFrame:
-        return d.groupBy(*g).agg(*[F.percentile(F.col(x), F.lit(float(q))).alias(n) for x, n in zip(xs, names)])
+        # Every group on this path has at most ``max_rows_in_task`` rows, so the rows are clustered by group first and
+        # each group's value buffer is built once, in one task (no per-map-task partial buffers to serialise).
+        return d.repartition(*g).groupBy(*g).agg(*[F.percentile(F.col(x), F.lit(float(q))).alias(n)
+                                                   for x, n in zip(xs, names)])
 
     hot = (rows.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows_in_task)
            .select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(g)]))
@@ -71,6 +79,13 @@ def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Seque
     return in_buffer(cool).unionByName(_ranged_percentile(value_counts(hot_rows, g, xs), g, q, names, num_partitions))
 
 
+def _staged(df: DataFrame) -> DataFrame:
+    """Write once to a fresh folder under the shared checkpoint directory and read back (lineage cut, one pass)."""
+    path = shared_path(df.sparkSession, "staging", f"percentile-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _left_by_group(base: DataFrame, wide: DataFrame, g: list[str], names: list[str]) -> DataFrame:
     base = base.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(g)])
     on = reduce(lambda a, b: a & b, [F.col(f"_b{i}").eqNullSafe(F.col(c)) for i, c in enumerate(g)])

@@ -62,11 +62,12 @@ def city_airports_view(airports: DataFrame, city="city_name", country_code="code
 
 def road_traffic_view(road: DataFrame, city="city", ts="date", measures: Sequence[str] = tuple(ROAD_MEASURES),
                       names: Sequence[str] = tuple(ROAD_MEDIANS),
-                      synonyms: Mapping[str, str] = CITY_SYNONYMS) -> DataFrame:
+                      synonyms: Mapping[str, str] = CITY_SYNONYMS, materialize_input: bool = False) -> DataFrame:
     """Exact interpolated medians of the road measures per (normalised city, day)."""
     normalised = road.select(synonym_case(city, synonyms).alias("city"), F.to_date(F.col(ts)).alias("traffic_date"),
                              *[F.col(m) for m in measures])
-    return exact_percentile(normalised, ["city", "traffic_date"], list(measures), 0.5, list(names))
+    return exact_percentile(normalised, ["city", "traffic_date"], list(measures), 0.5, list(names),
+                            materialize_input=materialize_input)
 
 
 def air_pollution_view(pollution: DataFrame, pollutants: Sequence[str] = tuple(POLLUTANTS)) -> DataFrame:
