@@ -21,21 +21,35 @@ def to_ntz(c) -> Column:
     return as_col(c).cast("timestamp_ntz")
 
 
+def parse_iso_ntz(text, sep: str = "T", fraction: str = "optional") -> Column:
+    """``yyyy-MM-dd<sep>HH:mm:ss[.f…]`` text → TIMESTAMP_NTZ built from its parts, NULL when unparsable.
+
+    ``fraction``: 'required' (1–6 digits must follow the seconds), 'optional', or 'none'. The value never passes
+    through the session time zone, so wall-clock times inside a daylight-saving gap of that zone stay intact.
+    """
+    frac = {"required": r"\.(\d{1,6})", "optional": r"(?:\.(\d{1,6}))?", "none": "()"}[fraction]
+    pattern = rf"^(\d{{4}})-(\d{{2}})-(\d{{2}}){sep}(\d{{2}}):(\d{{2}}):(\d{{2}}){frac}$"
+    s = as_col(text)
+    part = lambda i: F.regexp_extract(s, pattern, i)
+    seconds = F.concat(part(6), F.lit("."), F.rpad(part(7), 6, "0")).cast("decimal(8,6)")
+    built = F.try_make_timestamp_ntz(part(1).cast("int"), part(2).cast("int"), part(3).cast("int"),
+                                     part(4).cast("int"), part(5).cast("int"), seconds)
+    return F.when(s.rlike(pattern), built)
+
+
 def parse_flight_ts(text, strict_fraction: bool = True) -> Column:
     """Parse a flight time string; a lower-case 't' separator is accepted; failure yields NULL.
 
     With ``strict_fraction`` (the loader behaviour) a value without a fractional second counts as unparsable. The
-    pattern accepts one to six fraction digits.
+    fraction may have one to six digits.
     """
     fixed = F.translate(as_col(text), "t", "T")
-    parsed = F.try_to_timestamp(fixed, F.lit(FLIGHT_TS_FORMAT))
-    if not strict_fraction:
-        parsed = F.coalesce(parsed, F.try_to_timestamp(fixed, F.lit(FLIGHT_TS_FORMAT_NO_FRACTION)))
-    return to_ntz(parsed)
+    return parse_iso_ntz(fixed, "T", "required" if strict_fraction else "optional")
 
 
 def parse_ts_multi(text, formats: list[str], strict: bool = False) -> Column:
-    """Try each format in order; with ``strict`` an unparsable non-NULL value raises instead of yielding NULL."""
+    """Try each Spark datetime pattern in order; with ``strict`` an unparsable non-NULL value raises instead of
+    yielding NULL. (Patterns are parsed in the session zone, which this package pins to UTC.)"""
     s = as_col(text)
     parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats])
     if strict:
@@ -51,18 +65,21 @@ def hour_in_window(ts, lo: int = 6, hi: int = 9, inclusive_hi: bool = True) -> C
 
 
 def hour_trunc(ts) -> Column:
-    """DATE_TRUNC('hour') that keeps the NTZ type of its input."""
-    return to_ntz(F.date_trunc("hour", as_col(ts)))
+    """DATE_TRUNC('hour') of a TIMESTAMP_NTZ, computed on the wall clock (no session-zone round trip)."""
+    t = as_col(ts)
+    return F.timestamp_add("HOUR", F.hour(t), F.to_date(t).cast("timestamp_ntz"))
 
 
 def epoch_seconds(ts) -> Column:
-    """Whole seconds since the epoch of a wall-clock timestamp read as UTC."""
-    return F.unix_seconds(as_col(ts).cast("timestamp"))
+    """Whole seconds since 1970-01-01 00:00 of a wall-clock (TIMESTAMP_NTZ) value read as UTC."""
+    t = as_col(ts)
+    return (F.unix_date(F.to_date(t)).cast("bigint") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+            + F.second(t)).cast("bigint")
 
 
 def epoch_to_utc(epoch) -> Column:
     """Epoch seconds → naive UTC timestamp."""
-    return to_ntz(F.timestamp_seconds(as_col(epoch)))
+    return F.timestamp_add("SECOND", as_col(epoch), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def utc_text(ts, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
@@ -71,12 +88,12 @@ def utc_text(ts, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 
 def file_stamp_to_ts(stamp) -> Column:
     """ISO stamp from a lake file name, with ':' written as '--', back to a timestamp."""
-    return to_ntz(F.to_timestamp(F.replace(as_col(stamp), F.lit("--"), F.lit(":")), "yyyy-MM-dd'T'HH:mm:ss"))
+    return parse_iso_ntz(F.replace(as_col(stamp), F.lit("--"), F.lit(":")), "T", "optional")
 
 
 def local_to_utc(local_ts, zone) -> Column:
     """Local wall-clock time in an IANA zone → naive UTC (daylight saving handled by the zone rules)."""
-    return to_ntz(F.to_utc_timestamp(as_col(local_ts), as_col(zone)))
+    return F.convert_timezone(as_col(zone), F.lit("UTC"), as_col(local_ts))
 
 
 def local_to_utc_fixed(local_ts, utc_offset_hours, summer_shift_hours,

@@ -20,15 +20,11 @@ from pyspark.sql import functions as F
 
 from airshed.functions.clean import (blank_to_null, decode_file_name, name_token, safe_int, strip_extension,
                                      strip_footnotes, strip_trailing_digits, thousands_to_long)
-from airshed.functions.time import epoch_to_utc, file_stamp_to_ts, hour_in_window, parse_flight_ts, to_ntz
+from airshed.functions.time import epoch_to_utc, file_stamp_to_ts, hour_in_window, parse_flight_ts, parse_iso_ntz
 from airshed.operators.joins import broadcast_if_small, zip_lists
 from airshed.operators.sinks import dedupe_by_key
 from airshed.sources import schemas
 
-# Fixed value: the text layout of observation times in the pollution/weather histories.
-HISTORY_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
-
 @dataclass
 class Load:
     """Rows accepted by a reader and the rejected inputs with a reason each."""
@@ -219,7 +215,7 @@ def read_pollution_history(spark: SparkSession, path: str, glob: str = "*.json")
     rec = F.col("_rec")
     cols = [rec["place"].alias("place"), rec["latitude"].alias("latitude"), rec["longitude"].alias("longitude"),
             rec["timestamp"].alias("timestamp"),
-            to_ntz(F.to_timestamp(rec["date"], HISTORY_TS_FORMAT)).alias("date"),
+            parse_iso_ntz(rec["date"], " ", "optional").alias("date"),
             rec["air_quality_index"].alias("air_quality_index"),
             *[rec["components"][p].alias(p) for p in schemas.POLLUTANTS]]
     return _split(classified, bad, cols)
@@ -233,8 +229,7 @@ def read_weather_history(spark: SparkSession, path: str, glob: str = "*.json") -
     """Weather history array → the weather table columns in their fixed order."""
     classified, bad = _history(spark, path, schemas.WEATHER_RECORD, WEATHER_FIELDS, {}, glob)
     rec = F.col("_rec")
-    cols = [(to_ntz(F.to_timestamp(rec[f], HISTORY_TS_FORMAT)) if f == "date" else rec[f]).alias(f)
-            for f in WEATHER_FIELDS]
+    cols = [(parse_iso_ntz(rec[f], " ", "optional") if f == "date" else rec[f]).alias(f) for f in WEATHER_FIELDS]
     return _split(classified, bad, cols)
 
 

@@ -592,7 +592,7 @@ def q_parse_ts_multi(spark, d):
     ev = Tables(spark, d).events.select("event_id", _ts_text().alias("ts_text"))
     fixed = F.translate("ts_text", "t", "T")
     return ev.select("event_id", "ts_text",
-                     tfn.parse_ts_multi(fixed, [tfn.FLIGHT_TS_FORMAT, tfn.FLIGHT_TS_FORMAT_NO_FRACTION]).alias("parsed_ts"),
+                     tfn.parse_iso_ntz(fixed, "T", "optional").alias("parsed_ts"),
                      tfn.parse_flight_ts("ts_text").alias("loader_ts"))
 
 

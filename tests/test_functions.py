@@ -88,3 +88,31 @@ def test_local_to_utc_zone_and_fixed_table(spark):
     assert [f.hour for f in fixed] == [5, 4, 5, 5]  # table rule: the bound is 10-27 00:00, so 05:00 that day is winter
     tokyo = df.select(tfn.local_to_utc("local", F.lit("Asia/Tokyo")).alias("r")).first()["r"]
     assert tokyo == dt.datetime(2024, 3, 29, 21)
+
+
+def test_time_expressions_ignore_the_session_zone(spark):
+    """Wall-clock values must not move when the session zone is not UTC (a DST gap in the session zone included)."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-03-10T02:30:00.250",)], "s string").select(
+            tfn.parse_flight_ts("s").alias("t"))
+        r = df.select("t", tfn.hour_trunc("t").alias("h"), tfn.epoch_seconds("t").alias("e"),
+                      tfn.epoch_to_utc(tfn.epoch_seconds("t")).alias("back"),
+                      tfn.local_to_utc("t", F.lit("Europe/Zurich")).alias("u"),
+                      tfn.file_stamp_to_ts(F.lit("2024-03-10T02--30--00")).alias("f")).first()
+        assert r["t"] == dt.datetime(2024, 3, 10, 2, 30, 0, 250000)
+        assert r["h"] == dt.datetime(2024, 3, 10, 2, 0)
+        assert r["e"] == int(dt.datetime(2024, 3, 10, 2, 30, tzinfo=dt.timezone.utc).timestamp())
+        assert r["back"] == dt.datetime(2024, 3, 10, 2, 30)
+        assert r["u"] == dt.datetime(2024, 3, 10, 1, 30, 0, 250000)
+        assert r["f"] == dt.datetime(2024, 3, 10, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_parse_iso_rejects_impossible_dates(spark):
+    df = spark.createDataFrame([("2024-13-01T06:00:00.1",), ("2024-02-30T06:00:00.1",), ("2024-02-29T06:00:00.1",)],
+                               "s string")
+    assert [r["t"] for r in df.select(tfn.parse_flight_ts("s").alias("t")).collect()] == \
+        [None, None, dt.datetime(2024, 2, 29, 6, 0, 0, 100000)]
