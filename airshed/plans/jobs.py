@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.operators.aggregates import weighted_means
-from airshed.operators.sinks import insert_if_absent, strict_append, upsert_table
+from airshed.operators.sinks import dedupe_by_key, insert_if_absent, strict_append, upsert_table
 from airshed.plans import views
 from airshed.plans.refresh import RefreshReport, refresh_views
 from airshed.sources import lake
@@ -69,18 +69,41 @@ def load_observations(spark: SparkSession, wh: Warehouse, payload_dir: str, kind
                       coordinates: DataFrame | None = None) -> DataFrame:
     """Landed pollution or weather responses → optional history lake append → upsert by (timestamp, place)."""
     if kind == "pollution":
-        rows, table = lake.pollution_from_payloads(spark, payload_dir, coordinates=coordinates), "air_pollution_data"
+        raw, table = lake.pollution_from_payloads(spark, payload_dir, coordinates=coordinates, with_source=True), \
+            "air_pollution_data"
     elif kind == "weather":
-        rows, table = lake.weather_from_payloads(spark, payload_dir, coordinates=coordinates), "weather_data"
+        raw, table = lake.weather_from_payloads(spark, payload_dir, coordinates=coordinates, with_source=True), \
+            "weather_data"
     else:
         raise ValueError("kind must be 'pollution' or 'weather'")
-    rows = rows.withColumn("day", F.to_date("date"))
+    # Inside one load the last record of a key wins (file order, then position in the file).
+    keys = TABLE_KEYS[table]
+    rows = (dedupe_by_key(raw, keys, ["source_file", "source_pos"], keep="last")
+            .drop("source_file", "source_pos").withColumn("day", F.to_date("date")))
     if history_dir:
-        lake.write_lake_json(rows, history_dir, partition_by=["day"], mode="append")
-    upsert_table(wh.path(table), rows, TABLE_KEYS[table], ["date"], partition_col="day")
+        lake.write_lake_json(raw.drop("source_file", "source_pos").withColumn("day", F.to_date("date")), history_dir,
+                             partition_by=["day"], mode="append")
+    upsert_table(wh.path(table), rows, keys, ["date"], partition_col="day")
     return rows
 
 
+def import_history(spark: SparkSession, wh: Warehouse, history_dir: str, kind: str) -> lake.Load:
+    """History lake files (JSON arrays of records) → upsert by (timestamp, place); inside the import the last record
+    of a key wins; records missing a required key are rejected (see the returned load's ``rejects``)."""
+    if kind == "pollution":
+        load, table = lake.read_pollution_history(spark, history_dir, with_source=True), "air_pollution_data"
+    elif kind == "weather":
+        load, table = lake.read_weather_history(spark, history_dir, with_source=True), "weather_data"
+    else:
+        raise ValueError("kind must be 'pollution' or 'weather'")
+    keys = TABLE_KEYS[table]
+    rows = (dedupe_by_key(load.rows.filter(F.col("timestamp").isNotNull() & F.col("place").isNotNull()), keys,
+                          ["source_file", "source_pos"], keep="last")
+            .drop("source_file", "source_pos").withColumn("day", F.to_date("date")))
+    upsert_table(wh.path(table), rows, keys, ["date"], partition_col="day")
+    return load
+
+
 def load_road(spark: SparkSession, wh: Warehouse, lake_dir: str, glob: str = "*.json", strict: bool = True) -> None:
     """Road files → per (window start, city, road) length-weighted means → strict append (a repeated key aborts)."""
     load = lake.read_road(spark, lake_dir, glob=glob, strict=strict)

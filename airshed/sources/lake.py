@@ -207,8 +207,9 @@ def _history(spark: SparkSession, path: str, schema, required: Sequence[str], ne
     return classified, bad
 
 
-def read_pollution_history(spark: SparkSession, path: str, glob: str = "*.json") -> Load:
-    """Pollution history array → ``place, latitude, longitude, timestamp, date, air_quality_index, co … nh3``."""
+def read_pollution_history(spark: SparkSession, path: str, glob: str = "*.json", with_source: bool = False) -> Load:
+    """Pollution history array → ``place, latitude, longitude, timestamp, date, air_quality_index, co … nh3``
+    (``with_source`` adds ``source_file``/``source_pos``, the input order)."""
     classified, bad = _history(spark, path, schemas.POLLUTION_RECORD,
                                ["place", "latitude", "longitude", "timestamp", "date", "air_quality_index"],
                                {"components": schemas.POLLUTANTS}, glob)
@@ -218,26 +219,32 @@ def read_pollution_history(spark: SparkSession, path: str, glob: str = "*.json")
             parse_iso_ntz(rec["date"], " ", "optional").alias("date"),
             rec["air_quality_index"].alias("air_quality_index"),
             *[rec["components"][p].alias(p) for p in schemas.POLLUTANTS]]
-    return _split(classified, bad, cols)
+    return _split(classified, bad, cols + (_source_cols() if with_source else []))
 
 
 WEATHER_FIELDS = ["place", "latitude", "longitude", "timestamp", "date", "temperature", "humidity", "pressure",
                   "wind_speed", "weather_main", "weather_description"]
 
 
-def read_weather_history(spark: SparkSession, path: str, glob: str = "*.json") -> Load:
+def read_weather_history(spark: SparkSession, path: str, glob: str = "*.json", with_source: bool = False) -> Load:
     """Weather history array → the weather table columns in their fixed order."""
     classified, bad = _history(spark, path, schemas.WEATHER_RECORD, WEATHER_FIELDS, {}, glob)
     rec = F.col("_rec")
     cols = [(parse_iso_ntz(rec[f], " ", "optional") if f == "date" else rec[f]).alias(f) for f in WEATHER_FIELDS]
-    return _split(classified, bad, cols)
+    return _split(classified, bad, cols + (_source_cols() if with_source else []))
+
+
+def _source_cols() -> list[Column]:
+    return [F.col("file_path").alias("source_file"), F.col("pos").alias("source_pos")]
 
 
 def _payload_rows(spark: SparkSession, path: str, schema, glob: str, coordinates: DataFrame | None) -> DataFrame:
-    """Landed API payloads ``{dir}/{place}/….json`` → one row per ``list`` entry (a missing list gives none)."""
+    """Landed API payloads ``{dir}/{place}/….json`` → one row per ``list`` entry (a missing list gives none), with
+    its source file and position so "the last record wins" can be decided later."""
     files = read_files(spark, path, glob)
-    body = files.select(F.col("parent").alias("place"), F.from_json("value", schema).alias("_p"))
-    rows = body.select("place", F.explode(F.coalesce(F.col("_p")["list"], F.array())).alias("e"))
+    body = files.select("file_path", F.col("parent").alias("place"), F.from_json("value", schema).alias("_p"))
+    rows = body.select("place", F.col("file_path").alias("source_file"),
+                       F.posexplode(F.coalesce(F.col("_p")["list"], F.array())).alias("source_pos", "e"))
     if coordinates is not None:
         coords = broadcast_if_small(coordinates.select(F.col("city_name").alias("place"),
                                                        F.col("lat").alias("latitude"), F.col("lon").alias("longitude")))
@@ -249,24 +256,27 @@ def _payload_rows(spark: SparkSession, path: str, schema, glob: str, coordinates
 
 
 def pollution_from_payloads(spark: SparkSession, path: str, glob: str = "*.json", coordinates: DataFrame | None = None,
-                            lo: int = 6, hi: int = 10) -> DataFrame:
-    """Raw pollution history responses → history records, observations with ``lo <= UTC hour < hi`` only."""
+                            lo: int = 6, hi: int = 10, with_source: bool = False) -> DataFrame:
+    """Raw pollution history responses → history records, observations with ``lo <= UTC hour < hi`` only.
+    ``with_source`` keeps ``source_file``/``source_pos`` (input order)."""
     rows = _payload_rows(spark, path, schemas.POLLUTION_PAYLOAD, glob, coordinates)
     ts = epoch_to_utc(F.col("e")["dt"])
-    return rows.filter(hour_in_window(ts, lo, hi, inclusive_hi=False)).select(
+    extra = ["source_file", "source_pos"] if with_source else []
+    return rows.filter(hour_in_window(ts, lo, hi, inclusive_hi=False)).select(*extra,
         "place", "latitude", "longitude", F.col("e")["dt"].alias("timestamp"), ts.alias("date"),
         F.col("e")["main"]["aqi"].alias("air_quality_index"),
         *[F.col("e")["components"][p].alias(p) for p in schemas.POLLUTANTS])
 
 
 def weather_from_payloads(spark: SparkSession, path: str, glob: str = "*.json", coordinates: DataFrame | None = None,
-                          lo: int = 6, hi: int = 10, strict: bool = False) -> DataFrame:
+                          lo: int = 6, hi: int = 10, strict: bool = False, with_source: bool = False) -> DataFrame:
     """Raw weather responses → weather records; only the first ``weather`` entry is used. With ``strict`` an empty
     ``weather`` list fails the job (as indexing an empty list does); otherwise its label columns are NULL."""
     rows = _payload_rows(spark, path, schemas.WEATHER_PAYLOAD, glob, coordinates)
     ts = epoch_to_utc(F.col("e")["dt"])
     first = F.element_at(F.col("e")["weather"], 1) if strict else F.get(F.col("e")["weather"], 0)
-    return rows.filter(hour_in_window(ts, lo, hi, inclusive_hi=False)).select(
+    extra = ["source_file", "source_pos"] if with_source else []
+    return rows.filter(hour_in_window(ts, lo, hi, inclusive_hi=False)).select(*extra,
         "place", "latitude", "longitude", F.col("e")["dt"].alias("timestamp"), ts.alias("date"),
         F.col("e")["main"]["temp"].alias("temperature"), F.col("e")["main"]["humidity"].alias("humidity"),
         F.col("e")["main"]["pressure"].alias("pressure"), F.col("e")["wind"]["speed"].alias("wind_speed"),

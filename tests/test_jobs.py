@@ -83,8 +83,21 @@ def test_jobs_end_to_end(spark, lake_root):
     with pytest.raises(ValueError, match="conflicting keys"):
         jobs.load_road(spark, wh, f"{r}/lake/road")
     comps = {p: 5.0 for p in ["co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3"]}
-    write(f"{r}/landed/pollution2/Paris/b.json", {"list": [{"dt": epoch(7), "main": {"aqi": 1}, "components": comps}]})
+    write(f"{r}/landed/pollution2/Paris/b.json", {"list": [{"dt": epoch(7), "main": {"aqi": 7}, "components": comps},
+                                                           {"dt": epoch(7), "main": {"aqi": 1}, "components": comps}]})
     jobs.load_observations(spark, wh, f"{r}/landed/pollution2", "pollution")
     pol = {r_["timestamp"]: r_["air_quality_index"] for r_ in spark.read.parquet(wh.path("air_pollution_data")).collect()}
-    assert pol == {epoch(6): 2, epoch(7): 1}
+    assert pol == {epoch(6): 2, epoch(7): 1}                 # the later of two records of one key won
     assert os.path.isdir(f"{r}/history/pollution/day=2024-01-01")
+
+
+def test_import_history_last_record_wins(spark, tmp_dir):
+    rec = lambda ts, aqi, co: {"place": "Bern", "latitude": 46.9, "longitude": 7.4, "timestamp": ts,
+                               "date": "2024-01-01 06:00:00", "air_quality_index": aqi,
+                               "components": {p: co for p in ["co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3"]}}
+    write(f"{tmp_dir}/hist/air_pollution_data.json", [rec(epoch(6), 1, 1.0), rec(epoch(6), 3, None), {"place": "x"}])
+    wh = jobs.Warehouse(f"{tmp_dir}/wh")
+    load = jobs.import_history(spark, wh, f"{tmp_dir}/hist", "pollution")
+    rows = spark.read.parquet(wh.path("air_pollution_data")).collect()
+    assert [(r["air_quality_index"], r["co"]) for r in rows] == [(3, None)]   # NULL pollutant kept, last record won
+    assert load.rejects.count() == 1
