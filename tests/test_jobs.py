@@ -101,3 +101,15 @@ def test_import_history_last_record_wins(spark, tmp_dir):
     rows = spark.read.parquet(wh.path("air_pollution_data")).collect()
     assert [(r["air_quality_index"], r["co"]) for r in rows] == [(3, None)]   # NULL pollutant kept, last record won
     assert load.rejects.count() == 1
+
+
+def test_flight_keys_across_files_and_null_keys(spark, tmp_dir):
+    a = flight("1", "LHR", "CDG", "2024-01-01T04:00:00.000", "2024-01-01T06:10:00.000", "landed")
+    b = flight(None, "LHR", "CDG", "2024-01-01T04:00:00.000", "2024-01-01T06:20:00.000", "landed")
+    write(f"{tmp_dir}/arr/Paris/CDG_2024-01-01.json", [a, b])
+    write(f"{tmp_dir}/arr/Paris/CDG_week1_to_2024-01-01.json", [a, b])          # back-fill copy of the same day
+    wh = jobs.Warehouse(f"{tmp_dir}/wh")
+    jobs.load_flights(spark, wh, f"{tmp_dir}/arr", "arrival", day="2024-01-01")
+    got = spark.read.parquet(wh.path("arrivals")).groupBy("flight_number").count().collect()
+    assert sorted((r["flight_number"], r["count"]) for r in got if r["flight_number"]) == [("1", 1)]
+    assert [r["count"] for r in got if r["flight_number"] is None] == [2]     # NULL in the key never conflicts

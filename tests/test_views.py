@@ -88,3 +88,14 @@ def test_master_view_golden(spark, feeds):
     assert b["median_speed"] is None and b["air_quality_index"] is None and b["weather_main"] is None
     assert master.columns[:8] == ["city", "code_iso2_country", "name_country", "date", "no_arrivals",
                                   "no_departures", "no_total_flights", "custom_group"]
+
+
+def test_city_name_in_two_countries_and_duplicate_airports(spark, feeds):
+    arrivals, departures, airports, road, pollution, weather = feeds
+    more = spark.createDataFrame([("Paris", "US", "United States", "PRX", 33.6, -95.5)], airports.schema)
+    master = views.master_view(views.flights_view(arrivals, departures), views.city_airports_view(airports.union(more)),
+                               views.road_traffic_view(road), views.air_pollution_view(pollution),
+                               views.weather_view(weather))
+    paris = sorted((r["code_iso2_country"], r["no_total_flights"]) for r in master.filter("city = 'Paris'").collect())
+    # one row per country of the city name, flights summed over every airport called Paris
+    assert paris == [("FR", 6), ("US", 6)]
