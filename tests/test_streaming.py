@@ -1,8 +1,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
 from airshed.operators.sinks import apply_insert_if_absent
 from airshed.streaming.ingest import dedupe_in_stream, incremental_ingest
 
