@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from airshed.plans import jobs
 
@@ -113,3 +114,15 @@ def test_flight_keys_across_files_and_null_keys(spark, tmp_dir):
     got = spark.read.parquet(wh.path("arrivals")).groupBy("flight_number").count().collect()
     assert sorted((r["flight_number"], r["count"]) for r in got if r["flight_number"]) == [("1", 1)]
     assert [r["count"] for r in got if r["flight_number"] is None] == [2]     # NULL in the key never conflicts
+
+
+def test_refresh_stops_and_reports_failure(spark, tmp_dir):
+    from airshed.plans.refresh import refresh_views
+    builders = {
+        "flights_v": lambda: spark.range(3).withColumnRenamed("id", "airport_code").withColumn("date", F.lit(1)),
+        "city_airports_v": lambda: spark.read.parquet(f"{tmp_dir}/missing"),
+        "master_view_v": lambda: spark.range(1),
+    }
+    report = refresh_views(builders, f"{tmp_dir}/views")
+    assert report.refreshed == ["flights_v"] and report.failed == "city_airports_v" and not report.ok
+    assert not os.path.exists(f"{tmp_dir}/views/master_view_v")
