@@ -46,3 +46,24 @@ def test_stream_upsert_mode(spark, tmp_dir):
     incremental_ingest(spark, src, st, tgt, ck, ["k", "day"], ["seq"], mode="upsert", partition_col="day")
     got = sorted(tuple(r) for r in spark.read.parquet(tgt).select("k", "day", "v").collect())
     assert got == [("a", 1, "x2"), ("b", 2, "y")]                      # the later load wins despite a lower seq
+
+
+def test_hourly_counts_stream_equals_batch(spark, tmp_dir):
+    from airshed.operators.aggregates import hourly_counts
+    from airshed.streaming.ingest import hourly_counts_stream
+    rows = [("cdg", dt.datetime(2024, 1, 1, 6, m), 1) for m in (0, 10, 59)] + \
+           [("CDG", dt.datetime(2024, 1, 1, 7, 5), 1), ("ory", dt.datetime(2024, 1, 2, 8, 30), 1)]
+    src = os.path.join(tmp_dir, "ev")
+    spark.createDataFrame(rows, SCHEMA).write.parquet(src)
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    out = os.path.join(tmp_dir, "hourly")
+
+    def sink(batch, _id):
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (hourly_counts_stream(stream, "k", "ts").writeStream.outputMode("complete").foreachBatch(sink)
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    streamed = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    batch = hourly_counts(spark.createDataFrame(rows, SCHEMA), "k", "ts", "n", lo=0, hi=23)
+    assert streamed == sorted(tuple(r) for r in batch.select("airport_code", "date", "n").collect())
