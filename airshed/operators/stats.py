@@ -53,3 +53,9 @@ def overview_kpis(df: DataFrame, ts, entity: str, measure: str) -> DataFrame:
         F.count_distinct(F.col(entity)).alias("n_entities"), F.count_distinct(F.to_date(t)).alias("n_days"),
         F.sum(F.col(measure)).alias("total_measure"),
     )
+
+
+def hourly_profile(df: DataFrame, key: str, ts, measure: str) -> DataFrame:
+    """Pattern per location: observations and mean measure per (key, hour of day)."""
+    return df.groupBy(F.col(key), F.hour(as_col(ts)).alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col(measure).cast("double")).alias(f"avg_{measure}"))

@@ -7,7 +7,7 @@ generators over distributed rows: no driver loop, no cross join. Global bounds e
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,12 @@ def explode_segments(df: DataFrame, start, end, width_days: int = 7, inclusive_t
                     F.least(F.date_add("seg_start", width_days - 1), F.col("_end")).alias("seg_end")))
 
 
+def target_day(today, lag_days: int = 4) -> str:
+    """The day a scheduled load picks up: flight history is complete after ``lag_days`` (4), road data the same day
+    (``lag_days=0``). ``today`` is a ``datetime.date``."""
+    return (today - timedelta(days=lag_days)).isoformat()
+
+
 def daily_segment(df: DataFrame, day, keep: Sequence[str] | None = None) -> DataFrame:
     """The single-day segment (start = end = ``day``) used by scheduled daily runs."""
     return explode_segments(df, day, day, 1, inclusive_tail=True, keep=keep)

@@ -81,3 +81,12 @@ def test_daily_segment_and_flow_quality(spark):
                                                                               D(2024, 1, 5))]
     q = spark.createDataFrame([(0.0, 1), (9.9, 3), (10.0, 1), (5.0, 4), (None, 1)], "j double, fc int")
     assert [r["ok"] for r in q.select(flow_quality("j", "fc").alias("ok")).collect()] == [True, True, False, False, None]
+
+
+def test_target_day_and_hourly_profile(spark):
+    from airshed.operators.stats import hourly_profile
+    assert planning.target_day(D(2024, 3, 3)) == "2024-02-28" and planning.target_day(D(2024, 3, 3), 0) == "2024-03-03"
+    df = spark.createDataFrame([("Paris", dt.datetime(2024, 1, 1, 7, 5), 10.0), ("Paris", dt.datetime(2024, 1, 2, 7, 50), 20.0),
+                                ("Paris", dt.datetime(2024, 1, 2, 8, 0), 5.0)], "city string, ts timestamp_ntz, speed double")
+    got = {(r["city"], r["hour"]): (r["n"], r["avg_speed"]) for r in hourly_profile(df, "city", "ts", "speed").collect()}
+    assert got == {("Paris", 7): (2, 15.0), ("Paris", 8): (1, 5.0)}
