@@ -808,6 +808,15 @@ def q_overview_kpis(spark, d):
     return _round(out, ["total_measure"])
 
 
+@register("hourly_profile", """
+SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, COUNT(*) AS n, ROUND(AVG(value), 6) AS avg_value
+FROM events GROUP BY 1, 2
+""")
+def q_hourly_profile(spark, d):
+    out = stats.hourly_profile(Tables(spark, d).events, "event_type", "ts", "value")
+    return _round(out, ["avg_value"])
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # Incremental ingest (rows-only check: a streaming run has no single SQL equivalent)
 
