@@ -27,11 +27,13 @@ def _path_has_data(spark: SparkSession, path: str) -> bool:
 
 
 def merge_batch(batch: DataFrame, target_path: str, keys: Sequence[str], order_cols: Sequence[str],
-                mode: str = "insert_if_absent", keep: str = "first", partition_col: str | None = None) -> None:
+                mode: str = "insert_if_absent", keep: str = "first", partition_col: str | None = None,
+                prune_col: str | None = None) -> None:
     """Merge one micro-batch into a Parquet table.
 
-    ``insert_if_absent``: only rows with new keys are appended (existing keys win). ``upsert``: last write wins;
-    only the partitions (``partition_col``) the batch touches are rewritten."""
+    ``insert_if_absent``: only rows with new keys are appended (existing keys win); ``prune_col`` (a key column such
+    as the day) limits the target scan to the batch's range. ``upsert``: last write wins; only the partitions
+    (``partition_col``) the batch touches are rewritten."""
     spark = batch.sparkSession
     if mode == "upsert":
         if partition_col is None:
@@ -40,8 +42,11 @@ def merge_batch(batch: DataFrame, target_path: str, keys: Sequence[str], order_c
         return
     if mode != "insert_if_absent":
         raise ValueError("mode must be 'insert_if_absent' or 'upsert'")
-    target = spark.read.parquet(target_path) if _path_has_data(spark, target_path) else batch.limit(0)
-    insert_if_absent(target, batch, keys, order_cols, keep).write.mode("append").parquet(target_path)
+    if _path_has_data(spark, target_path):
+        new = insert_if_absent(spark.read.parquet(target_path), batch, keys, order_cols, keep, prune_col=prune_col)
+    else:
+        new = insert_if_absent(batch.limit(0), batch, keys, order_cols, keep)
+    new.write.mode("append").parquet(target_path)
 
 
 def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType, target_path: str,
@@ -49,7 +54,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType,
                        source_format: str = "parquet", glob: str | None = None, files_per_trigger: int | None = None,
                        transform: Callable[[DataFrame], DataFrame] | None = None,
                        mode: str = "insert_if_absent", recursive: bool = True, keep: str = "first",
-                       partition_col: str | None = None) -> None:
+                       partition_col: str | None = None, prune_col: str | None = None) -> None:
     """Process every file not yet seen under ``source_dir`` and merge it into ``target_path``; returns when done.
 
     ``transform`` maps raw rows to warehouse rows (e.g. flight flattening); it runs inside each micro-batch.
@@ -65,7 +70,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType,
 
     def sink(batch: DataFrame, _batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        merge_batch(rows, target_path, keys, order_cols, mode, keep, partition_col)
+        merge_batch(rows, target_path, keys, order_cols, mode, keep, partition_col, prune_col)
 
     query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True).start())

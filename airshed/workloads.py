@@ -836,7 +836,8 @@ def q_stream_ingest(spark, d):
     for i, part in enumerate([ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)], start=1):
         part.write.parquet(f"{root}/landing/increment-{i}")          # a new day of files lands …
         incremental_ingest(spark, f"{root}/landing", ev.schema, f"{root}/table", f"{root}/checkpoint", _EV_KEY,
-                           ["ts", "event_id"], source_format="parquet")   # … and the scheduled run picks it up
+                           ["ts", "event_id"], source_format="parquet",
+                           prune_col="date")                            # … and the scheduled run picks it up
     return spark.read.parquet(f"{root}/table")
 
 
