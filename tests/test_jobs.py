@@ -126,3 +126,25 @@ def test_refresh_stops_and_reports_failure(spark, tmp_dir):
     report = refresh_views(builders, f"{tmp_dir}/views")
     assert report.refreshed == ["flights_v"] and report.failed == "city_airports_v" and not report.ok
     assert not os.path.exists(f"{tmp_dir}/views/master_view_v")
+
+
+def test_incremental_refresh_rewrites_only_new_days(spark, lake_root):
+    r = lake_root
+    wh = jobs.Warehouse(f"{r}/warehouse")
+    jobs.load_airports(spark, wh, f"{r}/lake/airports")
+    jobs.load_flights(spark, wh, f"{r}/lake/arrivals", "arrival")
+    jobs.load_flights(spark, wh, f"{r}/lake/departures", "departure")
+    jobs.load_road(spark, wh, f"{r}/lake/road")
+    jobs.load_observations(spark, wh, f"{r}/landed/pollution", "pollution")
+    jobs.load_observations(spark, wh, f"{r}/landed/weather", "weather")
+    assert jobs.refresh_all(spark, wh, f"{r}/views").ok
+    day1 = f"{r}/views/master_view_v/date=2024-01-01"
+    before = sorted(os.listdir(day1))
+    write(f"{r}/lake/arrivals/Paris/CDG_2024-01-02.json",
+          [flight("7", "LHR", "CDG", "2024-01-02T04:00:00.000", "2024-01-02T07:00:00.000", "landed")])
+    jobs.load_flights(spark, wh, f"{r}/lake/arrivals", "arrival", day="2024-01-02")
+    report = jobs.refresh_all(spark, wh, f"{r}/views", since="2024-01-02")
+    assert report.ok, report
+    assert sorted(os.listdir(day1)) == before                             # the old day was not rewritten
+    m = {(row["city"], row["date"]): row["no_arrivals"] for row in spark.read.parquet(f"{r}/views/master_view_v").collect()}
+    assert m == {("Paris", dt.date(2024, 1, 1)): 3, ("Paris", dt.date(2024, 1, 2)): 1}
