@@ -148,3 +148,19 @@ def test_incremental_refresh_rewrites_only_new_days(spark, lake_root):
     assert sorted(os.listdir(day1)) == before                             # the old day was not rewritten
     m = {(row["city"], row["date"]): row["no_arrivals"] for row in spark.read.parquet(f"{r}/views/master_view_v").collect()}
     assert m == {("Paris", dt.date(2024, 1, 1)): 3, ("Paris", dt.date(2024, 1, 2)): 1}
+
+
+def test_command_line_jobs(spark, lake_root, capsys):
+    from airshed.__main__ import main
+    r = lake_root
+    base = ["--warehouse", f"{r}/wh"]
+    assert main(base + ["load-airports", "--airports", f"{r}/lake/airports"]) == 0
+    assert main(base + ["load-flights", "--lake", f"{r}/lake/arrivals", "--direction", "arrival",
+                        "--day", "2024-01-01"]) == 0
+    assert main(base + ["load-flights", "--lake", f"{r}/lake/departures", "--direction", "departure"]) == 0
+    assert main(base + ["load-road", "--lake", f"{r}/lake/road"]) == 0
+    assert main(base + ["load-observations", "--payloads", f"{r}/landed/pollution", "--kind", "pollution"]) == 0
+    assert main(base + ["load-observations", "--payloads", f"{r}/landed/weather", "--kind", "weather"]) == 0
+    assert main(base + ["refresh", "--views", f"{r}/views"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert lines[1]["stats"]["accepted"] == 4 and lines[-1]["refreshed"][-1] == "master_view_v"
