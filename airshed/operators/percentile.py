@@ -12,7 +12,7 @@ Groups are split by size (rows per group, a cheap partial aggregate):
   p = q·(n−1), are kept and interpolated.
 
 No task holds more than the threshold's worth of one group's values, and nothing passes through the driver except the
-yes/no answer to "is any group hot?".
+size of the largest group.
 """
 
 from __future__ import annotations
@@ -70,10 +70,12 @@ def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Seque
         return d.repartition(*g).groupBy(*g).agg(*[F.percentile(F.col(x), F.lit(float(q))).alias(n)
                                                    for x, n in zip(xs, names)])
 
-    hot = (rows.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows_in_task)
-           .select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(g)]))
-    if hot.isEmpty():
+    sizes = rows.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    # One global aggregate (one job) answers "is any group hot?"; only that number reaches the driver.
+    largest = sizes.agg(F.max("_n").alias("m")).first()["m"] or 0
+    if largest <= max_rows_in_task:
         return in_buffer(rows)
+    hot = sizes.filter(F.col("_n") > max_rows_in_task).select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(g)])
     cool = rows.join(hot, _null_safe_keys(g, "_h"), "left_anti")
     hot_rows = rows.join(hot, _null_safe_keys(g, "_h"), "left_semi")
     return in_buffer(cool).unionByName(_ranged_percentile(value_counts(hot_rows, g, xs), g, q, names, num_partitions))

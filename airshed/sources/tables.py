@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,21 @@ def table_path(data_dir: str, name: str) -> str:
     return os.path.join(data_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it (see ``explain`` ReadSchema/PushedFilters)."""
-    return spark.read.parquet(table_path(data_dir, name))
+def view_name(data_dir: str, name: str) -> str:
+    digest = hashlib.sha1(os.path.abspath(data_dir).encode()).hexdigest()[:12]
+    return f"airshed_{digest}_{name}"
+
+
+def read_table(spark: SparkSession, data_dir: str, name: str, refresh: bool = False) -> DataFrame:
+    """Parquet scan; Catalyst prunes columns and pushes filters into it (see ``explain`` ReadSchema/PushedFilters).
+
+    The input tables are read-only, so each is opened once per session (file listing and footer schema) and
+    registered as a temporary view; later reads resolve it from the session catalog. ``refresh`` re-opens it.
+    """
+    view = view_name(data_dir, name)
+    if refresh or not spark.catalog.tableExists(view):
+        spark.read.parquet(table_path(data_dir, name)).createOrReplaceTempView(view)
+    return spark.table(view)
 
 
 class Tables:
