@@ -21,20 +21,22 @@ def to_ntz(c) -> Column:
     return as_col(c).cast("timestamp_ntz")
 
 
+def _ntz(text: Column, fmt: str) -> Column:
+    # try_to_timestamp only decides whether the text parses (NULL for junk and impossible dates); the value comes
+    # from to_timestamp_ntz, which reads the wall clock without the session time zone.
+    return F.when(F.try_to_timestamp(text, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(text, F.lit(fmt)))
+
+
 def parse_iso_ntz(text, sep: str = "T", fraction: str = "optional") -> Column:
-    """``yyyy-MM-dd<sep>HH:mm:ss[.f…]`` text → TIMESTAMP_NTZ built from its parts, NULL when unparsable.
+    """``yyyy-MM-dd<sep>HH:mm:ss[.f…]`` text → TIMESTAMP_NTZ, NULL when unparsable.
 
     ``fraction``: 'required' (1–6 digits must follow the seconds), 'optional', or 'none'. The value never passes
     through the session time zone, so wall-clock times inside a daylight-saving gap of that zone stay intact.
     """
-    frac = {"required": r"\.(\d{1,6})", "optional": r"(?:\.(\d{1,6}))?", "none": "()"}[fraction]
-    pattern = rf"^(\d{{4}})-(\d{{2}})-(\d{{2}}){sep}(\d{{2}}):(\d{{2}}):(\d{{2}}){frac}$"
+    base = "yyyy-MM-dd" + (f"'{sep}'" if sep.isalpha() else sep) + "HH:mm:ss"
+    formats = {"required": [base + ".SSSSSS"], "optional": [base + ".SSSSSS", base], "none": [base]}[fraction]
     s = as_col(text)
-    part = lambda i: F.regexp_extract(s, pattern, i)
-    seconds = F.concat(part(6), F.lit("."), F.rpad(part(7), 6, "0")).cast("decimal(8,6)")
-    built = F.try_make_timestamp_ntz(part(1).cast("int"), part(2).cast("int"), part(3).cast("int"),
-                                     part(4).cast("int"), part(5).cast("int"), seconds)
-    return F.when(s.rlike(pattern), built)
+    return F.coalesce(*[_ntz(s, f) for f in formats])
 
 
 def parse_flight_ts(text, strict_fraction: bool = True) -> Column:
