@@ -19,13 +19,16 @@ import sys
 
 from airshed.plans import jobs
 from airshed.plans.planning import target_day
-from airshed.session import build_session
+from airshed.session import build_session, shuffle_partitions_for
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m airshed")
     p.add_argument("--warehouse", required=True, help="folder holding the warehouse tables")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit / the cluster)")
+    p.add_argument("--shuffle-bytes", type=int, default=None,
+                   help="expected shuffle volume; sizes spark.sql.shuffle.partitions for ~256 MB partitions")
+    p.add_argument("--local", action="store_true", help="skip the cluster sizing profile")
     sub = p.add_subparsers(dest="job", required=True)
     f = sub.add_parser("load-flights")
     f.add_argument("--lake", required=True)
@@ -53,7 +56,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = build_session(args.master, app_name=f"airshed-{args.job}")
+    partitions = shuffle_partitions_for(args.shuffle_bytes) if args.shuffle_bytes else None
+    spark = build_session(args.master, app_name=f"airshed-{args.job}", shuffle_partitions=partitions,
+                          cluster=not args.local)
     wh = jobs.Warehouse(args.warehouse)
     out: dict = {"job": args.job}
     if args.job == "load-flights":

@@ -21,13 +21,37 @@ BASE_CONF = {
 }
 
 
+# Cluster profile for ~100 TB of input on ~1000 executors. Input splits and shuffle partitions target ~256 MB so a
+# task's working set fits executor memory with room to spill; AQE coalesces small shuffle partitions and splits
+# skewed ones (a partition 5× the median and above 512 MB is split); broadcasts stay below 64 MB per side.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * TARGET_PARTITION_BYTES),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES,
+                           minimum: int = 200) -> int:
+    """Shuffle partitions for an expected shuffle volume (e.g. 20 TB → 81,920): AQE then merges the small ones."""
+    return max(minimum, -(-shuffle_bytes // target_bytes))
+
+
 def build_session(master: str | None = None, app_name: str = "airshed", shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the package defaults applied."""
+                  extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Create (or reuse) a session with the package defaults applied (``cluster`` adds :data:`CLUSTER_CONF`)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

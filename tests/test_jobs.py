@@ -153,7 +153,7 @@ def test_incremental_refresh_rewrites_only_new_days(spark, lake_root):
 def test_command_line_jobs(spark, lake_root, capsys):
     from airshed.__main__ import main
     r = lake_root
-    base = ["--warehouse", f"{r}/wh"]
+    base = ["--warehouse", f"{r}/wh", "--local"]
     assert main(base + ["load-airports", "--airports", f"{r}/lake/airports"]) == 0
     assert main(base + ["load-flights", "--lake", f"{r}/lake/arrivals", "--direction", "arrival",
                         "--day", "2024-01-01"]) == 0
