@@ -17,14 +17,14 @@ size of the largest group.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.session import ensure_checkpoint_dir, shared_path
+from airshed.operators.sinks import staged_rewrite
+from airshed.session import ensure_checkpoint_dir
 
 
 # Rows one group may bring into a single aggregation buffer (an entry is ~40 bytes).
@@ -62,7 +62,7 @@ def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Seque
     rows = df.select(*g, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(value_cols)])
     xs = [f"_x{i}" for i in range(len(value_cols))]
     if materialize_input:
-        rows = _staged(rows)
+        rows = staged_rewrite(rows, "percentile-input")
 
     def in_buffer(d: DataFrame) -> DataFrame:
         # Every group on this path has at most ``max_rows_in_task`` rows, so the rows are clustered by group first and
@@ -81,13 +81,6 @@ def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Seque
     return in_buffer(cool).unionByName(_ranged_percentile(value_counts(hot_rows, g, xs), g, q, names, num_partitions))
 
 
-def _staged(df: DataFrame) -> DataFrame:
-    """Write once to a fresh folder under the shared checkpoint directory and read back (lineage cut, one pass)."""
-    path = shared_path(df.sparkSession, "staging", f"percentile-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _left_by_group(base: DataFrame, wide: DataFrame, g: list[str], names: list[str]) -> DataFrame:
     base = base.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(g)])
     on = reduce(lambda a, b: a & b, [F.col(f"_b{i}").eqNullSafe(F.col(c)) for i, c in enumerate(g)])
