@@ -41,8 +41,15 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def _fixed(c, places: int = 6):
+    """Round a double to ``places`` decimals as ``round(x * 10^p) / 10^p`` — the same arithmetic as the oracle's
+    ROUND(x, p), so values lying exactly on a half-way tie round the same way in both engines."""
+    scale = float(10 ** places)
+    return F.round(F.col(c) * scale if isinstance(c, str) else c * scale) / scale
+
+
 def _round(df: DataFrame, cols, places: int = 6) -> DataFrame:
-    return df.select(*[F.round(F.col(c), places).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[_fixed(c, places).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -148,7 +155,7 @@ def q_dim_rollup(spark, d):
     nation = F.broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation")))
     rolled = (per_cust.join(cust, "o_custkey").join(nation, "c_nationkey")
               .groupBy("nation", "date").agg(F.sum("n_orders").alias("n_orders"),
-                                             F.round(F.sum("total_price"), 2).alias("total_price")))
+                                             _fixed(F.sum("total_price"), 2).alias("total_price")))
     return rolled
 
 
@@ -218,7 +225,7 @@ def q_case_normalize(spark, d):
     per_nation = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("c_acctbal").alias("s"))
     named = per_nation.join(F.broadcast(t.nation), per_nation["c_nationkey"] == t.nation["n_nationkey"])
     return (named.groupBy(clean.synonym_case("n_name", NATION_SYNONYMS).alias("nation"))
-            .agg(F.sum("n").alias("n_customers"), F.round(F.sum("s"), 2).alias("total_acctbal")))
+            .agg(F.sum("n").alias("n_customers"), _fixed(F.sum("s"), 2).alias("total_acctbal")))
 
 
 @register("weighted_avg", """
@@ -424,8 +431,8 @@ air_pollution_v AS (
   SELECT city AS place, ts AS date, CAST(k AS INTEGER) AS air_quality_index, value AS co, k AS no2
   FROM ev WHERE event_type = 'error'),
 weather_v AS (
-  SELECT city AS place, ts AS date, value AS temperature, CAST(k AS INTEGER) AS humidity,
-         CAST(hour(ts) AS INTEGER) AS pressure, value / 10 AS wind_speed, event_type AS weather_main
+  SELECT city AS place, ts AS date, k AS temperature, CAST(hour(ts) AS INTEGER) AS humidity,
+         CAST(minute(ts) AS INTEGER) AS pressure, CAST(second(ts) AS DOUBLE) AS wind_speed, event_type AS weather_main
   FROM ev),
 aggregated_flights AS (
   SELECT ca.city_name AS city, CAST(f.date AS DATE) AS date, CAST(SUM(f.no_arrivals) AS BIGINT) AS no_arrivals,
@@ -466,9 +473,11 @@ def q_master_view(spark, d):
     pollution_v = ev.filter(F.col("event_type") == "error").select(
         F.col("city").alias("place"), F.col("ts").alias("date"), F.col("k").cast("int").alias("air_quality_index"),
         F.col("value").alias("co"), F.col("k").alias("no2"))
-    weather_v = ev.select(F.col("city").alias("place"), F.col("ts").alias("date"), F.col("value").alias("temperature"),
-                          F.col("k").cast("int").alias("humidity"), F.hour("ts").alias("pressure"),
-                          (F.col("value") / 10).alias("wind_speed"), F.col("event_type").alias("weather_main"))
+    # Integer-valued weather measures: their sums are exact in any order, so the oracle's average over the airport
+    # fan-out and our pre-aggregated average are the same double.
+    weather_v = ev.select(F.col("city").alias("place"), F.col("ts").alias("date"), F.col("k").alias("temperature"),
+                          F.hour("ts").alias("humidity"), F.minute("ts").alias("pressure"),
+                          F.second("ts").cast("double").alias("wind_speed"), F.col("event_type").alias("weather_main"))
     out = views.master_view(flights_v, ca, road_v, pollution_v, weather_v, pollutants=MASTER_POLLUTANTS,
                             bucket_width=VOLUME_WIDTH)
     return _round(out, MASTER_DOUBLES)
