@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 
 from airshed.functions._util import as_col
 
-# Timestamp layouts of the flight feed (ISO with 'T', optional fraction) and the history floor.
-FLIGHT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-FLIGHT_TS_FORMAT_NO_FRACTION = "yyyy-MM-dd'T'HH:mm:ss"
+# Fixed value: the start of the history every feed is collected from.
 HISTORY_START = "2023-12-01 00:00:00"
 
 

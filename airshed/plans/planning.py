@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions._util import as_col
-from airshed.functions.time import HISTORY_START, epoch_seconds, epoch_to_utc, local_to_utc, local_to_utc_fixed
+from airshed.functions.time import HISTORY_START, epoch_to_utc, local_to_utc, local_to_utc_fixed
+from airshed.operators.aggregates import high_water_epoch
 
 WEEK_SECONDS = 7 * 86400
 
@@ -57,8 +58,7 @@ def gap_plan(df: DataFrame, entity: Sequence[str], ts, now_epoch: int, floor: st
              width_seconds: int = WEEK_SECONDS) -> DataFrame:
     """Per entity: the missing epoch ranges after its high-water mark (floored at the history start), in blocks of
     ``width_seconds`` capped at ``now``: (hwm+1, min(now, hwm+width)), (…+width, …) while the start ≤ now."""
-    floor_epoch = epoch_seconds(F.lit(floor).cast("timestamp_ntz"))
-    hwm = df.groupBy(*entity).agg(F.greatest(F.max(epoch_seconds(ts)), floor_epoch).alias("hwm_epoch"))
+    hwm = high_water_epoch(df, ts, by=entity, floor=floor, name="hwm_epoch")
     now = F.lit(now_epoch).cast("bigint")
     starts = F.when(F.col("hwm_epoch") < now,
                     F.sequence(F.col("hwm_epoch") + 1, now, F.lit(width_seconds).cast("bigint")))

@@ -90,3 +90,15 @@ def test_target_day_and_hourly_profile(spark):
                                 ("Paris", dt.datetime(2024, 1, 2, 8, 0), 5.0)], "city string, ts timestamp_ntz, speed double")
     got = {(r["city"], r["hour"]): (r["n"], r["avg_speed"]) for r in hourly_profile(df, "city", "ts", "speed").collect()}
     assert got == {("Paris", 7): (2, 15.0), ("Paris", 8): (1, 5.0)}
+
+
+def test_fixed_offset_windows_and_latest_value(spark):
+    from airshed.operators.latest import latest_value
+    days = spark.createDataFrame([(D(2024, 7, 1), 1, 1), (D(2024, 1, 1), 1, 1), (D(2024, 7, 1), 9, 0)],
+                                 "day date, off int, shift int")
+    got = sorted((r["day"], r["off"], r["start_utc"]) for r in
+                 planning.utc_windows_fixed(days, "day", F.col("off"), F.col("shift")).collect())
+    assert got == [(D(2024, 1, 1), 1, dt.datetime(2024, 1, 1, 5)), (D(2024, 7, 1), 1, dt.datetime(2024, 7, 1, 4)),
+                   (D(2024, 7, 1), 9, dt.datetime(2024, 6, 30, 21))]
+    files = spark.createDataFrame([("a", "f1", 10), ("a", "f2", 30), ("b", "f3", 5)], "k string, path string, m int")
+    assert sorted(tuple(r) for r in latest_value(files, ["k"], "path", "m").collect()) == [("a", "f2"), ("b", "f3")]
