@@ -106,12 +106,15 @@ def union_history(history: DataFrame, new: DataFrame, slice_col: str | None = No
 
 
 def strict_append(target_path: str, target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                  fmt: str = "parquet", prune_col: str | None = None) -> None:
+                  fmt: str = "parquet", prune_col: str | None = None, partition_by: Sequence[str] = ()) -> None:
     """Append ``batch`` only when no key collides; otherwise raise with the number of conflicting keys."""
     conflicts = strict_append_conflicts(target, batch, keys, prune_col)
     if not conflicts.isEmpty():
         raise ValueError(f"strict append refused: {conflicts.count()} conflicting keys")
-    batch.write.mode("append").format(fmt).save(target_path)
+    writer = batch.write.mode("append").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(target_path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),

@@ -54,14 +54,14 @@ def load_flights(spark: SparkSession, wh: Warehouse, lake_dir: str, direction: s
     load = lake.read_flights(spark, lake_dir, direction, glob=lake.day_glob(day) if day else "*.json")
     table = f"{direction}s"
     keys = TABLE_KEYS[table]
-    rows = load.rows.drop("city", "file_path")
+    # The table is partitioned by the day of the direction's actual time, which is part of the key: only target
+    # partitions inside the batch's day range can conflict, and only those are read.
+    rows = load.rows.drop("city", "file_path").withColumn("day", F.to_date(f"{direction}_actual_time"))
     order = [c for c in rows.columns if c not in keys]  # total order over the record → deterministic pick
     target = wh.read(spark, table)
-    # The direction's actual time is part of the key, so only target rows inside the batch's time range can
-    # conflict; the range filter reaches the Parquet scan and skips row groups of other days.
     new = insert_if_absent(target if target is not None else rows.limit(0), rows, keys, order,
-                           prune_col=f"{direction}_actual_time" if target is not None else None)
-    new.write.mode("append").parquet(wh.path(table))
+                           prune_col="day" if target is not None else None)
+    new.write.mode("append").partitionBy("day").parquet(wh.path(table))
     return load
 
 
@@ -107,13 +107,14 @@ def import_history(spark: SparkSession, wh: Warehouse, history_dir: str, kind: s
 def load_road(spark: SparkSession, wh: Warehouse, lake_dir: str, glob: str = "*.json", strict: bool = True) -> None:
     """Road files → per (window start, city, road) length-weighted means → strict append (a repeated key aborts)."""
     load = lake.read_road(spark, lake_dir, glob=glob, strict=strict)
-    per_road = weighted_means(load.rows, ["date", "city", "road"], "length", ["speed", "freeflow", "jamfactor"])
+    per_road = (weighted_means(load.rows, ["date", "city", "road"], "length", ["speed", "freeflow", "jamfactor"])
+                .withColumn("day", F.to_date("date")))
     target = wh.read(spark, "road_traffic")
     if target is None:
-        per_road.limit(0).write.mode("append").parquet(wh.path("road_traffic"))
-        target = wh.read(spark, "road_traffic")
+        target = per_road.limit(0)
+    # Partitioned by day (a function of the key's window start): the collision check reads the batch's days only.
     strict_append(wh.path("road_traffic"), target, per_road.select(*target.columns), TABLE_KEYS["road_traffic"],
-                  prune_col="date")
+                  prune_col="day", partition_by=["day"])
 
 
 def load_airports(spark: SparkSession, wh: Warehouse, airport_map_dir: str) -> None:
@@ -153,11 +154,11 @@ def refresh_all(spark: SparkSession, wh: Warehouse, views_dir: str, since: str |
         return df.withColumn("day", F.to_date(ts_col))
 
     builders = {
-        "flights_v": lambda: by_day(views.flights_view(table("arrivals", ts_col="arrival_actual_time"),
-                                                       table("departures", ts_col="departure_actual_time")), "date"),
+        "flights_v": lambda: by_day(views.flights_view(table("arrivals", day_col="day"),
+                                                       table("departures", day_col="day")), "date"),
         "city_airports_v": lambda: views.city_airports_view(table("airports")),
         "air_pollution_v": lambda: by_day(views.air_pollution_view(table("air_pollution_data", day_col="day")), "date"),
-        "road_traffic_v": lambda: views.road_traffic_view(table("road_traffic", ts_col="date")),
+        "road_traffic_v": lambda: views.road_traffic_view(table("road_traffic", day_col="day")),
         "weather_v": lambda: by_day(views.weather_view(table("weather_data", day_col="day")), "date"),
         "master_view_v": lambda: views.master_view(view("flights_v"), view("city_airports_v"), view("road_traffic_v"),
                                                    view("air_pollution_v"), view("weather_v")),
