@@ -255,3 +255,13 @@ def test_lookup_codes_and_geocoder(spark):
                                                        {"name": "Paris TX", "lat": 33.6, "lon": -95.5}])),
                                  ("Atlantis", "[]")], "city string, payload string")
     assert [tuple(r) for r in lake.geocode_first_hit(geo).collect()] == [("Paris", 48.8, 2.3)]
+
+
+def test_road_reader_strict_aborts_on_bad_file(spark, road_lake):
+    write(os.path.join(road_lake, "2024-01-02", "Bern_2024-01-02T05--00--00_2024-01-02T08--00--00.json"), "[{")
+    lenient = lake.read_road(spark, road_lake)
+    assert lenient.rejects.filter("reason = 'bad_file'").count() == 1 and lenient.rows.count() == 7
+    with pytest.raises(Exception, match="bad file"):
+        lake.read_road(spark, road_lake, strict=True).rows.filter("city = 'Paris'").collect()
+    with pytest.raises(Exception, match="bad file"):
+        lake.read_road(spark, road_lake, strict=True).rows.count()
