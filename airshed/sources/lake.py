@@ -184,19 +184,14 @@ def read_road(spark: SparkSession, path: str, glob: str = "*.json", strict: bool
         rec["currentFlow"]["jamFactor"].alias("jamfactor"),
         _reason([(~F.col("is_object"), "not_object"), (missing, "missing_key")]).alias("_reason"),
     )
-    if strict:
-        classified = classified.withColumn("_reason", F.when(
-            F.col("_reason").isNotNull(),
-            F.raise_error(F.concat(F.lit("road load aborted: "), F.col("_reason"), F.lit(" in "), F.col("file_path")))))
     load = _split(classified, bad, ["date", "city", blank_to_null(F.col("road")).alias("road"), "length", "speed",
                                     "freeflow", "jamfactor"])
     if strict:
-        # An unparsable file must abort the load too: a bad-file row fails a filter inside the rows plan (a filter,
-        # unlike a projected column, cannot be pruned away); without bad files this branch is empty.
-        abort = F.raise_error(F.concat(F.lit("road load aborted: bad file "), F.col("file_path")))
-        poison = bad.filter(abort.isNull()).select(*[F.lit(None).cast(f.dataType).alias(f.name)
-                                                     for f in load.rows.schema.fields])
-        load = Load(load.rows.unionByName(poison), load.rejects)
+        # The bulk road load aborts on any problem: validate before handing out rows (stops at the first reject;
+        # only that one row reaches the driver).
+        first = load.rejects.limit(1).collect()
+        if first:
+            raise ValueError(f"road load aborted: {first[0]['reason']} in {first[0]['file_path']}")
     return load
 
 

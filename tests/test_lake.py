@@ -121,8 +121,8 @@ def test_road_reader_weighted_means_and_medians(spark, road_lake):
 
 
 def test_road_reader_strict_aborts(spark, road_lake):
-    with pytest.raises(Exception, match="missing_key"):
-        lake.read_road(spark, road_lake, strict=True).rows.collect()
+    with pytest.raises(ValueError, match="missing_key"):
+        lake.read_road(spark, road_lake, strict=True)
 
 
 def test_road_payload_prune(spark, tmp_dir):
@@ -257,11 +257,15 @@ def test_lookup_codes_and_geocoder(spark):
     assert [tuple(r) for r in lake.geocode_first_hit(geo).collect()] == [("Paris", 48.8, 2.3)]
 
 
-def test_road_reader_strict_aborts_on_bad_file(spark, road_lake):
-    write(os.path.join(road_lake, "2024-01-02", "Bern_2024-01-02T05--00--00_2024-01-02T08--00--00.json"), "[{")
-    lenient = lake.read_road(spark, road_lake)
-    assert lenient.rejects.filter("reason = 'bad_file'").count() == 1 and lenient.rows.count() == 7
-    with pytest.raises(Exception, match="bad file"):
-        lake.read_road(spark, road_lake, strict=True).rows.filter("city = 'Paris'").collect()
-    with pytest.raises(Exception, match="bad file"):
-        lake.read_road(spark, road_lake, strict=True).rows.count()
+def test_road_reader_strict_aborts_on_bad_file(spark, tmp_dir):
+    good = [road_rec("P1", 10, 20, 30, 4)]
+    base = os.path.join(tmp_dir, "road2")
+    write(os.path.join(base, "2024-01-01", "Paris_2024-01-01T05--00--00_2024-01-01T08--00--00.json"), json.dumps(good))
+    write(os.path.join(base, "2024-01-02", "Bern_2024-01-02T05--00--00_2024-01-02T08--00--00.json"), "[{")
+    lenient = lake.read_road(spark, base)
+    assert lenient.rejects.filter("reason = 'bad_file'").count() == 1 and lenient.rows.count() == 1
+    with pytest.raises(ValueError, match="bad_file"):
+        lake.read_road(spark, base, strict=True)
+    clean = os.path.join(tmp_dir, "road3")
+    write(os.path.join(clean, "2024-01-01", "Paris_2024-01-01T05--00--00_2024-01-01T08--00--00.json"), json.dumps(good))
+    assert lake.read_road(spark, clean, strict=True).rows.count() == 1
