@@ -4,8 +4,9 @@ equivalent DuckDB SQL text that serves as an independent oracle.
 The driver tables are not flights or air-quality feeds, so each query maps them onto the operator by analogy
 (``events`` rows stand in for flights and sensor observations, ``customer → nation`` for airport → city, ``lineitem``
 measures for road and pollution readings). Every query reads whole tables; the only row limit is the top-k query,
-where the limit is the feature. Doubles are rounded to 6 places (money to 2) on both sides so that summation order
-cannot change the comparison.
+where the limit is the feature. Doubles are rounded to 6 places (money to 2) with the same arithmetic on both sides,
+so summation order cannot change the comparison; where the oracle averages over a join fan-out (the master view), the
+analog measures are integer-valued, so every sum is exact.
 """
 
 from __future__ import annotations
