@@ -269,3 +269,13 @@ def test_road_reader_strict_aborts_on_bad_file(spark, tmp_dir):
     clean = os.path.join(tmp_dir, "road3")
     write(os.path.join(clean, "2024-01-01", "Paris_2024-01-01T05--00--00_2024-01-01T08--00--00.json"), json.dumps(good))
     assert lake.read_road(spark, clean, strict=True).rows.count() == 1
+
+
+def test_month_folder_selection(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "road4")
+    for day in ("2024-01-05", "2024-01-20", "2024-02-01"):
+        write(os.path.join(base, day, f"Paris_{day}T05--00--00_{day}T08--00--00.json"),
+              json.dumps([road_rec("P1", 10, 20, 30, 4)]))
+    jan = lake.read_road(spark, lake.month_dirs(base, 2024, 1)).rows
+    assert sorted(r["date"].day for r in jan.collect()) == [5, 20]
+    assert lake.month_dirs(base, None, 1) is None                  # a missing year selects nothing
