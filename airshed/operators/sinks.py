@@ -1,9 +1,10 @@
 """Keyed loads into warehouse tables: insert-if-absent, last-write-wins upsert, strict append, history union.
 
-Plain Parquet has no MERGE, so each load is computed as a DataFrame (anti join / latest-per-key / collision report)
-and written with an atomic swap: the new table version is written to a staging path in the shared checkpoint folder
-and then becomes the table. Deduplication always goes through ``max_by``/``min_by`` aggregates (partial aggregation),
-never through a window that would gather a hot key into one task.
+Plain Parquet has no MERGE, so each load is computed as a DataFrame (anti join / latest-per-key / collision report).
+Insert-if-absent and strict append only append new files; an upsert stages the merged partitions in the shared
+checkpoint folder and then replaces just those partitions (dynamic partition overwrite). Deduplication always goes
+through ``max_by``/``min_by`` aggregates (partial aggregation), never through a window that would gather a hot key
+into one task.
 """
 
 from __future__ import annotations
