@@ -4,8 +4,9 @@ payloads, the airport map, small JSON dimensions and the busiest-airports CSV.
 Design: a file is one logical record set, so files are read whole (``text(wholetext=True)``), split into array
 elements with ``from_json(…, 'array<string>')`` and only then parsed with an explicit schema. Keeping the element text
 lets us test *key presence* (a code-share key with a null value still excludes the flight; a road record without a
-length is an error) and tell non-object elements apart — things a schema reader silently null-fills. Every reader
-returns the clean rows plus a ``rejects`` DataFrame (file, position, reason) instead of logging and dropping.
+length is an error) and tell non-object elements apart — things a schema reader silently null-fills. The array
+readers return a :class:`Load`: the clean rows plus a ``rejects`` DataFrame (file, position, reason) instead of logging
+and dropping; payload and dimension readers return plain DataFrames.
 Files are independent tasks, so the read parallelises over files; nothing is collected to the driver.
 """
 
