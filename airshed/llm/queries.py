@@ -6,13 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import simhash
+from airshed.llm import bpe_stream, decontam, line_runs, secret_scan, simhash, suffix_dedup, surrogates, wavelet
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.q_simhash,
+    "op2_secret_scan": secret_scan.q_secret_scan,
+    "op5_bpe": bpe_stream.q_bpe,
+    "op6_decontaminate": decontam.q_decontaminate,
+    "op7_suffix_dedup": suffix_dedup.q_suffix_dedup,
+    "op8_line_dedup": line_runs.q_line_dedup,
+    "op9_token_ids": wavelet.q_token_ids,
+    "op10_surrogates": surrogates.q_surrogates,
 }
 
-_ORACLES: dict[str, str] = {}
+_ORACLES: dict[str, str] = {
+    "op6_decontaminate": decontam.ORACLE,
+    "op8_line_dedup": line_runs.ORACLE,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
