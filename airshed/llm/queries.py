@@ -6,22 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import bpe_stream, decontam, line_runs, secret_scan, simhash, suffix_dedup, surrogates, wavelet
+import corpus_pipeline
+from airshed.llm import (bpe_stream, decontam, line_runs, quality_rules, secret_scan, simhash, suffix_dedup, surrogates,
+                         wavelet, weak_labels)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.q_simhash,
     "op2_secret_scan": secret_scan.q_secret_scan,
+    "op3_quality_rules": quality_rules.q_quality_rules,
+    "op4_weak_labels": weak_labels.q_weak_labels,
     "op5_bpe": bpe_stream.q_bpe,
     "op6_decontaminate": decontam.q_decontaminate,
     "op7_suffix_dedup": suffix_dedup.q_suffix_dedup,
     "op8_line_dedup": line_runs.q_line_dedup,
     "op9_token_ids": wavelet.q_token_ids,
     "op10_surrogates": surrogates.q_surrogates,
+    "pipeline": corpus_pipeline.run,
 }
 
-_ORACLES: dict[str, str] = {
+_ORACLES: dict[str, str | None] = {
     "op6_decontaminate": decontam.ORACLE,
     "op8_line_dedup": line_runs.ORACLE,
+    "pipeline": corpus_pipeline.ORACLE_SQL,
 }
 
 
@@ -30,4 +36,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return {name: sql for name, sql in _ORACLES.items() if sql is not None}
