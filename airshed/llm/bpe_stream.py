@@ -11,7 +11,10 @@ encoded as if it began there). Memory is bounded by the lookahead and the block,
 Short words are encoded whole and kept in a bounded cache.
 
 Normalisation and splitting follow the tokenizer file (NFC, white space, lower case; a split pattern or the byte-level
-one); a file with other parts is refused. A null text is an empty one and has no tokens.
+one); a file with other parts is refused. Engines know different versions of Unicode, so a text with a code point that
+is unassigned here is normalised and split by the tokenizers library; its words are encoded like all others.
+
+A null text is an empty one and has no tokens.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ import functools
 import hashlib
 import heapq
 import json
+import re
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -42,6 +47,20 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
 
 
+@functools.lru_cache(maxsize=1)
+def unassigned() -> re.Pattern:
+    """The code points without a meaning in this Unicode version."""
+    ranges, start = [], None
+    for point in range(sys.maxunicode + 2):
+        open_ = point <= sys.maxunicode and unicodedata.category(chr(point)) == "Cn"
+        if open_ and start is None:
+            start = point
+        elif not open_ and start is not None:
+            ranges.append(f"\\U{start:08x}-\\U{point - 1:08x}")
+            start = None
+    return re.compile("[" + "".join(ranges) + "]")
+
+
 def sufficient_lookahead(rules: list[tuple[int, int, int]], lengths: dict[int, int]) -> int:
     """Symbols behind a token that decide it, over all rules ``(left, right, merged)`` in rank order."""
     reach: dict[int, int] = {}  # of a token: over the rules that form it
@@ -115,6 +134,7 @@ class Vocabulary:
         self.pattern = regex.compile(split[0]["pattern"]["Regex"] if split else gpt)
         self.spaces_vanish = bool(split)
         self.space = regex.compile(r"\s+")
+        self.path = path
         self.byte_decoder = (spec.get("decoder") or {}).get("type") == "ByteLevel"
 
     def prepare(self, text: str) -> str:
@@ -124,6 +144,19 @@ class Vocabulary:
             text = text.replace("Σ", "σ").lower()
         return text
 
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def split_by_library(self, text: str) -> Iterator[bytes]:
+        """The words of a text as bytes."""
+        if self.library.normalizer is not None:
+            text = self.library.normalizer.normalize_str(text)
+        for word, _ in self.library.pre_tokenizer.pre_tokenize_str(text):
+            yield bytes([self.byte_of[c] for c in word])
+
 
 @functools.lru_cache(maxsize=4)
 def load(path: str) -> Vocabulary:
@@ -203,13 +236,16 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
+    def _encode(self, word: bytes) -> bytes:
+        transducer = Transducer(self.v, self.block)
+        ids = list(transducer.feed(word))
+        ids += transducer.finish()
+        return np.array(ids, dtype="<u4").tobytes()
+
     def _word(self, word: str) -> bytes:
         known = self.words.get(word)
         if known is None:
-            transducer = Transducer(self.v, self.block)
-            ids = list(transducer.feed(word.encode("utf-8", "replace")))
-            ids += transducer.finish()
-            known = np.array(ids, dtype="<u4").tobytes()
+            known = self._encode(word.encode("utf-8", "replace"))
             if len(word) <= self.block:
                 if len(self.words) >= self.entries:
                     self.words.clear()
@@ -225,6 +261,9 @@ class Encoder:
         return known
 
     def _plain(self, text: str) -> Iterator[bytes]:
+        if not text.isascii() and unassigned().search(text):
+            yield from map(self._encode, self.v.split_by_library(text))
+            return
         text = self.v.prepare(text)
         if not self.v.spaces_vanish:  # words carry their blanks
             for match in self.v.pattern.finditer(text):

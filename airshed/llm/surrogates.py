@@ -54,7 +54,14 @@ def _either(words) -> str:
 
 
 _CAP = r"\p{Lu}[\p{L}'’-]+"
-_TITLE = f"(?:{_either(t for ts in TITLES.values() for t in ts)})"
+
+
+def _titles(genders) -> str:
+    """Titles of the given genders, also in capitals."""
+    return _either({form for g in genders for t in TITLES[g] for form in (t, t.upper())})
+
+
+_TITLE = f"(?:{_titles(TITLES)})"
 _KNOWN = f"(?:{_either(n for ns in GIVEN.values() for n in ns)})"
 _CARD = r"(?:\d{4}[ -]?\d{6}[ -]?\d{5}|\d{4}(?:[ -]?\d{4}){3})"
 PATTERNS = {
@@ -90,7 +97,7 @@ def _name_parts(mention: Column) -> tuple[Column, Column, Column]:
         known = [n for (_, of), names in GIVEN.items() if of == g for n in names]
         gender = F.when(given.isin(known), F.lit(g)).otherwise(gender)
     for g in ("m", "f"):
-        gender = F.when(mention.rlike(rf"^(?:{_either(TITLES[g])})\.? "), F.lit(g)).otherwise(gender)
+        gender = F.when(mention.rlike(rf"^(?:{_titles([g])})\.? "), F.lit(g)).otherwise(gender)
     return given, family, gender
 
 
