@@ -1,0 +1,74 @@
+import re
+from fractions import Fraction
+
+import pytest
+
+from airshed.llm import decontam
+
+from .conftest import rows_of
+
+
+def shingles(text, n=5):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+    return {" ".join(words[i:i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def plain_find(docs, items, share=Fraction(4, 5)):
+    held, wanted = {}, {}
+    for table, rows in ((held, docs), (wanted, items)):
+        for key, text in rows:
+            if key is not None:
+                table.setdefault(key, set()).update(shingles(text))
+    return sorted((d, i, len(s & q), len(q)) for d, s in held.items() for i, q in wanted.items()
+                  if q and len(s & q) >= share * len(q))
+
+
+@pytest.fixture()
+def items(spark):
+    def build(rows):
+        return spark.createDataFrame(rows, "item_id long, text string").selectExpr("*", "text as hash", "text as doc_id")
+    return build
+
+
+def test_matches_brute_force(make, items, corpus):
+    wanted = [(k, " ".join(corpus[k].split()[2:2 + n])) for k, n in ((0, 30), (1, 12), (2, 40), (41, 25), (45, 60), (54, 20))]
+    broken = corpus[20].split()
+    broken[7] = "other"
+    wanted += [(90, " ".join(broken)), (91, corpus[20].upper()), (92, "never seen words in any of the texts at all")]
+    docs = rows_of(corpus + [f"lead in {t} and out" for _, t in wanted])
+    for share in (Fraction(4, 5), Fraction(1, 2), Fraction(1)):
+        got = decontam.find_items(make(docs, clashing=True), items(wanted), min_containment=share)
+        assert sorted(map(tuple, got.collect())) == plain_find([(r[0], r[1]) for r in docs], wanted, share)
+
+
+def test_item_at_the_threshold(make, items):
+    words = [f"w{k}" for k in range(24)]  # 20 shingles; cutting the last 4 words off leaves 16
+    docs = rows_of([" ".join(words[:20]), " ".join(words[:19]), " ".join(words)])
+    got = decontam.find_items(make(docs), items([(0, " ".join(words))]))
+    assert sorted(map(tuple, got.collect())) == [(0, 0, 16, 20), (2, 0, 20, 20)]
+
+
+def test_sketch_is_larger_than_what_may_be_missing(spark, items):
+    wanted = [(n, " ".join(f"a{n}x{k}" for k in range(n + 4))) for n in (1, 2, 3, 5, 8, 9, 31, 64, 100)]
+    shingled = decontam.item_shingles(items(wanted), "item_id", "text", 5)
+    sizes = {r.item_id: r["count"] for r in decontam.sketches(shingled).groupBy("item_id").count().collect()}
+    for n, _ in wanted:
+        assert sizes[n] > n - -(-n * 4 // 5)
+
+
+def test_without_broadcast(make, items, corpus, monkeypatch):
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
+    wanted = [(k, corpus[k]) for k in range(10)]
+    got = decontam.find_items(make(rows_of(corpus)), items(wanted))
+    assert sorted(map(tuple, got.collect())) == plain_find(list(enumerate(corpus)), wanted)
+
+
+def test_odd_rows(make, items, odd_rows):
+    wanted = [(1, None), (2, ""), (None, "one"), (3, "one"), (4, "same text in two rows with one id"), (4, " "), (5, "no id here")]
+    got = decontam.find_items(make(odd_rows, clashing=True), items(wanted))
+    assert sorted(map(tuple, got.collect())) == plain_find([(r[0], r[1]) for r in odd_rows], wanted)
+
+
+def test_empty_tables(make, items, corpus):
+    assert decontam.find_items(make([]), items([(1, "a b c d e f")])).collect() == []
+    assert decontam.find_items(make(rows_of(corpus[:3])), items([])).collect() == []
