@@ -45,7 +45,6 @@ CHUNK = 1 << 18
 PART_BYTES = 8 << 20  # text per partition of names
 SEGMENT_MASK = 63
 
-_HALF, _FULL = 16, 32
 _BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
                     ("data", pa.binary())])
 _BLOCK_SQL = "block long, doc_ids array<long>, lengths array<long>, data binary"
@@ -58,36 +57,34 @@ _ANSWER = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("answer", pa.
 
 # --- names of strings ------------------------------------------------------------------------------------------------
 
-def _scramble(x: np.ndarray) -> np.ndarray:
-    """A fixed mixing of 64-bit integers (in place)."""
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
+_WORD, _HALF, _FULL = 8, 16, 32
+_MULTIPLIERS = ((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
 
-def _byte_names(lane: int) -> np.ndarray:
-    return _scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(lane))
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at every place where eight are left, as one integer: their own name."""
+    n = max(0, len(data) - _WORD + 1)
+    out = np.empty(n, dtype=np.uint64)
+    for k in range(min(_WORD, n)):
+        count = (n - k + _WORD - 1) // _WORD
+        out[k::_WORD] = np.frombuffer(data[k:k + count * _WORD].tobytes(), dtype="<u8")
+    return out
 
 
-def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def _pair(first: np.ndarray, second: np.ndarray, lane: int = 0) -> np.ndarray:
     """The name of two neighbouring strings from their names."""
-    x = first * np.uint64(0x9E3779B97F4A7C15)
+    one, two = _MULTIPLIERS[lane]
+    x = first * np.uint64(one)
     x ^= x >> np.uint64(32)
     x += second
-    x *= np.uint64(0xC2B2AE3D27D4EB4F)
+    x *= np.uint64(two)
     x ^= x >> np.uint64(29)
     return x
 
 
-def _doubled(data: np.ndarray, lane: int, to: int) -> np.ndarray:
-    """Names of the strings of ``to`` bytes (a power of two) at every place where one fits."""
-    names, n = _byte_names(lane)[data], 1
-    while n < to:
-        names, n = _pair(names[:-n], names[n:]), 2 * n
-    return names
+def _double(names: np.ndarray, n: int) -> np.ndarray:
+    """Names of the strings of ``2 * n`` bytes from those of ``n`` bytes."""
+    return _pair(names[:-n], names[n:])
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -129,17 +126,21 @@ class Block:
     def documents_at(self, places: np.ndarray) -> np.ndarray:
         return self.order[np.searchsorted(self.ends, places, side="right")]
 
-    def anchors(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def anchors(self, parts: int, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Round A: ``(keys, places, run lengths)`` of runs of windows whose least 32-byte string is the same.
 
-        A key is the part in the upper half and 32 bits of the name in the lower one.
+        A key is the part in the upper half and 32 bits of the name in the lower one. ``cuts``, if given, is set where
+        the 16 bytes at a place end a segment.
         """
         keys, places, runs = [], [], []
         for at, end, piece in self.chunks():
             inside = self.windows[at:end]
             if not inside.any():
                 continue
-            least = _sliding_least(_doubled(piece, 0, _FULL), self.length - _FULL + 1)[:end - at]
+            half = _double(_words(piece), _WORD)
+            if cuts is not None:
+                cuts[at:end] = half[:end - at] & np.uint64(SEGMENT_MASK) == 0
+            least = _sliding_least(_double(half, _HALF), self.length - _FULL + 1)[:end - at]
             new = np.ones(end - at, dtype=bool)
             new[1:] = (least[1:] != least[:-1]) | (inside[1:] != inside[:-1])
             new[(self.starts[(self.starts > at) & (self.starts < end)] - at)] = True
@@ -154,30 +155,27 @@ class Block:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(keys), np.concatenate(places), np.concatenate(runs)
 
-    def active(self, shared: list[dict], parts: int) -> np.ndarray:
-        """Windows whose least 32-byte string another document holds too."""
-        out = np.zeros(len(self.data), dtype=bool)
+    def active(self, shared: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(active, cuts)``: windows whose least 32-byte string another document holds too; where segments end."""
+        cuts = np.zeros(len(self.data), dtype=bool)
         kept = [np.frombuffer(a["answer"], "<u4").astype(np.uint64) | np.uint64(a["part"] << 32)
                 for a in sorted(shared or [], key=lambda a: a["part"])]
         if not kept:
-            return out
-        keys, places, runs = self.anchors(parts)
+            return np.zeros(len(self.data), dtype=bool), cuts
+        keys, places, runs = self.anchors(parts, cuts)
         known = np.concatenate(kept)
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        hit = known[at] == keys
-        edge = np.zeros(len(self.data) + 1, dtype=np.int32)
-        np.add.at(edge, places[hit], 1)
-        np.add.at(edge, places[hit] + runs[hit], -1)
-        out[:] = np.cumsum(edge[:-1]) > 0
-        return out
-
-    def segments(self, active: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        hit = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+        return self.spread(places[hit], places[hit] + runs[hit]), cuts
+
+    def spread(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places inside disjoint ranges."""
+        edge = np.zeros(len(self.data) + 1, dtype=np.int8)
+        edge[starts] += 1
+        edge[ends] -= 1
+        return np.cumsum(edge[:-1], dtype=np.int8) > 0
+
+    def segments(self, active: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Round B: ``(high, low, first window, end of windows)`` of the segments whose windows are all active."""
-        cut = np.zeros(len(self.data), dtype=bool)
-        for at, end, piece in self.chunks():
-            if active[at:end].any():
-                half = _doubled(piece, 0, _HALF)[:end - at]
-                cut[at:end] = half & np.uint64(SEGMENT_MASK) == 0
         cut[self.starts[self.starts < len(self.data)]] = True
         first = np.flatnonzero(cut)
         last = np.append(first[1:], len(self.data))
@@ -193,37 +191,61 @@ class Block:
         return pairs["high"].copy(), pairs["low"].copy(), first, last
 
     def windows_names(self, use: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Round C: ``(high, low, place)`` of the chosen windows."""
+        """Round C: ``(high, low, place)`` of the chosen windows, in two lanes of doublings from eight bytes on."""
         high, low, places = [], [], []
-        skip = self.length - _FULL
         for at, end, piece in self.chunks():
             chosen = np.flatnonzero(use[at:end])
             if len(chosen):
-                for lane, out in ((1, high), (2, low)):
-                    full = _doubled(piece, lane, _FULL)
-                    out.append(_pair(full[chosen], full[chosen + skip]))
+                words = _words(piece)
+                for lane, out in ((0, high), (1, low)):
+                    out.append(self._name(words, chosen, lane))
                 places.append(chosen + at)
         if not places:
             return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
         return np.concatenate(high), (np.concatenate(low) >> np.uint64(32)).astype(np.uint32), np.concatenate(places)
 
+    def _name(self, words: np.ndarray, at: np.ndarray, lane: int) -> np.ndarray:
+        def full(shift: int) -> np.ndarray:
+            halves = [_pair(words[at + shift + k], words[at + shift + k + _WORD], lane) for k in (0, _HALF)]
+            return _pair(*halves, lane)
+
+        return _pair(full(0), full(self.length - _FULL), lane)
+
+
+def _runs(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(order, new)``: a stable order that brings equal names together, and where a name begins in it."""
+    order = np.argsort(high, kind="stable")
+    h, w = high[order], low[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = h[1:] != h[:-1]
+    if np.any((w[1:] != w[:-1]) & ~new[1:]):  # equal in one half only
+        order = np.lexsort((low, high))
+        h, w = high[order], low[order]
+        new[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
+    return order, new
+
 
 class Distinct:
-    """Names of one block, each once with the least document that holds it, sorted by part, document and name."""
+    """Names of one block, each once with the least document that holds it, sorted by part and place.
+
+    Names come by place, and a block's documents stand in ascending order, so a name's first place is that of the least.
+    """
 
     def __init__(self, high: np.ndarray, low: np.ndarray, order: np.ndarray, parts: int):
-        by_name = np.lexsort((order, low, high))
-        h, w, o = high[by_name], low[by_name], order[by_name]
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
-        h, w, o = h[new], w[new], o[new]
-        part = (h % np.uint64(parts)).astype(np.int64)
-        dealt = np.lexsort((o, part))  # stable: names stay sorted
-        self.high, self.low, self.order, self.part = h[dealt], w[dealt], o[dealt], part[dealt]
-        place = np.empty(len(dealt), dtype=np.int64)
-        place[dealt] = np.arange(len(dealt))
+        by_name, new = _runs(high, low)
+        first = by_name[new]
+        places = np.zeros(len(high), dtype=bool)
+        places[first] = True
+        places = np.flatnonzero(places)
+        part = (high[places] % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+        dealt = np.argsort(part, kind="stable")
+        entries = places[dealt]
+        self.high, self.low, self.order = high[entries], low[entries], order[entries]
+        self.part = part[dealt].astype(np.int64)
+        number = np.empty(len(high), dtype=np.int64)
+        number[entries] = np.arange(len(entries))
         self.of = np.empty(len(high), dtype=np.int64)  # entry of each given name
-        self.of[by_name] = place[np.cumsum(new) - 1]
+        self.of[by_name] = number[first][np.cumsum(new) - 1]
 
     def rows(self, block: Block) -> Iterator[dict]:
         cuts = np.flatnonzero(np.diff(self.part, prepend=-1))
@@ -292,7 +314,9 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _block(number: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
-    row = {"block": number, "doc_ids": list(ids), "lengths": [len(t) for t in texts], "data": b"".join(texts)}
+    order = sorted(range(len(ids)), key=lambda k: (ids[k] is not None, ids[k]))  # ascending, null ids first
+    row = {"block": number, "doc_ids": [ids[k] for k in order], "lengths": [len(texts[k]) for k in order],
+           "data": b"".join([texts[k] for k in order])}
     return pa.RecordBatch.from_pylist([row], schema=_BLOCK)
 
 
@@ -325,10 +349,7 @@ def _least_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             low = np.concatenate([np.frombuffer(r["low"], "<u4") for r in rows])
             doc = np.concatenate([np.repeat(np.frombuffer(r["doc_ids"], "<i8"), np.frombuffer(r["counts"], "<u4"))
                                   for r in rows])
-            order = np.lexsort((low, high))
-            h, w = high[order], low[order]
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
+            order, new = _runs(high, low)
             least = np.minimum.reduceat(doc[order], np.flatnonzero(new))
             smaller = np.empty(len(order), dtype=bool)
             smaller[order] = least[np.cumsum(new) - 1] < doc[order]
@@ -403,8 +424,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def segments(row: dict) -> tuple[Block, np.ndarray, Distinct, np.ndarray, np.ndarray, np.ndarray]:
         block = Block(row, length)
-        active = block.active(row["shared"], parts)
-        high, low, first, last = block.segments(active)
+        active, cuts = block.active(row["shared"], parts)
+        high, low, first, last = block.segments(active, cuts)
         order = block.documents_at(first)
         return block, active, Distinct(high, low, order, parts), order, first, last
 
@@ -420,10 +441,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         """What round B settled, and the names of the windows it left open."""
         block, active, distinct, order, first, last = segments(row)
         done = distinct.settled(row["settled"], order)
-        edge = np.zeros(len(block.data) + 1, dtype=np.int32)
-        np.add.at(edge, first[done], 1)
-        np.add.at(edge, last[done], -1)
-        settled = np.cumsum(edge[:-1]) > 0
+        settled = block.spread(first[done], last[done])
         high, low, places = block.windows_names(active & ~settled)
         order = block.documents_at(places)
         return block, settled, Distinct(high, low, order, parts), order, places
