@@ -17,8 +17,10 @@ to each other by text; each input row is a document. An empty table writes no sh
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from airshed.llm.common import documents, shuffle_partitions, staging_path, tabl
 
 SHARD_IDS = 1 << 20
 END_ID = 2
+TEXTS = 256  # encoded at a time
 BLOCK_BITS = 512
 FILE_SCHEMA = ("part int, shard int, start long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
                "zeros array<long>, planes binary, ranks binary")
@@ -46,11 +49,10 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, width: int) -> WaveletMatrix:
-        ids = ids.astype(np.uint32)
+        ids = ids.astype(np.uint16 if width <= 16 else np.uint32)
         zeros, planes, ranks = [], [], []
         for k in range(width - 1, -1, -1):
-            bits = (ids >> np.uint32(k)) & np.uint32(1)
-            ones = bits.astype(bool)
+            ones = (ids & ids.dtype.type(1 << k)) != 0
             packed = np.packbits(ones, bitorder="little")
             words = np.zeros(max(1, -(-len(ids) // 64)), dtype="<u8")
             words.view(np.uint8)[:len(packed)] = packed
@@ -59,7 +61,7 @@ class WaveletMatrix:
             planes.append(words)
             ranks.append(np.concatenate(([0], np.cumsum(per_block)[:-1])).astype("<u4"))
             zeros.append(int(len(ids) - ones.sum()))
-            ids = np.concatenate((ids[~ones], ids[ones]))
+            ids = np.concatenate((np.compress(~ones, ids), np.compress(ones, ids)))
         return cls(len(ids), zeros, planes, ranks)
 
     def to_bytes(self) -> tuple[bytes, bytes]:
@@ -101,14 +103,14 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids in order: the planes are undone from the last to the first."""
-        out = np.zeros(self.n, dtype=np.uint32)
+        out = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for k in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[k].view(np.uint8), bitorder="little", count=self.n).view(bool)
             back = np.empty_like(out)
-            back[~ones] = out[:self.zeros[k]]
-            back[ones] = out[self.zeros[k]:] | np.uint32(1 << (len(self.planes) - 1 - k))
+            back[np.flatnonzero(~ones)] = out[:self.zeros[k]]
+            back[np.flatnonzero(ones)] = out[self.zeros[k]:] | out.dtype.type(1 << (len(self.planes) - 1 - k))
             out = back
-        return out
+        return out.astype(np.uint32)
 
     def _range(self, token: int, start: int, end: int) -> tuple[int, int]:
         """Where the occurrences of a token between two places stand below the last plane."""
@@ -158,29 +160,65 @@ class WaveletMatrix:
         return int(at[0])
 
 
-def _encoder(path: str):
-    """Texts to ids by the tokenizers library, one thread."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _Encoder:
+    """Texts to ids by the tokenizers library, one thread, with a bounded cache of blank-separated chunks.
+
+    The byte-level pattern never joins what stands before a blank to what follows it, unless more white space or the
+    end follows the blank. So a text without such blanks is the sequence of its chunks, each with its blank in front;
+    the library encodes the chunks that the cache lacks. Any other text goes to the library whole, and so does one with
+    the string of an added token.
+    """
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], \
-        max(1, (tokenizer.get_vocab_size() - 1).bit_length())
+    _LONE_BLANK = re.compile(r" (?:\s|\Z)")
+
+    def __init__(self, path: str, entries: int = 1 << 19):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.entries = Tokenizer.from_file(path), entries
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.width = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
+        self.chunks: dict[str, bytes] = {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
+
+    def _whole(self, text: str) -> bool:
+        return self._LONE_BLANK.search(text) is not None or any(a in text for a in self.added)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        split = [None if self._whole(t) else t.split(" ") for t in texts]
+        first = [parts[0] if parts else t for parts, t in zip(split, texts)]  # without a blank in front, or whole
+        missing: set[str] = set()
+        for parts in split:
+            if parts:
+                missing.update(parts[1:])
+        missing = list(missing - self.chunks.keys())
+        self.chunks.update(zip(missing, self._library([" " + p for p in missing])))
+        known, out = self.chunks, []
+        for head, parts in zip(self._library(first), split):
+            rest = [known[p] for p in parts[1:]] if parts else []
+            out.append(np.frombuffer(b"".join([head, *rest]), dtype="<u4"))
+        if len(self.chunks) > self.entries:
+            self.chunks.clear()
+        return out
 
 
 def write_token_ids(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = END_ID,
                     shard_ids: int = SHARD_IDS, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``end_id``, and write the shards in ascending doc_id order to ``path``."""
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, width = _encoder(vocabulary_path)
+        encoder = _Encoder(vocabulary_path)
         part, shard, start = TaskContext.get().partitionId(), 0, 0
         doc_ids, pieces, held = [], [], 0
 
         def full() -> pa.RecordBatch:
             ids = np.concatenate(pieces)
-            matrix = WaveletMatrix.build(ids, max(width, int(end_id).bit_length()))
+            matrix = WaveletMatrix.build(ids, max(encoder.width, int(end_id).bit_length()))
             planes, ranks = matrix.to_bytes()
             row = {"part": part, "shard": shard, "start": start, "n_ids": len(ids), "doc_ids": doc_ids,
                    "doc_lengths": [len(p) for p in pieces], "zeros": matrix.zeros, "planes": planes, "ranks": ranks}
@@ -188,10 +226,10 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary_path: str, end_id: in
 
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(names), 64):  # a few texts at a time
-                for doc_id, ids in zip(names[at:at + 64], encode(texts.slice(at, 64).to_pylist())):
+            for at in range(0, len(names), TEXTS):
+                for doc_id, ids in zip(names[at:at + TEXTS], encoder.encode(texts.slice(at, TEXTS).to_pylist())):
                     doc_ids.append(doc_id)
-                    pieces.append(np.array(ids + [end_id], dtype=np.uint32))
+                    pieces.append(np.append(ids, np.uint32(end_id)))
                     held += len(ids) + 1
                     if held >= shard_ids:
                         yield full()
