@@ -180,11 +180,11 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, buckets
         x[k, at] = weights
     share = np.clip(labels.mean() if len(labels) else 0.5, 0.02, 0.98)
     weight = np.where(labels >= 0.5, 0.5 / share, 0.5 / (1 - share))
-    w, b, n = np.zeros(buckets, dtype=np.float64), 0.0, max(1, len(rows))
+    w, b, n = np.zeros(buckets, dtype=np.float32), 0.0, np.float32(max(1, len(rows)))
     for _ in range(epochs):
-        score = 1 / (1 + np.exp(-np.clip(x @ w + b, -40, 40)))
-        error = weight * (score - labels)
-        w -= RATE * (x.T @ error / n + L2 * w)
+        score = 1 / (1 + np.exp(-np.clip(x @ w + np.float32(b), -40, 40)))
+        error = (weight * (score - labels)).astype(np.float32)
+        w -= np.float32(RATE) * (error @ x / n + np.float32(L2) * w)
         b -= RATE * float(error.sum() / n)
     return w, b
 
