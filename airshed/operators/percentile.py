@@ -1,18 +1,14 @@
-"""Exact, interpolated percentiles (``PERCENTILE_CONT``) per group that stay distributed under heavy skew.
+"""Exact, interpolated percentiles (``PERCENTILE_CONT``) per group by counting, one plan for groups of every size.
 
-Groups are split by size (rows per group, a cheap partial aggregate):
+1. Values are counted: ``(group, measure, value) → count``, with a map-side combine, so repeated values cost one row.
+2. Every value falls in a slot, a fixed monotone function of the value (``SLOTS_PER_OCTAVE`` slots per power of two), so
+   a slot never holds values of two disjoint ranges. Counts per slot, summed up in slot order, give the rank at which
+   each slot starts. A group has a few thousand slots at most, however many rows or values it has.
+3. Ranks ⌊p⌋ and ⌈p⌉, p = q·(n−1), name at most two slots per group and measure. Only the values of these slots are
+   looked at again, in value order, and the two values are interpolated.
 
-* ordinary groups (≤ ``max_rows_in_task`` rows): rows are clustered by group and Spark's exact ``percentile`` builds
-  one buffer per group (at most one entry per distinct value), so memory per group is bounded by the threshold.
-* hot groups (more rows than that — "one city holds a third of all rows"): values are pre-aggregated to
-  ``(group, measure, value) → count`` (map-side combine), range-partitioned on ``(group, measure, value)`` so the hot
-  group spans many partitions, and each row gets its running count inside its (partition, group) segment. That result
-  is checkpointed to the shared checkpoint folder (fixing the sampled range bounds and cutting lineage). Per-segment
-  totals (≤ partitions + groups rows) give each segment's first rank; only the rows covering ranks ⌊p⌋ and ⌈p⌉,
-  p = q·(n−1), are kept and interpolated.
-
-No task holds more than the threshold's worth of one group's values, and nothing passes through the driver except the
-size of the largest group.
+No task sees a whole group, nothing passes through the driver, no job runs while the plan is built, and a group's result
+comes from the same arithmetic alone or inside any larger table.
 """
 
 from __future__ import annotations
@@ -20,15 +16,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.operators.sinks import staged_rewrite
-from airshed.session import ensure_checkpoint_dir
-
-
-# Rows one group may bring into a single aggregation buffer (an entry is ~40 bytes).
-DEFAULT_MAX_ROWS_IN_TASK = 2_000_000
+SLOTS_PER_OCTAVE = 256
 
 
 def value_counts(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
@@ -41,96 +32,57 @@ def value_counts(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[
             .withColumn("_c", F.when(F.col("_v").isNull(), F.lit(0)).otherwise(F.col("_c"))))
 
 
-def _null_safe_keys(g: list[str], prefix: str):
-    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{i}")) for i, c in enumerate(g)])
+def slot(value: Column) -> Column:
+    """A monotone slot number: 0 at zero, one octave of ``1 + |v|`` every ``SLOTS_PER_OCTAVE`` slots; NULL for NULL.
+
+    NaN sorts above every number and gets the last slot.
+    """
+    size = F.floor(F.log2(1 + F.abs(value)) * SLOTS_PER_OCTAVE).cast("long")
+    finite = F.when(value < 0, -size - 1).otherwise(size)
+    limit = 2000 * SLOTS_PER_OCTAVE  # beyond the largest double
+    return F.when(value.isNull(), F.lit(None).cast("long")) \
+        .when(F.isnan(value) | (value == float("inf")), F.lit(limit).cast("long")) \
+        .when(value == float("-inf"), F.lit(-limit).cast("long")).otherwise(finite)
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
 
 
 def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], q: float = 0.5,
-                     names: Sequence[str] | None = None, num_partitions: int | None = None,
-                     max_rows_in_task: int = DEFAULT_MAX_ROWS_IN_TASK, materialize_input: bool = False) -> DataFrame:
+                     names: Sequence[str] | None = None) -> DataFrame:
     """One row per group with the exact ``percentile_cont(q)`` of each value column (NULLs ignored).
 
     Groups whose values are all NULL yield NULL, like SQL. Grouping keys may be NULL (NULL forms one group).
-    The hot-group test reads the input once more; when the input is an expensive derivation (joins, aggregates)
-    rather than a table scan, ``materialize_input`` writes its (group, value) columns once as a staged Parquet table
-    in the shared checkpoint folder so both passes read that copy.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be within [0, 1]")
     g = list(group_cols)
     names = list(names or [f"p{int(q * 100)}_{c}" for c in value_cols])
-    rows = df.select(*g, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(value_cols)])
-    xs = [f"_x{i}" for i in range(len(value_cols))]
-    if materialize_input:
-        rows = staged_rewrite(rows, "percentile-input")
-
-    def in_buffer(d: DataFrame) -> DataFrame:
-        # Every group on this path has at most ``max_rows_in_task`` rows, so the rows are clustered by group first and
-        # each group's value buffer is built once, in one task (no per-map-task partial buffers to serialise).
-        return d.repartition(*g).groupBy(*g).agg(*[F.percentile(F.col(x), F.lit(float(q))).alias(n)
-                                                   for x, n in zip(xs, names)])
-
-    sizes = rows.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    # One global aggregate (one job) answers "is any group hot?"; only that number reaches the driver.
-    largest = sizes.agg(F.max("_n").alias("m")).first()["m"] or 0
-    if largest <= max_rows_in_task:
-        return in_buffer(rows)
-    hot = sizes.filter(F.col("_n") > max_rows_in_task).select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(g)])
-    cool = rows.join(hot, _null_safe_keys(g, "_h"), "left_anti")
-    hot_rows = rows.join(hot, _null_safe_keys(g, "_h"), "left_semi")
-    return in_buffer(cool).unionByName(_ranged_percentile(value_counts(hot_rows, g, xs), g, q, names, num_partitions))
-
-
-def _left_by_group(base: DataFrame, wide: DataFrame, g: list[str], names: list[str]) -> DataFrame:
-    base = base.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(g)])
-    on = reduce(lambda a, b: a & b, [F.col(f"_b{i}").eqNullSafe(F.col(c)) for i, c in enumerate(g)])
-    return base.join(wide, on, "left").select(*[F.col(f"_b{i}").alias(c) for i, c in enumerate(g)],
-                                              *[F.col(n) for n in names])
-
-
-def _ranged_percentile(counted: DataFrame, g: list[str], q: float, names: list[str],
-                       num_partitions: int | None) -> DataFrame:
-    spark = counted.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    in_segment = Window.partitionBy("_pid", *g, "_m").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranged = (counted.repartitionByRange(parts, *g, "_m", "_v")
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_cum", F.sum("_c").over(in_segment))
-              .checkpoint(eager=True))
-
-    per_group = Window.partitionBy(*g, "_m")
-    segments = (ranged.groupBy("_pid", *g, "_m").agg(F.sum("_c").alias("_seg_n"))
-                .withColumn("_n", F.sum("_seg_n").over(per_group))
-                .withColumn("_start", F.sum("_seg_n").over(per_group.orderBy("_pid")
-                                                          .rowsBetween(Window.unboundedPreceding, 0)) - F.col("_seg_n"))
-                .withColumn("_pos", F.lit(q) * (F.col("_n") - 1))
-                .withColumn("_k1", F.floor("_pos"))
-                .withColumn("_k2", F.ceil("_pos")))
-    seg_end = F.col("_start") + F.col("_seg_n")
-    targets = segments.filter((F.col("_n") > 0) & (
-        ((F.col("_k1") >= F.col("_start")) & (F.col("_k1") < seg_end))
-        | ((F.col("_k2") >= F.col("_start")) & (F.col("_k2") < seg_end))
-    )).select("_pid", *g, "_m", "_start", "_pos", "_k1", "_k2")
-
-    # Target keys get their own names so the join back to ``ranged`` (its own descendant) resolves unambiguously.
-    keys = ["_pid", *g, "_m"]
-    renamed = {c: f"_t{i}" for i, c in enumerate(keys)}
-    targets = targets.select(*[F.col(c).alias(renamed[c]) for c in keys], "_start", "_pos", "_k1", "_k2")
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(renamed[c])) for c in keys])
-    joined = ranged.join(targets, on, "inner").select(*keys, "_v", "_c", "_cum", "_start", "_pos", "_k1", "_k2")
-    lo = F.col("_start") + F.col("_cum") - F.col("_c")
-    hi = F.col("_start") + F.col("_cum")
-    covers = lambda k: (F.col("_c") > 0) & (F.col(k) >= lo) & (F.col(k) < hi)
-    picked = (joined.filter(covers("_k1") | covers("_k2"))
-              .groupBy(*g, "_m")
-              .agg(F.max(F.when(covers("_k1"), F.col("_v"))).alias("_v1"),
-                   F.max(F.when(covers("_k2"), F.col("_v"))).alias("_v2"),
-                   F.first("_pos").alias("_pos"), F.first("_k1").alias("_k1"))
-              .withColumn("_p", F.col("_v1") + (F.col("_pos") - F.col("_k1")) * (F.col("_v2") - F.col("_v1"))))
-
-    wide = picked.groupBy(*g).agg(*[F.max(F.when(F.col("_m") == i, F.col("_p"))).alias(n) for i, n in enumerate(names)])
-    return _left_by_group(segments.select(*g).distinct(), wide, g, names)
+    counted = value_counts(df, g, value_cols).withColumn("_s", slot(F.col("_v")))
+
+    group = Window.partitionBy(*g, "_m")
+    running = group.orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slots = (counted.groupBy(*g, "_m", "_s").agg(F.sum("_c").alias("_k"))
+             .withColumn("_n", F.sum("_k").over(group))
+             .withColumn("_first", F.sum("_k").over(running) - F.col("_k"))
+             .withColumn("_pos", F.lit(float(q)) * (F.col("_n") - 1)))
+    low, high, end = F.floor("_pos"), F.ceil("_pos"), F.col("_first") + F.col("_k")
+    holds = [(rank >= F.col("_first")) & (rank < end) for rank in (low, high)]
+    # one row per group and measure without values keeps the group in the result
+    wanted = slots.where(holds[0] | holds[1] | (F.col("_n") == 0))
+    keys = [*g, "_m", "_s"]
+    renamed = [f"_w{i}" for i in range(len(keys))]
+    wanted = wanted.select(*[F.col(c).alias(r) for c, r in zip(keys, renamed)], "_first", "_pos", "_n")
+
+    in_slot = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (counted.join(wanted, _same(keys, renamed)).select(*keys, "_v", "_c", "_first", "_pos")
+              .withColumn("_end", F.col("_first") + F.sum("_c").over(in_slot)))
+    start = F.col("_end") - F.col("_c")
+    picks = [F.max(F.when((rank >= start) & (rank < F.col("_end")), F.col("_v"))) for rank in (low, high)]
+    picked = (ranked.groupBy(*g, "_m").agg(picks[0].alias("_lo"), picks[1].alias("_hi"), F.max("_pos").alias("_pos"))
+              .withColumn("_p", F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))))
+    return picked.groupBy(*g).agg(*[F.max(F.when(F.col("_m") == i, F.col("_p"))).alias(n) for i, n in enumerate(names)])
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
