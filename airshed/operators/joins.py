@@ -1,4 +1,4 @@
-"""Join operators: full-outer count merge, size-checked broadcast, dimension lookups, positional zips."""
+"""Join operators: full-outer count merge, dimension lookups, positional zips."""
 
 from __future__ import annotations
 
@@ -8,25 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows we are willing to ship to every executor when a caller asks for a broadcast.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 
 def null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; scans only until the bound is exceeded."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked size; otherwise leave the strategy to AQE (sort-merge or, at runtime,
-    broadcast when the materialized side turns out small)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def full_outer_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], left_count: str, right_count: str,
                       total_name: str) -> DataFrame:
     """FULL OUTER JOIN of two count tables on ``keys``; keys coalesced, missing counts become 0, plus their sum.

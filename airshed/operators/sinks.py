@@ -1,10 +1,9 @@
 """Keyed loads into warehouse tables: insert-if-absent, last-write-wins upsert, strict append, history union.
 
 Plain Parquet has no MERGE, so each load is computed as a DataFrame (anti join / latest-per-key / collision report).
-Insert-if-absent and strict append only append new files; an upsert stages the merged partitions in the shared
-checkpoint folder and then replaces just those partitions (dynamic partition overwrite). Deduplication always goes
-through ``max_by``/``min_by`` aggregates (partial aggregation), never through a window that would gather a hot key
-into one task.
+Insert-if-absent and strict append only append new files; an upsert writes the merged partitions beside the table and
+then puts them in the place of the old ones. Deduplication always goes through ``max_by``/``min_by`` aggregates
+(partial aggregation), never through a window that would gather a hot key into one task.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airshed.operators import storage
 from airshed.operators.latest import latest_per_key
 from airshed.session import shared_path
 
@@ -27,32 +27,34 @@ def any_null(keys: Sequence[str]) -> Column:
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], keep: str = "first") -> DataFrame:
     """One row per non-NULL key, chosen deterministically by ``order_cols`` (``keep`` = 'first' or 'last').
 
-    Rows with a NULL key component pass through untouched: a SQL UNIQUE constraint never sees them as equal.
+    Rows with a NULL key component pass through untouched: a SQL UNIQUE constraint never sees them as equal. They get a
+    number of their own beside the key, so one aggregate over one scan serves both kinds.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
     values = [c for c in df.columns if c not in keys]
-    clean = df.filter(~any_null(keys))
-    picked = latest_per_key(clean, keys, order_cols, values, nulls_latest=False, earliest=(keep == "first"))
-    return picked.select(*df.columns).unionByName(df.filter(any_null(keys)))
+    alone = df.withColumn("_alone", F.when(any_null(keys), F.monotonically_increasing_id()))
+    picked = latest_per_key(alone, [*keys, "_alone"], order_cols, values, nulls_latest=False, earliest=(keep == "first"))
+    return picked.select(*df.columns)
+
+
+def _in_range(target: DataFrame, batch: DataFrame, col: str) -> DataFrame:
+    """Target rows within the batch's [min, max] of a column, found with one more look at the batch."""
+    bounds = batch.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    return target.filter(F.col(col).between(bounds["lo"], bounds["hi"]))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                      keep: str = "first", prune_col: str | None = None) -> DataFrame:
     """Rows of ``batch`` to append: ``INSERT … ON CONFLICT (keys) DO NOTHING``.
 
-    The batch is deduplicated first (one row per key); existing keys win; keys with a NULL never conflict.
-    ``prune_col`` (a column in both tables, e.g. a day the table is partitioned by) restricts the target scan to the
-    batch's [min, max] range through scalar subqueries, so only the touched partitions are read.
+    The batch is deduplicated first (one row per key); existing keys win; keys with a NULL never conflict (an anti join
+    never matches them). ``prune_col`` (a column in both tables, e.g. a day the table is partitioned by) restricts the
+    target scan to the batch's [min, max] range through a scalar subquery, so only the touched partitions are read.
     """
     fresh = dedupe_by_key(batch, keys, order_cols, keep)
-    existing = target.select(*keys).filter(~any_null(keys))
-    if prune_col is not None:
-        lo = batch.select(F.min(prune_col)).scalar()
-        hi = batch.select(F.max(prune_col)).scalar()
-        existing = target.filter(F.col(prune_col).between(lo, hi)).select(*keys).filter(~any_null(keys))
-    new_keyed = fresh.filter(~any_null(keys)).join(existing, list(keys), "left_anti")
-    return new_keyed.unionByName(fresh.filter(any_null(keys))).select(*batch.columns)
+    existing = target if prune_col is None else _in_range(target, batch, prune_col)
+    return fresh.join(existing.select(*keys), list(keys), "left_anti").select(*batch.columns)
 
 
 def apply_insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
@@ -88,9 +90,7 @@ def strict_append_conflicts(target: DataFrame, batch: DataFrame, keys: Sequence[
     """
     batch_keys = batch.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_batch"))
     if prune_col is not None:
-        lo = batch.select(F.min(prune_col)).scalar()
-        hi = batch.select(F.max(prune_col)).scalar()
-        target = target.filter(F.col(prune_col).between(lo, hi))
+        target = _in_range(target, batch, prune_col)
     target_keys = target.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_target"))
     report = batch_keys.join(target_keys, list(keys), "left")
     return (report.select(*keys, "n_batch", F.coalesce(F.col("n_target"), F.lit(0)).alias("n_target"))
@@ -107,66 +107,56 @@ def union_history(history: DataFrame, new: DataFrame, slice_col: str | None = No
 
 
 def strict_append(target_path: str, target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                  fmt: str = "parquet", prune_col: str | None = None, partition_by: Sequence[str] = ()) -> None:
+                  fmt: str = "parquet", prune_col: str | None = None, partition_by: Sequence[str] = (),
+                  sort_within: Sequence[str] = ()) -> None:
     """Append ``batch`` only when no key collides; otherwise raise with the number of conflicting keys."""
     conflicts = strict_append_conflicts(target, batch, keys, prune_col)
     if not conflicts.isEmpty():
         raise ValueError(f"strict append refused: {conflicts.count()} conflicting keys")
-    writer = batch.write.mode("append").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(target_path)
+    storage.write_partitioned(batch, target_path, partition_by, sort_within, fmt)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
-                fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write a table (optionally partitioned, rows clustered inside each file for row-group skipping)."""
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    writer = out.write.mode(mode).format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+                fmt: str = "parquet") -> None:
+    """Write a new version of a table (optionally partitioned, rows in order inside each file for row-group skipping).
+
+    The version is complete beside the table before it takes its place; a failing write leaves the table as it was.
+    """
+    storage.replace_table(df.sparkSession, path, lambda staging: storage.write_partitioned(
+        df, staging, partition_by, sort_within, fmt))
 
 
-def staged_rewrite(df: DataFrame, spark_path_hint: str = "stage", fmt: str = "parquet") -> DataFrame:
-    """Materialise ``df`` to a fresh staging folder under the shared checkpoint directory and read it back.
+def staged_rewrite(df: DataFrame, label: str = "stage", fmt: str = "parquet") -> DataFrame:
+    """Materialise ``df`` to a fresh folder under the shared checkpoint directory and read it back.
 
-    Used when a load reads and rewrites the same table (upsert, history merge): the new version is complete on shared
-    storage before the old one is replaced, and lineage is cut so executor loss cannot replay a half-written source.
+    Cuts lineage, so executor loss cannot replay a half-written source. The folder goes when the session ends.
     """
-    path = shared_path(df.sparkSession, "staging", f"{spark_path_hint}-{uuid.uuid4().hex}")
+    path = shared_path(df.sparkSession, "staging", f"{label}-{uuid.uuid4().hex}")
+    fs, jpath = storage._fs(df.sparkSession, path)
+    fs.deleteOnExit(jpath)
     df.write.mode("errorifexists").format(fmt).save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
 
 
 def upsert_table(target_path: str, batch: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
-                 partition_col: str, fmt: str = "parquet") -> None:
+                 partition_col: str, fmt: str = "parquet", sort_within: Sequence[str] = ()) -> None:
     """Upsert ``batch`` into a table partitioned by ``partition_col`` (a function of the key, e.g. the day of the
-    observation timestamp), rewriting only the partitions the batch touches.
+    observation timestamp; it may be NULL), rewriting only the partitions the batch touches.
 
-    The touched partitions are read (partition filters from the batch's range, then a semi join), merged
-    with :func:`upsert_latest`, staged in the shared checkpoint folder (the source of the rewrite must not be the
-    files being replaced) and written back with dynamic partition overwrite. Untouched partitions are never read.
+    The touched partitions are read (partition filters from the batch's range, then a null-safe semi join), merged with
+    :func:`upsert_latest`, written beside the table and moved into the place of the old ones. Untouched partitions are
+    never read. A table that cannot be read fails the job; only a missing one counts as empty.
     """
     spark = batch.sparkSession
-    try:
-        target = spark.read.format(fmt).load(target_path)
-    except Exception:  # first load: nothing to merge with
-        target = None
+    target = storage.read_if_exists(spark, target_path, fmt)
     if target is None:
         merged = upsert_latest(batch.limit(0), batch, keys, order_cols)
     else:
-        # The [min, max] range enters the scan's partition filters (scalar subqueries are evaluated before files
-        # are listed); the semi join then keeps exactly the touched partitions.
-        lo = batch.select(F.min(partition_col)).scalar()
-        hi = batch.select(F.max(partition_col)).scalar()
-        touched = batch.select(partition_col).distinct()
-        scoped = target.filter(F.col(partition_col).between(lo, hi)).join(touched, [partition_col], "left_semi")
+        part = F.col(partition_col)
+        bounds = batch.select(F.struct(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"))).scalar()
+        touched = batch.select(part.alias("_touched")).distinct()
+        scoped = target.filter(part.between(bounds["lo"], bounds["hi"]) | part.isNull()) \
+            .join(touched, part.eqNullSafe(F.col("_touched")), "left_semi")
         merged = upsert_latest(scoped, batch.select(*target.columns), keys, order_cols)
-    staged = staged_rewrite(merged, "upsert")
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(partition_col).format(fmt).save(target_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    storage.replace_partitions(spark, target_path, lambda staging: storage.write_partitioned(
+        merged, staging, [partition_col], sort_within, fmt))

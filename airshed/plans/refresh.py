@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 
+from airshed.operators import storage
 from airshed.operators.sinks import write_table
 
 # Fixed value: refresh order of the views (sources before the master view that reads them).
@@ -34,31 +36,35 @@ class RefreshReport:
         return self.failed is None
 
 
+def _day_of(folder: str) -> str:
+    """The day in a partition folder's name; '' for the folder of rows without a day, which ``since`` never covers."""
+    value = unquote(folder.partition("=")[2])
+    return value if value[:1].isdigit() else ""
+
+
 def refresh_views(builders: dict[str, Callable[[], DataFrame]], root: str, order: Sequence[str] = tuple(VIEW_ORDER),
                   partition_by: dict[str, Sequence[str]] | None = None,
-                  clustering: dict[str, Sequence[str]] | None = None, incremental: bool = False) -> RefreshReport:
-    """Overwrite ``root/<view>`` for each view in ``order``. A failing view stops the run and is reported (the views
-    already written stay valid — each write is its own atomic overwrite). Rows are sorted within each output file
-    by the view's lookup columns (no global sort, no extra shuffle). With ``incremental`` a partitioned view only
-    replaces the partitions its DataFrame produces (dynamic partition overwrite)."""
+                  clustering: dict[str, Sequence[str]] | None = None, since: str | None = None) -> RefreshReport:
+    """Rebuild ``root/<view>`` for each view in ``order``; a failing view stops the run and is reported.
+
+    A view is written beside its old version and then takes its place, so a failure leaves the old one readable. Rows
+    are sorted within each output file by the view's lookup columns. With ``since`` ('YYYY-MM-DD') a partitioned view
+    replaces the partitions from that day on: those it yields, and those that no longer yield rows go.
+    """
     report = RefreshReport()
     clustering = VIEW_CLUSTERING if clustering is None else clustering
     for name in order:
         if name not in builders:
             continue
-        parts = (partition_by or {}).get(name, ())
+        parts, sort, path = (partition_by or {}).get(name, ()), clustering.get(name, ()), f"{root}/{name}"
         try:
             df = builders[name]()
-            if incremental and parts:
-                spark = df.sparkSession
-                previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-                spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-                try:
-                    write_table(df, f"{root}/{name}", partition_by=parts, sort_within=clustering.get(name, ()))
-                finally:
-                    spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+            if since and parts:
+                storage.replace_partitions(
+                    df.sparkSession, path, lambda staging: storage.write_partitioned(df, staging, parts, sort),
+                    gone=lambda folder: _day_of(folder) >= since)
             else:
-                write_table(df, f"{root}/{name}", partition_by=parts, sort_within=clustering.get(name, ()))
+                write_table(df, path, partition_by=parts, sort_within=sort)
         except Exception as exc:  # report, do not pretend success
             report.failed, report.error = name, f"{type(exc).__name__}: {exc}"
             break

@@ -1,8 +1,10 @@
+import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from airshed.operators import sinks
+from airshed.operators import sinks, storage
 
 SCHEMA = "k1 string, k2 int, seq int, v string"
 
@@ -29,6 +31,7 @@ def test_insert_if_absent_existing_wins_and_idempotent(spark):
     keyed_after = after.filter("k2 IS NOT NULL")
     again = sinks.insert_if_absent(keyed_after, batch.filter("k2 IS NOT NULL"), ["k1", "k2"], ["seq"])
     assert again.count() == 0                                   # re-running the same load adds nothing
+    assert rows(sinks.insert_if_absent(after, batch, ["k1", "k2"], ["seq"])) == [("n", None, 1, "z")] * 2
     assert rows(after.filter("k1 = 'a'")) == [("a", 1, 0, "old")]
 
 
@@ -82,3 +85,80 @@ def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_dir):
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("k1", "day", "v").collect())
     assert got == [("a", 1, "d1-new"), ("b", 2, "d2"), ("c", 3, "d3")]
     assert sorted(os.listdir(f"{path}/day=2")) == untouched            # day 2 files were not rewritten
+
+
+DAYS = "k1 string, day int, seq int, v string"
+
+
+def test_upsert_fails_on_an_unreadable_partition(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    sinks.upsert_table(path, spark.createDataFrame([("a", 0, 1, "x"), ("b", 1, 1, "y"), ("c", 1, 1, "z")], DAYS),
+                       ["k1", "day"], ["seq"], "day")
+    for part in glob.glob(f"{path}/day=0/*.parquet"):
+        with open(part, "wb") as fh:
+            fh.write(b"not parquet")
+    for crc in glob.glob(f"{path}/day=0/.*.crc"):
+        os.remove(crc)
+    with pytest.raises(Exception):
+        sinks.upsert_table(path, spark.createDataFrame([("d", 0, 1, "n"), ("e", 1, 1, "n")], DAYS), ["k1", "day"],
+                           ["seq"], "day")
+    kept = spark.read.schema("k1 string, seq int, v string").parquet(f"{path}/day=1")
+    assert sorted(r.k1 for r in kept.collect()) == ["b", "c"]        # nothing was replaced
+
+
+def test_upsert_keeps_rows_without_a_partition_value(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    for batch in ([("a", None, 1, "x"), ("b", 1, 1, "y")], [("c", None, 1, "z")], [("a", None, 1, "x2")]):
+        sinks.upsert_table(path, spark.createDataFrame(batch, DAYS), ["k1"], ["seq"], "day")
+    assert sorted((r.k1, r.day, r.v) for r in spark.read.parquet(path).collect() if r.day is None) == \
+        [("a", None, "x2"), ("c", None, "z")]
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_failing_write_leaves_the_table(spark, tmp_dir):
+    path = f"{tmp_dir}/view"
+    sinks.write_table(spark.range(2), path)
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        sinks.write_table(broken, path)
+    assert spark.read.parquet(path).count() == 2
+    assert [n for n in os.listdir(tmp_dir) if n.startswith("_")] == []     # no staging left behind
+    sinks.write_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_partitions_are_replaced_and_removed(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    frame = lambda days: spark.createDataFrame([(d, d) for d in days], "day int, v int")
+    write = lambda df: lambda staging: storage.write_partitioned(df, staging, ["day"])
+    storage.replace_partitions(spark, path, write(frame([1, 2, 3])))
+    storage.replace_partitions(spark, path, write(frame([2])), gone=lambda name: name >= "day=2")
+    assert sorted(r.day for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_missing_table_is_empty_and_others_fail(spark, tmp_dir):
+    assert storage.read_if_exists(spark, f"{tmp_dir}/none") is None
+    os.makedirs(f"{tmp_dir}/bad")
+    with open(f"{tmp_dir}/bad/part-0.parquet", "wb") as fh:
+        fh.write(b"no")
+    with pytest.raises(Exception):
+        storage.read_if_exists(spark, f"{tmp_dir}/bad")
+
+
+def test_files_per_partition_are_few_and_ordered(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    df = spark.range(4000).select((F.col("id") % 20).cast("int").alias("day"), F.rand(1).alias("city"),
+                                  "id").repartition(8)
+    storage.write_partitioned(df, path, ["day"], ["city"])
+    files = glob.glob(f"{path}/day=*/*.parquet")
+    assert len(files) == 20                                                # one per day, not tasks times days
+    for part in files:
+        cities = [r.city for r in spark.read.parquet(part).collect()]
+        assert cities == sorted(cities)
+
+
+def test_a_batch_written_again_replaces_itself(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    for name, n in (("b0", 3), ("b1", 2), ("b0", 4)):
+        storage.append_batch(spark, path, name, lambda staging, n=n: spark.range(n).write.parquet(staging))
+    assert spark.read.parquet(path).count() == 6
