@@ -44,8 +44,12 @@ def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = TARGET_PARTIT
 
 
 def build_session(master: str | None = None, app_name: str = "airshed", shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
-    """Create (or reuse) a session with the package defaults applied (``cluster`` adds :data:`CLUSTER_CONF`)."""
+                  extra: dict[str, str] | None = None, cluster: bool = False,
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """Create (or reuse) a session with the package defaults applied (``cluster`` adds :data:`CLUSTER_CONF`).
+
+    ``checkpoint_dir`` is used where the cluster sets no ``spark.checkpoint.dir``.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -61,23 +65,39 @@ def build_session(master: str | None = None, app_name: str = "airshed", shuffle_
     for key, value in conf.items():
         if key.startswith("spark.sql."):
             spark.conf.set(key, value)
+    sc = spark.sparkContext
+    if checkpoint_dir and not (sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)):
+        sc.setCheckpointDir(checkpoint_dir)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
+def checkpoint_dir_for(configured: str | None, master: str) -> str:
+    """The checkpoint folder a session may use: the configured one, or a private one where everything is local."""
+    if configured:
+        return configured
+    if is_local(master):
+        return tempfile.mkdtemp(prefix="airshed-ckpt-")
+    raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here. A private directory is created only when
-    the setting is absent, which happens in local tests.
+    On a cluster this setting points at shared storage and is only read here; without it the job fails. A private
+    directory is created only in local mode, which happens in tests.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="airshed-ckpt-")
+    configured = checkpoint_dir_for(configured, sc.master)
     sc.setCheckpointDir(configured)
     return configured
 

@@ -1,5 +1,6 @@
+import pytest
+
 from airshed import session
-from airshed.sources.tables import read_table, view_name
 
 
 def test_checkpoint_dir_comes_from_the_session(spark):
@@ -15,10 +16,9 @@ def test_shuffle_partitions_for_volume():
     assert session.CLUSTER_CONF["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
 
 
-def test_input_tables_open_once_per_session(spark):
-    d = "/root/testdata/sf0.001"
-    a = read_table(spark, d, "nation")
-    assert spark.catalog.tableExists(view_name(d, "nation"))
-    b = read_table(spark, d, "nation")
-    assert a.count() == b.count() == 25
-    assert view_name(d, "nation") != view_name("/root/testdata/sf0.01", "nation")
+def test_without_a_shared_folder_only_local_sessions_run():
+    assert session.checkpoint_dir_for("hdfs://x/ckpt", "yarn") == "hdfs://x/ckpt"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session.checkpoint_dir_for(None, master)
+    assert session.checkpoint_dir_for(None, "local[2]")
