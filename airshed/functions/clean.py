@@ -19,8 +19,11 @@ FOOTNOTE = r"\[\d+\]"
 
 
 def safe_int(text) -> Column:
-    """``int(float(x or 0))``: NULL and '' become 0, fractions truncate toward zero, junk becomes 0."""
-    return F.coalesce(as_col(text).try_cast("double"), F.lit(0.0)).cast("int")
+    """``int(float(x or 0))``: NULL and '' become 0, fractions truncate toward zero, junk becomes 0.
+
+    Junk is whatever is not a number that an int can hold: other text, NaN, infinities, 1e12.
+    """
+    return F.coalesce(as_col(text).try_cast("double").try_cast("int"), F.lit(0))
 
 
 def blank_to_null(c) -> Column:

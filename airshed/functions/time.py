@@ -49,13 +49,13 @@ def parse_flight_ts(text, strict_fraction: bool = True) -> Column:
 
 def parse_ts_multi(text, formats: list[str], strict: bool = False) -> Column:
     """Try each Spark datetime pattern in order; with ``strict`` an unparsable non-NULL value raises instead of
-    yielding NULL. (Patterns are parsed in the session zone, which this package pins to UTC.)"""
+    yielding NULL. The wall clock is read as it stands, without the session time zone."""
     s = as_col(text)
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats])
+    parsed = F.coalesce(*[_ntz(s, fmt) for fmt in formats])
     if strict:
         parsed = F.when(s.isNull() | parsed.isNotNull(), parsed).otherwise(
             F.raise_error(F.concat(F.lit("unparsable timestamp: "), s)))
-    return to_ntz(parsed)
+    return parsed
 
 
 def hour_in_window(ts, lo: int = 6, hi: int = 9, inclusive_hi: bool = True) -> Column:

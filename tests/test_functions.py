@@ -31,10 +31,23 @@ def test_parse_ts_multi_strict_raises(spark):
     assert [r["r"] for r in ok] == [dt.datetime(2024, 1, 1, 6), None]
 
 
+def test_parse_ts_multi_ignores_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-03-10T02:30:00",)], "s string")  # a gap there
+        out = df.select(tfn.parse_ts_multi("s", ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss"], strict=True).alias("r"))
+        assert [r["r"] for r in out.collect()] == [dt.datetime(2024, 3, 10, 2, 30)] * 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_safe_int(spark):
-    vals = [None, "", "0", "12.7", "-3.9", "junk", "7"]
+    vals = [None, "", "0", "12.7", "-3.9", "junk", "7", "NaN", "Infinity", "-Infinity", "1e12", "-3e9", "2147483647",
+            "2147483648", "12abc"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
-    assert [r["r"] for r in df.select(clean.safe_int("s").alias("r")).collect()] == [0, 0, 0, 12, -3, 0, 7]
+    assert [r["r"] for r in df.select(clean.safe_int("s").alias("r")).collect()] == [
+        0, 0, 0, 12, -3, 0, 7, 0, 0, 0, 0, 0, 2147483647, 0, 0]
 
 
 def test_hour_windows(spark):

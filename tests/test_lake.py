@@ -94,6 +94,7 @@ def road_lake(tmp_dir):
     base = os.path.join(tmp_dir, "road")
     recs = [road_rec("A1", 100, 50, 60, 1), road_rec("A1", 300, 30, 60, 3), road_rec(None, 50),
             road_rec("B2", 0, 40, 50, 2), road_rec("C3", 200, None, 70, 0)]
+    recs.append(road_rec("", 10, 70))
     write(os.path.join(base, "2024-01-01", "Zürich_2024-01-01T05--00--00_2024-01-01T08--00--00.json"),
           json.dumps(recs))
     write(os.path.join(base, "2024-01-01", "Paris_2024-01-01T05--00--00_2024-01-01T08--00--00.json"),
@@ -105,7 +106,7 @@ def test_road_reader_weighted_means_and_medians(spark, road_lake):
     load = lake.read_road(spark, road_lake)
     assert load.rejects.collect()[0]["reason"] == "missing_key"
     rows = load.rows
-    assert rows.filter("city = 'Zürich'").count() == 5
+    assert rows.filter("city = 'Zürich'").count() == 6
     assert rows.select(F.min("date")).first()[0] == dt.datetime(2024, 1, 1, 5)
     seg = weighted_means(rows, ["date", "city", "road"], "length", ["speed", "freeflow", "jamfactor"])
     got = {(r["city"], r["road"]): (r["length"], r["speed"], r["freeflow"], r["jamfactor"]) for r in seg.collect()}
@@ -115,7 +116,8 @@ def test_road_reader_weighted_means_and_medians(spark, road_lake):
     assert ("Zürich", None) not in got                          # roads without description vanish
     view = {r["city"]: r for r in road_traffic_view(seg).collect()}
     assert set(view) == {"Zurich", "Paris"}
-    assert view["Zurich"]["median_speed"] == 17.5                # (0 + 35) / 2; B2 has no speed
+    assert got[("Zürich", "")] == (10.0, 70.0, 60.0, 1.0)        # an empty name is a group
+    assert view["Zurich"]["median_speed"] == 35.0                # of 0, 35 and 70; B2 has no speed
     assert view["Zurich"]["traffic_date"] == dt.date(2024, 1, 1)
     assert view["Paris"]["median_jam"] == 5.0
 
@@ -127,10 +129,15 @@ def test_road_reader_strict_aborts(spark, road_lake):
 
 def test_road_payload_prune(spark, tmp_dir):
     base = os.path.join(tmp_dir, "raw")
-    write(os.path.join(base, "a.json"), json.dumps({"results": [road_rec("A1", 10)]}))
-    out = lake.prune_road_payload(spark, base).first()
-    assert "subSegments" not in out["location"].asDict() and out["location"]["description"] == "A1"
-    assert "subSegments" not in out["currentFlow"].asDict()
+    rec = road_rec("A1", 10)
+    rec.update(id=7, geo=[1, {"subSegments": "kept, as it stands deeper"}], note=None, text="ä \"q\"")
+    rec["location"]["links"] = [{"length": 1.5}]
+    rec["currentFlow"]["extra"] = {"subSegments": 1}
+    write(os.path.join(base, "a.json"), json.dumps({"results": [rec, {"id": 8}]}))
+    out = [json.loads(r["elem"]) for r in lake.prune_road_payload(spark, base).orderBy("pos").collect()]
+    for side in ("location", "currentFlow"):
+        rec[side].pop("subSegments")
+    assert out == [rec, {"id": 8}]                       # everything but the first-level objects' key is kept
     write(os.path.join(tmp_dir, "raw2", "b.json"), json.dumps({"other": []}))
     with pytest.raises(Exception, match="results"):
         lake.prune_road_payload(spark, os.path.join(tmp_dir, "raw2")).collect()
@@ -166,6 +173,10 @@ def test_raw_payloads(spark, tmp_dir):
     write(os.path.join(tmp_dir, "pp", "Paris", "r2.json"), json.dumps({"cod": 200}))
     coords = spark.createDataFrame([("Paris", 48.8, 2.3)], "city_name string, lat double, lon double")
     pol = lake.pollution_from_payloads(spark, os.path.join(tmp_dir, "pp"), coordinates=coords).orderBy("timestamp")
+    write(os.path.join(tmp_dir, "pp", "Bern", "cut.json"), json.dumps({"list": entries})[:-20])
+    load = lake.read_pollution_payloads(spark, os.path.join(tmp_dir, "pp"), coordinates=coords)
+    assert {r["reason"]: r["n"] for r in load.stats().collect()} == {"accepted": 2, "bad_file": 1, "no_list": 1}
+    assert [r["file_path"].split("/")[-1] for r in load.rejects.filter("reason = 'bad_file'").collect()] == ["cut.json"]
     got = [(r["air_quality_index"], r["date"].hour, r["latitude"]) for r in pol.collect()]
     assert got == [(6, 6, 48.8), (9, 9, 48.8)]
     wx = [{"dt": epoch(2024, 1, 1, 6), "main": {"temp": 1.0, "humidity": 70, "pressure": 1000}, "wind": {"speed": 2.0},
@@ -189,6 +200,9 @@ def test_airport_map_and_dimensions(spark, tmp_dir):
     amap = {"Paris": [airport("CDG"), airport("ORY", lat="48.723333")], "Paris2": [airport("CDG")],
             "Bern": [airport(None, "BRN", "Switzerland")]}
     write(os.path.join(tmp_dir, "airports", "airport_per_city.json"), json.dumps(amap))
+    write(os.path.join(tmp_dir, "airports2", "airport_per_city.json"), json.dumps(amap)[:-30])
+    cut = lake.read_airport_map(spark, os.path.join(tmp_dir, "airports2"))
+    assert cut.rows.count() == 0 and cut.rejects.first()["reason"] == "bad_file"
     rows = lake.read_airports(spark, os.path.join(tmp_dir, "airports")).collect()
     assert sorted((r["city_name"], r["code_iata_airport"]) for r in rows if r["code_iata_airport"]) == \
         [("Paris", "CDG"), ("Paris", "ORY")]                      # the repeated CDG is loaded once
@@ -205,6 +219,9 @@ def test_airport_map_and_dimensions(spark, tmp_dir):
     bx = lake.read_city_boxes(spark, os.path.join(tmp_dir, "boxes")).first()
     assert (bx["west"], bx["south"], bx["east"], bx["north"]) == (2.0, 48.0, 3.0, 49.0)
 
+    write(os.path.join(tmp_dir, "boxes2", "geocode_data.json"), json.dumps(boxes)[:-5])
+    with pytest.raises(Exception, match="not a JSON object"):
+        lake.read_city_boxes(spark, os.path.join(tmp_dir, "boxes2")).collect()
     write(os.path.join(tmp_dir, "coords", "config.json"),
           json.dumps({"coordinates": [{"city_name": "Paris", "lat": 48.8, "lon": 2.3}]}))
     assert lake.read_city_coordinates(spark, os.path.join(tmp_dir, "coords")).first()["lat"] == 48.8
@@ -279,3 +296,35 @@ def test_month_folder_selection(spark, tmp_dir):
     jan = lake.read_road(spark, lake.month_dirs(base, 2024, 1)).rows
     assert sorted(r["date"].day for r in jan.collect()) == [5, 20]
     assert lake.month_dirs(base, None, 1) is None                  # a missing year selects nothing
+
+
+def test_history_as_json_lines(spark, tmp_dir):
+    rec = {"place": "Paris", "latitude": 1.0, "longitude": 2.0, "timestamp": epoch(2024, 1, 1, 6),
+           "date": "2024-01-01 06:00:00", "temperature": 1.5, "humidity": 80, "pressure": 1010, "wind_speed": 3.0,
+           "weather_main": None, "weather_description": "x"}
+    write(os.path.join(tmp_dir, "w", "day=2024-01-01", "part-0.json"), f"{json.dumps(rec)}\n\n{json.dumps(rec)}\n42\n")
+    write(os.path.join(tmp_dir, "w", "cut.json"), "[{")
+    load = lake.read_weather_history(spark, os.path.join(tmp_dir, "w"))
+    assert load.rows.count() == 2
+    assert sorted(r["reason"] for r in load.rejects.collect()) == ["bad_file", "not_object"]
+
+
+def test_empty_array_is_no_reject(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "e", "Paris", "CDG_2024-01-01.json"), "[]")
+    load = lake.read_flights(spark, os.path.join(tmp_dir, "e"))
+    assert load.rows.count() == 0 and load.rejects.count() == 0
+
+
+def test_road_files_of_a_day(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "road5")
+    for day in ("2024-01-05", "2024-01-06"):
+        write(os.path.join(base, f"Paris_{day}T05--00--00_{day}T08--00--00.json"), json.dumps([road_rec("P1", 10)]))
+    rows = lake.read_road(spark, base, glob=lake.road_day_glob("2024-01-06")).rows.collect()
+    assert [r["date"].day for r in rows] == [6]
+
+
+def test_a_staged_load_parses_its_files_once(spark, flight_lake):
+    load = lake.read_flights(spark, flight_lake, "arrival").once()
+    plan = load.rows._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "FileScan parquet" in plan
+    assert load.rows.count() == 4
