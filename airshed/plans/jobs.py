@@ -1,13 +1,15 @@
 """The scheduled jobs of the warehouse, composed from the readers, sinks and views.
 
 * flights (daily or bulk): lake files → flattened rows → insert-if-absent into ``arrivals`` / ``departures``;
+* flights as a stream: the files that arrived since the last run, each exactly once;
 * observations: landed pollution / weather payloads → history lake (partitioned append) → upsert into
   ``air_pollution_data`` / ``weather_data`` (only the touched days are rewritten);
-* road: lake files → per-road length-weighted means → strict append into ``road_traffic``;
+* road: lake files → per-road length-weighted means → strict append into ``road_traffic``, or a full reload;
 * refresh: all six views rebuilt from the tables, in dependency order.
 
-Tables live under one warehouse folder as Parquet. Every job is a handful of distributed Spark jobs; the driver only
-sees row counts and the yes/no of a strict-append conflict.
+Tables live under one warehouse folder as Parquet, partitioned by day, each file in order of the table's lookup columns.
+A table that is missing counts as empty; one that cannot be read fails the job. Every job is a handful of distributed
+Spark jobs; the driver only sees row counts, folder names and the yes/no of a strict-append conflict.
 """
 
 from __future__ import annotations
@@ -18,11 +20,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airshed.functions.clean import blank_to_null
+from airshed.functions.time import epoch_to_utc
+from airshed.operators import storage
 from airshed.operators.aggregates import weighted_means
-from airshed.operators.sinks import dedupe_by_key, insert_if_absent, strict_append, upsert_table
+from airshed.operators.sinks import dedupe_by_key, insert_if_absent, strict_append, upsert_table, write_table
 from airshed.plans import views
 from airshed.plans.refresh import RefreshReport, refresh_views
 from airshed.sources import lake
+from airshed.streaming.ingest import incremental_ingest
 
 # The unique keys of the warehouse tables.
 TABLE_KEYS = {
@@ -34,6 +40,16 @@ TABLE_KEYS = {
 }
 
 
+# The columns that queries look up in a table; its files are in their order.
+TABLE_LOOKUP = {
+    "arrivals": ["arrival_iata", "arrival_actual_time"],
+    "departures": ["departure_iata", "departure_actual_time"],
+    "road_traffic": ["city", "road"],
+    "air_pollution_data": ["place", "timestamp"],
+    "weather_data": ["place", "timestamp"],
+}
+
+
 @dataclass
 class Warehouse:
     root: str
@@ -42,84 +58,129 @@ class Warehouse:
         return os.path.join(self.root, table)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.path(table))
-        except Exception:  # table not created yet
-            return None
+        return storage.read_if_exists(spark, self.path(table))
+
+
+def _flight_rows(load: lake.Load, direction: str) -> DataFrame:
+    """The table's rows. It is partitioned by the day of the direction's actual time, which is part of the key: only
+    target partitions inside a batch's day range can conflict, and only those are read."""
+    return load.rows.drop("city", "file_path").withColumn("day", F.to_date(f"{direction}_actual_time"))
+
+
+def _order(rows: DataFrame, keys: list[str]) -> list[str]:
+    return [c for c in rows.columns if c not in keys]  # total order over the record → deterministic pick
 
 
 def load_flights(spark: SparkSession, wh: Warehouse, lake_dir: str, direction: str = "arrival",
                  day: str | None = None) -> lake.Load:
     """Load one day (``day``) or every file of a direction; existing keys win, NULL keys never conflict."""
-    load = lake.read_flights(spark, lake_dir, direction, glob=lake.day_glob(day) if day else "*.json")
+    load = lake.read_flights(spark, lake_dir, direction, glob=lake.day_glob(day) if day else "*.json").once()
     table = f"{direction}s"
-    keys = TABLE_KEYS[table]
-    # The table is partitioned by the day of the direction's actual time, which is part of the key: only target
-    # partitions inside the batch's day range can conflict, and only those are read.
-    rows = load.rows.drop("city", "file_path").withColumn("day", F.to_date(f"{direction}_actual_time"))
-    order = [c for c in rows.columns if c not in keys]  # total order over the record → deterministic pick
+    keys, rows = TABLE_KEYS[table], _flight_rows(load, direction)
     target = wh.read(spark, table)
-    new = insert_if_absent(target if target is not None else rows.limit(0), rows, keys, order,
+    new = insert_if_absent(target if target is not None else rows.limit(0), rows, keys, _order(rows, keys),
                            prune_col="day" if target is not None else None)
-    new.write.mode("append").partitionBy("day").parquet(wh.path(table))
+    storage.write_partitioned(new, wh.path(table), ["day"], TABLE_LOOKUP[table])
     return load
 
 
-def load_observations(spark: SparkSession, wh: Warehouse, payload_dir: str, kind: str, history_dir: str | None = None,
-                      coordinates: DataFrame | None = None) -> DataFrame:
-    """Landed pollution or weather responses → optional history lake append → upsert by (timestamp, place)."""
-    if kind == "pollution":
-        raw, table = lake.pollution_from_payloads(spark, payload_dir, coordinates=coordinates, with_source=True), \
-            "air_pollution_data"
-    elif kind == "weather":
-        raw, table = lake.weather_from_payloads(spark, payload_dir, coordinates=coordinates, with_source=True), \
-            "weather_data"
-    else:
+def ingest_flights(spark: SparkSession, wh: Warehouse, lake_dir: str, checkpoint_path: str,
+                   direction: str = "arrival") -> None:
+    """As :func:`load_flights`, for the files that came since the last run of the same checkpoint folder."""
+    table = f"{direction}s"
+    example = _flight_rows(lake.flights_from_files(lake.read_files(spark, lake_dir), direction), direction)
+    keys = TABLE_KEYS[table]
+    incremental_ingest(
+        spark, lake_dir, None, wh.path(table), checkpoint_path, keys, _order(example, keys), source_format="text",
+        glob="*.json", reader_options={"wholetext": "true"}, prepare=lake.with_file_columns,
+        transform=lambda files: _flight_rows(lake.flights_from_files(files, direction), direction),
+        partition_col="day", prune_col="day", sort_within=TABLE_LOOKUP[table])
+
+
+# The reader of landed payloads, the reader of histories and the table of each kind of observation.
+OBSERVATIONS = {
+    "pollution": (lake.read_pollution_payloads, lake.read_pollution_history, "air_pollution_data"),
+    "weather": (lake.read_weather_payloads, lake.read_weather_history, "weather_data"),
+}
+
+
+def _observation_kind(kind: str):
+    if kind not in OBSERVATIONS:
         raise ValueError("kind must be 'pollution' or 'weather'")
-    # Inside one load the last record of a key wins (file order, then position in the file).
+    return OBSERVATIONS[kind]
+
+
+def _day(rows: DataFrame) -> DataFrame:
+    """The day comes from the key (the timestamp), so a key has one partition whatever its ``date`` text says."""
+    return rows.withColumn("day", F.to_date(epoch_to_utc("timestamp")))
+
+
+def _upsert_observations(wh: Warehouse, load: lake.Load, table: str) -> DataFrame:
+    """Inside one load the last record of a key wins (file order, then position in the file)."""
     keys = TABLE_KEYS[table]
-    rows = (dedupe_by_key(raw, keys, ["source_file", "source_pos"], keep="last")
-            .drop("source_file", "source_pos").withColumn("day", F.to_date("date")))
-    if history_dir:
-        lake.write_lake_json(raw.drop("source_file", "source_pos").withColumn("day", F.to_date("date")), history_dir,
-                             partition_by=["day"], mode="append")
-    upsert_table(wh.path(table), rows, keys, ["date"], partition_col="day")
+    keyed = load.rows.filter(F.col("timestamp").isNotNull() & F.col("place").isNotNull())
+    rows = _day(dedupe_by_key(keyed, keys, ["source_file", "source_pos"], keep="last")
+                .drop("source_file", "source_pos"))
+    upsert_table(wh.path(table), rows, keys, ["date"], partition_col="day", sort_within=TABLE_LOOKUP[table])
     return rows
 
 
+def load_observations(spark: SparkSession, wh: Warehouse, payload_dir: str, kind: str, history_dir: str | None = None,
+                      coordinates: DataFrame | None = None) -> lake.Load:
+    """Landed pollution or weather responses → optional history lake append → upsert by (timestamp, place)."""
+    reader, _, table = _observation_kind(kind)
+    load = reader(spark, payload_dir, coordinates=coordinates, with_source=True).once()
+    if history_dir:
+        lake.write_lake_json(lake.history_records(_day(load.rows), kind), history_dir, partition_by=["day"],
+                             mode="append")
+    _upsert_observations(wh, load, table)
+    return load
+
+
 def import_history(spark: SparkSession, wh: Warehouse, history_dir: str, kind: str) -> lake.Load:
-    """History lake files (JSON arrays of records) → upsert by (timestamp, place); inside the import the last record
-    of a key wins; records missing a required key are rejected (see the returned load's ``rejects``)."""
-    if kind == "pollution":
-        load, table = lake.read_pollution_history(spark, history_dir, with_source=True), "air_pollution_data"
-    elif kind == "weather":
-        load, table = lake.read_weather_history(spark, history_dir, with_source=True), "weather_data"
-    else:
-        raise ValueError("kind must be 'pollution' or 'weather'")
-    keys = TABLE_KEYS[table]
-    rows = (dedupe_by_key(load.rows.filter(F.col("timestamp").isNotNull() & F.col("place").isNotNull()), keys,
-                          ["source_file", "source_pos"], keep="last")
-            .drop("source_file", "source_pos").withColumn("day", F.to_date("date")))
-    upsert_table(wh.path(table), rows, keys, ["date"], partition_col="day")
+    """History lake files (arrays of records, or the lines that :func:`load_observations` writes) → upsert by
+    (timestamp, place); inside the import the last record of a key wins; records missing a required key are rejected
+    (see the returned load's ``rejects``)."""
+    _, reader, table = _observation_kind(kind)
+    load = reader(spark, history_dir, with_source=True).once()
+    _upsert_observations(wh, load, table)
     return load
 
 
-def load_road(spark: SparkSession, wh: Warehouse, lake_dir: str, glob: str = "*.json", strict: bool = True) -> None:
-    """Road files → per (window start, city, road) length-weighted means → strict append (a repeated key aborts)."""
-    load = lake.read_road(spark, lake_dir, glob=glob, strict=strict)
-    per_road = (weighted_means(load.rows, ["date", "city", "road"], "length", ["speed", "freeflow", "jamfactor"])
-                .withColumn("day", F.to_date("date")))
+def load_road(spark: SparkSession, wh: Warehouse, lake_dir: str, glob: str = "*.json", strict: bool = True,
+              day: str | None = None, reload: bool = False) -> lake.Load:
+    """Road files → per (window start, city, road) length-weighted means → strict append (a repeated key aborts).
+
+    ``day`` takes the files with that day in their name. ``reload`` replaces the whole table instead of appending.
+    Roads without a name are left out, those with an empty one are grouped and stored without a name.
+    """
+    load = lake.read_road(spark, lake_dir, glob=lake.road_day_glob(day) if day else glob, strict=strict)
+    if not strict:
+        load = load.once()
+    means = weighted_means(load.rows, ["date", "city", "road"], "length", ["speed", "freeflow", "jamfactor"])
+    per_road = means.withColumn("road", blank_to_null("road")).withColumn("day", F.to_date("date"))
+    path, sort = wh.path("road_traffic"), TABLE_LOOKUP["road_traffic"]
+    if reload:
+        write_table(per_road, path, ["day"], sort)
+        return load
     target = wh.read(spark, "road_traffic")
     if target is None:
         target = per_road.limit(0)
     # Partitioned by day (a function of the key's window start): the collision check reads the batch's days only.
-    strict_append(wh.path("road_traffic"), target, per_road.select(*target.columns), TABLE_KEYS["road_traffic"],
-                  prune_col="day", partition_by=["day"])
+    strict_append(path, target, per_road.select(*target.columns), TABLE_KEYS["road_traffic"], prune_col="day",
+                  partition_by=["day"], sort_within=sort)
+    return load
 
 
-def load_airports(spark: SparkSession, wh: Warehouse, airport_map_dir: str) -> None:
-    """Airport dimension, reloaded whole (deduplicated on the IATA code)."""
-    lake.read_airports(spark, airport_map_dir).write.mode("overwrite").parquet(wh.path("airports"))
+def load_airports(spark: SparkSession, wh: Warehouse, airport_map_dir: str) -> lake.Load:
+    """Airport dimension, reloaded whole (deduplicated on the IATA code). A map file that does not parse fails the load
+    and leaves the table as it is: an empty dimension would empty every view that joins it."""
+    load = lake.read_airport_map(spark, airport_map_dir).once()
+    bad = load.rejects.head(1)
+    if bad:
+        raise ValueError(f"airport load refused: {bad[0]['reason']} in {bad[0]['file_path']}")
+    write_table(load.rows, wh.path("airports"))
+    return load
 
 
 # The day column each view is partitioned by (every view row belongs to one day of data).
@@ -164,4 +225,4 @@ def refresh_all(spark: SparkSession, wh: Warehouse, views_dir: str, since: str |
                                                    view("air_pollution_v"), view("weather_v")),
     }
     return refresh_views(builders, views_dir, partition_by={k: [v] for k, v in VIEW_DAY.items()},
-                         incremental=since is not None)
+                         since=since)

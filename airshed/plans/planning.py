@@ -19,12 +19,12 @@ from airshed.operators.aggregates import high_water_epoch
 WEEK_SECONDS = 7 * 86400
 
 
-def explode_segments(df: DataFrame, start, end, width_days: int = 7, inclusive_tail: bool = False,
+def explode_segments(df: DataFrame, start, end, width_days: int = 7, inclusive_tail: bool = True,
                      keep: Sequence[str] | None = None) -> DataFrame:
     """Cut each row's [start, end] date range into numbered segments (seg_no, seg_start, seg_end) of ``width_days``.
 
-    ``inclusive_tail=False`` reproduces the ``while current < end`` loop: a trailing one-day segment starting on
-    ``end`` is not produced and a single-day range yields nothing. ``True`` is the ``<=`` variant.
+    Every day of the range is in a segment. ``inclusive_tail=False`` reproduces a ``while current < end`` loop for
+    parity: a trailing one-day segment starting on ``end`` is not produced and a single-day range yields nothing.
     ``start``/``end`` may be columns or scalar subqueries (``DataFrame.scalar()``).
     """
     s, e = F.to_date(as_col(start)), F.to_date(as_col(end))
@@ -48,35 +48,51 @@ def daily_segment(df: DataFrame, day, keep: Sequence[str] | None = None) -> Data
 
 
 def segment_plan(df: DataFrame, entity: Sequence[str], ts, width_days: int = 7,
-                 inclusive_tail: bool = False) -> DataFrame:
+                 inclusive_tail: bool = True) -> DataFrame:
     """Per entity: the date range it covers in the facts, cut into numbered segments."""
     spans = df.groupBy(*entity).agg(F.min(F.to_date(as_col(ts))).alias("_lo"), F.max(F.to_date(as_col(ts))).alias("_hi"))
     return explode_segments(spans, "_lo", "_hi", width_days, inclusive_tail, keep=entity)
 
 
 def gap_plan(df: DataFrame, entity: Sequence[str], ts, now_epoch: int, floor: str = HISTORY_START,
-             width_seconds: int = WEEK_SECONDS) -> DataFrame:
+             width_seconds: int = WEEK_SECONDS, entities: DataFrame | None = None) -> DataFrame:
     """Per entity: the missing epoch ranges after its high-water mark (floored at the history start), in blocks of
-    ``width_seconds`` capped at ``now``: (hwm+1, min(now, hwm+width)), (…+width, …) while the start ≤ now."""
-    hwm = high_water_epoch(df, ts, by=entity, floor=floor, name="hwm_epoch")
+    ``width_seconds`` capped at ``now``: (hwm+1, min(now, hwm+width)), (…+width, …) while the start ≤ now.
+
+    ``entities`` (rows with the entity columns) adds those without a fact row: they get the first-run blocks of
+    :func:`initial_plan`, with no high-water mark.
+    """
+    keys = list(entity)
+    hwm = high_water_epoch(df, ts, by=keys, floor=floor, name="hwm_epoch")
     now = F.lit(now_epoch).cast("bigint")
     starts = F.when(F.col("hwm_epoch") < now,
                     F.sequence(F.col("hwm_epoch") + 1, now, F.lit(width_seconds).cast("bigint")))
-    return hwm.select(*entity, "hwm_epoch", F.posexplode(starts).alias("_pos", "start_epoch")).select(
-        *entity, "hwm_epoch", (F.col("_pos") + 1).alias("seg_no"), "start_epoch",
-        F.least(now, F.col("start_epoch") + width_seconds - 1).alias("end_epoch"),
-    ).withColumn("start_utc", epoch_to_utc("start_epoch")).withColumn("end_utc", epoch_to_utc("end_epoch"))
+    plan = hwm.select(*keys, "hwm_epoch", F.posexplode(starts).alias("_pos", "start_epoch")).select(
+        *keys, "hwm_epoch", (F.col("_pos") + 1).alias("seg_no"), "start_epoch",
+        F.least(now, F.col("start_epoch") + width_seconds - 1).alias("end_epoch"))
+    if entities is not None:
+        missing = entities.select(*keys).distinct().join(hwm.select(*keys), keys, "left_anti")
+        first = missing.select(*keys, F.posexplode(_initial_starts(now_epoch, floor, width_seconds)).alias(
+            "_pos", "start_epoch")).select(
+            *keys, F.lit(None).cast("bigint").alias("hwm_epoch"), (F.col("_pos") + 1).alias("seg_no"), "start_epoch",
+            (F.col("start_epoch") + width_seconds - 1).alias("end_epoch"))
+        plan = plan.unionByName(first)
+    return plan.withColumn("start_utc", epoch_to_utc("start_epoch")).withColumn("end_utc", epoch_to_utc("end_epoch"))
+
+
+def _initial_starts(now_epoch: int, floor: str, width_seconds: int) -> Column:
+    """Starts of the blocks from the floor on that begin by ``now``."""
+    floor_epoch = int(datetime.fromisoformat(floor).replace(tzinfo=timezone.utc).timestamp())
+    last = floor_epoch + (now_epoch - floor_epoch) // width_seconds * width_seconds
+    return F.sequence(*[F.lit(x).cast("bigint") for x in (floor_epoch, last, width_seconds)])
 
 
 def initial_plan(spark: SparkSession, now_epoch: int, floor: str = HISTORY_START,
                  width_seconds: int = WEEK_SECONDS) -> DataFrame:
     """First run without history: fixed blocks from the floor; the last block may end after ``now``."""
-    floor_epoch = int(datetime.fromisoformat(floor).replace(tzinfo=timezone.utc).timestamp())
-    blocks = (now_epoch - floor_epoch) // width_seconds + 1
-    return spark.range(blocks).select(
-        (F.col("id") + 1).alias("seg_no"),
-        (F.lit(floor_epoch) + F.col("id") * width_seconds).alias("start_epoch"),
-        (F.lit(floor_epoch) + (F.col("id") + 1) * width_seconds - 1).alias("end_epoch"))
+    return spark.range(1).select(F.posexplode(_initial_starts(now_epoch, floor, width_seconds)).alias(
+        "_pos", "start_epoch")).select((F.col("_pos") + 1).alias("seg_no"), "start_epoch",
+                                       (F.col("start_epoch") + width_seconds - 1).alias("end_epoch"))
 
 
 def utc_windows(days: DataFrame, day, zone, local_start_hour: int = 6, hours: int = 3) -> DataFrame:

@@ -13,10 +13,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airshed.functions._util import as_col
 from airshed.functions.clean import CITY_SYNONYMS, VOLUME_BUCKET_WIDTH, VOLUME_BUCKETS, synonym_case, volume_bucket
-from airshed.operators.aggregates import daily_max, daily_mean, hourly_counts
+from airshed.functions.time import hour_in_window, hour_trunc
+from airshed.operators.aggregates import daily_max, hourly_counts
 from airshed.operators.joins import full_outer_counts
-from airshed.operators.latest import latest_per_key
+from airshed.operators.latest import ordering_key
 from airshed.operators.percentile import exact_percentile
 
 # Pollutant columns of the pollution feed and the weather means of the master view.
@@ -33,8 +35,18 @@ def flights_view(arrivals: DataFrame, departures: DataFrame, arrival_code="arriv
                  inclusive_hi: bool = True) -> DataFrame:
     """Arrivals and departures per (airport, hour) in the morning window, full-outer merged.
 
-    Columns: airport_code, date (hour), no_arrivals, no_departures, no_total_flights.
+    Columns: airport_code, date (hour), no_arrivals, no_departures, no_total_flights. Where both feeds are the same table
+    with the same code and time, one pass counts both.
     """
+    if arrivals is departures and arrival_code is departure_code and arrival_ts is departure_ts \
+            and None not in (arrival_status, departure_status):
+        rows = arrivals.filter(hour_in_window(arrival_ts, lo, hi, inclusive_hi)
+                               & F.col(status_col).isin(arrival_status, departure_status))
+        counts = [F.count_if(F.col(status_col) == s).alias(n)
+                  for s, n in ((arrival_status, "no_arrivals"), (departure_status, "no_departures"))]
+        both = rows.groupBy(F.upper(as_col(arrival_code)).alias("airport_code"), hour_trunc(arrival_ts).alias("date")) \
+            .agg(*counts)
+        return both.withColumn("no_total_flights", F.col("no_arrivals") + F.col("no_departures"))
     arr = hourly_counts(arrivals, arrival_code, arrival_ts, "no_arrivals",
                         status_col if arrival_status is not None else None, arrival_status, lo, hi, inclusive_hi)
     dep = hourly_counts(departures, departure_code, departure_ts, "no_departures",
@@ -62,12 +74,11 @@ def city_airports_view(airports: DataFrame, city="city_name", country_code="code
 
 def road_traffic_view(road: DataFrame, city="city", ts="date", measures: Sequence[str] = tuple(ROAD_MEASURES),
                       names: Sequence[str] = tuple(ROAD_MEDIANS),
-                      synonyms: Mapping[str, str] = CITY_SYNONYMS, materialize_input: bool = False) -> DataFrame:
+                      synonyms: Mapping[str, str] = CITY_SYNONYMS) -> DataFrame:
     """Exact interpolated medians of the road measures per (normalised city, day)."""
     normalised = road.select(synonym_case(city, synonyms).alias("city"), F.to_date(F.col(ts)).alias("traffic_date"),
                              *[F.col(m) for m in measures])
-    return exact_percentile(normalised, ["city", "traffic_date"], list(measures), 0.5, list(names),
-                            materialize_input=materialize_input)
+    return exact_percentile(normalised, ["city", "traffic_date"], list(measures), 0.5, list(names))
 
 
 def air_pollution_view(pollution: DataFrame, pollutants: Sequence[str] = tuple(POLLUTANTS)) -> DataFrame:
@@ -96,14 +107,14 @@ def master_view(flights_v: DataFrame, city_airports_v: DataFrame, road_v: DataFr
 
     rt = road_v.select(F.col("city"), F.col("traffic_date").alias("date"), *road_medians)
     ap = daily_max(pollution_v, "place", "date", ["air_quality_index", *pollutants], key_name="city")
-    wavg = daily_mean(weather_v, "place", "date", list(weather_means), key_name="city")
-    wm = latest_per_key(weather_v.withColumn("_day", F.to_date("date")), ["place", "_day"],
-                        ["date", "weather_main"], ["weather_main"], nulls_latest=True) \
-        .withColumnRenamed("place", "city").withColumnRenamed("_day", "date")
+    weather = weather_v.groupBy(F.col("place").alias("city"), F.to_date("date").alias("_day")).agg(
+        *[F.avg(F.col(m).cast("double")).alias(m) for m in weather_means],
+        F.max_by("weather_main", ordering_key(["date", "weather_main"])).alias("weather_main")) \
+        .withColumnRenamed("_day", "date")
     cdim = ca.select(F.col("city_name").alias("city"), "code_iso2_country", "name_country").distinct()
 
     out = af
-    for side in (rt, ap, wavg, wm):
+    for side in (rt, ap, weather):
         out = out.join(side, ["city", "date"], "left")
     out = out.join(cdim, ["city"], "left")
     return out.select("city", "code_iso2_country", "name_country", "date", "no_arrivals", "no_departures",

@@ -2,75 +2,85 @@
 
 The daily loads of the warehouse become a file-source stream run with ``trigger(availableNow=True)``: every run picks
 up exactly the files that arrived since the last one (tracked in the checkpoint), and each micro-batch is merged into
-the target with the keyed sinks. Both sinks are idempotent, so a micro-batch replayed after a failure changes nothing —
-the foreachBatch sink is effectively exactly-once. Late history (flights arrive days late) is handled by the keyed
-merge itself; an optional in-stream dedupe uses ``dropDuplicatesWithinWatermark`` with a 4-day lateness.
+the target with the keyed sinks. A batch's files carry the batch's name, and a batch that is run again after a failure
+first removes what it had written; an upsert comes out the same when it is repeated. So rows arrive exactly once, those
+with a NULL in their key included. Late history (flights arrive days late) is handled by the keyed merge itself; an
+optional in-stream dedupe uses ``dropDuplicatesWithinWatermark`` with a 4-day lateness.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from airshed.operators.sinks import insert_if_absent, upsert_table
-
-
-def _path_has_data(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
-        return True
-    except Exception:  # missing or empty table
-        return False
+from airshed.operators import storage
+from airshed.operators.sinks import insert_if_absent, staged_rewrite, upsert_table
 
 
 def merge_batch(batch: DataFrame, target_path: str, keys: Sequence[str], order_cols: Sequence[str],
-                mode: str = "insert_if_absent", keep: str = "first", partition_col: str | None = None,
-                prune_col: str | None = None) -> None:
-    """Merge one micro-batch into a Parquet table.
-
-    ``insert_if_absent``: only rows with new keys are appended (existing keys win); ``prune_col`` (a key column such
-    as the day) limits the target scan to the batch's range. ``upsert``: last write wins; only the partitions
-    (``partition_col``) the batch touches are rewritten."""
+                batch_name: str, mode: str = "insert_if_absent", keep: str = "first",
+                partition_col: str | None = None, prune_col: str | None = None,
+                sort_within: Sequence[str] = ()) -> None:
+    """Merge one micro-batch into a Parquet table; the same ``batch_name`` again replaces what it added before.
+
+    ``insert_if_absent``: only rows with new keys are appended (existing keys win), in folders by ``partition_col`` if
+    given; ``prune_col`` (a key column such as the day) limits the target scan to the batch's range. ``upsert``: last
+    write wins; only the partitions (``partition_col``) the batch touches are rewritten. The batch is written out once,
+    as merging looks at it several times.
+    """
     spark = batch.sparkSession
+    rows = staged_rewrite(batch, "batch")
     if mode == "upsert":
         if partition_col is None:
             raise ValueError("upsert needs the partition column the key determines")
-        upsert_table(target_path, batch, keys, order_cols, partition_col)
+        upsert_table(target_path, rows, keys, order_cols, partition_col, sort_within=sort_within)
         return
     if mode != "insert_if_absent":
         raise ValueError("mode must be 'insert_if_absent' or 'upsert'")
-    if _path_has_data(spark, target_path):
-        new = insert_if_absent(spark.read.parquet(target_path), batch, keys, order_cols, keep, prune_col=prune_col)
-    else:
-        new = insert_if_absent(batch.limit(0), batch, keys, order_cols, keep)
-    new.write.mode("append").parquet(target_path)
+    storage.remove_batch(spark, target_path, batch_name)
+    target = storage.read_if_exists(spark, target_path)
+    new = insert_if_absent(rows.limit(0) if target is None else target, rows, keys, order_cols, keep,
+                           prune_col=None if target is None else prune_col)
+    storage.append_batch(spark, target_path, batch_name, lambda staging: storage.write_partitioned(
+        new, staging, [partition_col] if partition_col else [], sort_within))
 
 
-def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType, target_path: str,
+def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType | None, target_path: str,
                        checkpoint_path: str, keys: Sequence[str], order_cols: Sequence[str],
                        source_format: str = "parquet", glob: str | None = None, files_per_trigger: int | None = None,
                        transform: Callable[[DataFrame], DataFrame] | None = None,
                        mode: str = "insert_if_absent", recursive: bool = True, keep: str = "first",
-                       partition_col: str | None = None, prune_col: str | None = None) -> None:
+                       partition_col: str | None = None, prune_col: str | None = None,
+                       sort_within: Sequence[str] = (), reader_options: Mapping[str, str] | None = None,
+                       prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Process every file not yet seen under ``source_dir`` and merge it into ``target_path``; returns when done.
 
-    ``transform`` maps raw rows to warehouse rows (e.g. flight flattening); it runs inside each micro-batch.
+    ``prepare`` maps the stream (e.g. adds file columns), ``transform`` maps each micro-batch to warehouse rows (e.g.
+    flight flattening). ``reader_options`` go to the source (e.g. ``wholetext`` for files holding a JSON array).
     """
-    reader = spark.readStream.schema(schema).format(source_format)
+    reader = spark.readStream.format(source_format)
+    if schema is not None:
+        reader = reader.schema(schema)
+    options = dict(reader_options or {})
     if recursive:  # landing folders (day, city) are plain directories, not key=value partitions
-        reader = reader.option("recursiveFileLookup", "true")
+        options["recursiveFileLookup"] = "true"
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
+        options["pathGlobFilter"] = glob
     if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stream = reader.load(source_dir)
+        options["maxFilesPerTrigger"] = str(files_per_trigger)
+    stream = reader.options(**options).load(source_dir)
+    if prepare:
+        stream = prepare(stream)
+    source = hashlib.sha1(checkpoint_path.encode()).hexdigest()[:10]  # two streams may feed one table
 
-    def sink(batch: DataFrame, _batch_id: int) -> None:
+    def sink(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        merge_batch(rows, target_path, keys, order_cols, mode, keep, partition_col, prune_col)
+        merge_batch(rows, target_path, keys, order_cols, f"b{source}x{batch_id}", mode, keep, partition_col, prune_col,
+                    sort_within)
 
     query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True).start())

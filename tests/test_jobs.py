@@ -91,6 +91,14 @@ def test_jobs_end_to_end(spark, lake_root):
     assert pol == {epoch(6): 2, epoch(7): 1}                 # the later of two records of one key won
     assert os.path.isdir(f"{r}/history/pollution/day=2024-01-01")
 
+    # what the job wrote to the history can be imported, into the same rows
+    other = jobs.Warehouse(f"{r}/warehouse2")
+    imported = jobs.import_history(spark, other, f"{r}/history/pollution", "pollution")
+    assert imported.rejects.count() == 0
+    again = {r_["timestamp"]: (r_["air_quality_index"], r_["no2"])
+             for r_ in spark.read.parquet(other.path("air_pollution_data")).collect()}
+    assert again == {epoch(6): (2, 1.0), epoch(7): (4, 9.0)}
+
 
 def test_import_history_last_record_wins(spark, tmp_dir):
     rec = lambda ts, aqi, co: {"place": "Bern", "latitude": 46.9, "longitude": 7.4, "timestamp": ts,
@@ -164,3 +172,69 @@ def test_command_line_jobs(spark, lake_root, capsys):
     assert main(base + ["refresh", "--views", f"{r}/views"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert lines[1]["stats"]["accepted"] == 4 and lines[-1]["refreshed"][-1] == "master_view_v"
+
+
+def test_observation_days_come_from_the_key(spark, tmp_dir):
+    rec = lambda place, date: {"place": place, "latitude": 1.0, "longitude": 1.0, "timestamp": epoch(6), "date": date,
+                               "temperature": 1.0, "humidity": 1, "pressure": 1, "wind_speed": 1.0, "weather_main": "a",
+                               "weather_description": "b"}
+    wh = jobs.Warehouse(f"{tmp_dir}/wh")
+    for n, recs in enumerate(([rec("Bern", "no date")], [rec("Paris", "no date")], [rec("Bern", "2024-01-09 06:00:00")])):
+        write(f"{tmp_dir}/h{n}/weather.json", recs)
+        jobs.import_history(spark, wh, f"{tmp_dir}/h{n}", "weather")
+    rows = spark.read.parquet(wh.path("weather_data")).collect()
+    assert sorted((r["place"], str(r["day"])) for r in rows) == [("Bern", "2024-01-01"), ("Paris", "2024-01-01")]
+
+
+def test_a_truncated_airport_map_does_not_empty_the_table(spark, lake_root):
+    wh = jobs.Warehouse(f"{lake_root}/warehouse")
+    jobs.load_airports(spark, wh, f"{lake_root}/lake/airports")
+    os.makedirs(f"{lake_root}/lake/airports2")
+    with open(f"{lake_root}/lake/airports2/map.json", "w", encoding="utf-8") as fh:
+        fh.write('{"Paris": [{"GMT"')
+    with pytest.raises(ValueError, match="bad_file"):
+        jobs.load_airports(spark, wh, f"{lake_root}/lake/airports2")
+    assert spark.read.parquet(wh.path("airports")).count() == 2
+
+
+def test_road_by_day_reload_and_empty_names(spark, tmp_dir):
+    seg = lambda name, speed: {"location": {"description": name, "length": 10.0},
+                               "currentFlow": {"speed": speed, "freeFlow": 50.0, "jamFactor": 1.0}}
+    for day in ("2024-01-05", "2024-01-06"):
+        write(f"{tmp_dir}/road/Paris_{day}T05--00--00_{day}T08--00--00.json", [seg("A", 10.0), seg("", 20.0), seg("", 40.0)])
+    wh = jobs.Warehouse(f"{tmp_dir}/wh")
+    jobs.load_road(spark, wh, f"{tmp_dir}/road", day="2024-01-05")
+    get = lambda: sorted((str(r["day"]), r["road"] or "-", r["speed"])
+                         for r in spark.read.parquet(wh.path("road_traffic")).collect())
+    first = [("2024-01-05", "-", 30.0), ("2024-01-05", "A", 10.0)]
+    assert get() == first
+    jobs.load_road(spark, wh, f"{tmp_dir}/road", day="2024-01-06")
+    assert get() == first + [("2024-01-06", "-", 30.0), ("2024-01-06", "A", 10.0)]
+    jobs.load_road(spark, wh, f"{tmp_dir}/road", day="2024-01-05", reload=True)
+    assert get() == first
+
+
+def test_refresh_since_drops_days_without_rows(spark, tmp_dir):
+    from airshed.plans.refresh import refresh_views
+    frame = lambda days: spark.createDataFrame([(d, 1) for d in days], "date string, v int")
+    parts = {"master_view_v": ["date"]}
+    build = lambda days: {"master_view_v": lambda: frame(days)}
+    sort = {"master_view_v": ["v"]}
+    assert refresh_views(build(["2024-01-01", "2024-01-02", "2024-01-03"]), f"{tmp_dir}/v", partition_by=parts, clustering=sort).ok
+    assert refresh_views(build(["2024-01-03"]), f"{tmp_dir}/v", partition_by=parts, clustering=sort, since="2024-01-02").ok
+    got = sorted(str(r["date"]) for r in spark.read.parquet(f"{tmp_dir}/v/master_view_v").collect())
+    assert got == ["2024-01-01", "2024-01-03"]
+
+
+def test_flights_arrive_as_a_stream_of_array_files(spark, tmp_dir):
+    a = flight("1", "LHR", "CDG", "2024-01-01T04:00:00.000", "2024-01-01T06:10:00.000", "landed")
+    null = flight(None, "LHR", "CDG", "2024-01-01T04:00:00.000", "2024-01-01T06:20:00.000", "landed")
+    write(f"{tmp_dir}/arr/Paris/CDG_2024-01-01.json", [a, null])
+    wh = jobs.Warehouse(f"{tmp_dir}/wh")
+    jobs.ingest_flights(spark, wh, f"{tmp_dir}/arr", f"{tmp_dir}/progress")
+    write(f"{tmp_dir}/arr/Paris/CDG_2024-01-02.json",
+          [a, flight("2", "LHR", "CDG", "2024-01-02T04:00:00.000", "2024-01-02T07:00:00.000", "landed"), 42])
+    for _ in range(2):                                                   # the second run finds nothing new
+        jobs.ingest_flights(spark, wh, f"{tmp_dir}/arr", f"{tmp_dir}/progress")
+    got = sorted((r["flight_number"] or "-", str(r["day"])) for r in spark.read.parquet(wh.path("arrivals")).collect())
+    assert got == [("-", "2024-01-01"), ("1", "2024-01-01"), ("2", "2024-01-02")]

@@ -7,6 +7,25 @@ from airshed.plans import planning
 D = dt.date
 
 
+def test_segments_keep_every_day_by_default(spark):
+    df = spark.createDataFrame([("u", dt.datetime(2024, 1, 1, 5)), ("u", dt.datetime(2024, 1, 8, 5)),
+                                ("one", dt.datetime(2024, 1, 3, 1))], "e string, ts timestamp_ntz")
+    plan = {(r["e"], r["seg_no"]): (r["seg_start"], r["seg_end"]) for r in planning.segment_plan(df, ["e"], "ts").collect()}
+    assert plan == {("u", 1): (D(2024, 1, 1), D(2024, 1, 7)), ("u", 2): (D(2024, 1, 8), D(2024, 1, 8)),
+                    ("one", 1): (D(2024, 1, 3), D(2024, 1, 3))}
+
+
+def test_entities_without_facts_get_the_first_run_plan(spark):
+    floor, week = 1701388800, 7 * 86400
+    now = floor + 9 * 86400
+    ev = spark.createDataFrame([("known", dt.datetime(2023, 12, 8))], "e string, ts timestamp_ntz")
+    ents = spark.createDataFrame([("known",), ("new",), ("new",)], "e string")
+    got = sorted((r["e"], r["seg_no"], r["hwm_epoch"], r["start_epoch"], r["end_epoch"]) for r in
+                 planning.gap_plan(ev, ["e"], "ts", now, entities=ents).collect())
+    assert got == [("known", 1, floor + week, floor + week + 1, now), ("new", 1, None, floor, floor + week - 1),
+                   ("new", 2, None, floor + week, floor + 2 * week - 1)]
+
+
 def segs(spark, start, end, width=7, inclusive=False):
     df = spark.createDataFrame([(start, end)], "s date, e date")
     return [(r["seg_no"], r["seg_start"], r["seg_end"]) for r in

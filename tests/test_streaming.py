@@ -67,3 +67,16 @@ def test_hourly_counts_stream_equals_batch(spark, tmp_dir):
     streamed = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     batch = hourly_counts(spark.createDataFrame(rows, SCHEMA), "k", "ts", "n", lo=0, hi=23)
     assert streamed == sorted(tuple(r) for r in batch.select("airport_code", "date", "n").collect())
+
+
+def test_a_replayed_batch_adds_nothing(spark, tmp_dir):
+    """Rows with a NULL in their key never conflict, so only the batch's name keeps a replay from adding them again."""
+    from airshed.streaming.ingest import merge_batch
+    schema = "k string, day int, v int"
+    tgt = os.path.join(tmp_dir, "tgt")
+    one = spark.createDataFrame([("a", 1, 1), (None, 1, 2), (None, 1, 2)], schema)
+    two = spark.createDataFrame([("a", 1, 9), ("b", 2, 3), (None, 2, 4)], schema)
+    for batch, name in ((one, "b0"), (two, "b1"), (two, "b1"), (one, "b0")):
+        merge_batch(batch, tgt, ["k", "day"], ["v"], name, partition_col="day", prune_col="day")
+    got = sorted((r["k"] or "-", r["day"], r["v"]) for r in spark.read.parquet(tgt).collect())
+    assert got == [("-", 1, 2), ("-", 1, 2), ("-", 2, 4), ("a", 1, 1), ("b", 2, 3)]
