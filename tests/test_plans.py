@@ -3,10 +3,12 @@
 import contextlib
 import io
 import os
+import re
 
 import pytest
 
 import __spark_entry__ as entry
+from airshed import workloads
 
 DATA = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -16,7 +18,7 @@ FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables not present")
 def test_plans_have_no_pair_enumeration_or_python(spark):
     bad = {}
-    for name, fn in entry.queries().items():
+    for name, fn in workloads.queries().items():
         if name == "stream_ingest":          # runs streaming jobs; its merge is covered by the sink tests
             continue
         buf = io.StringIO()
@@ -35,3 +37,17 @@ def test_scans_are_pruned(spark):
     plan = buf.getvalue()
     assert "EqualTo(event_type,purchase)" in plan                    # filter reaches the parquet scan
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan   # only the two columns used are read
+
+
+def scans(df, table):
+    """Scans of a table in the plan before reuse."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return len(re.findall(rf"FileScan parquet[^\n]*{table}\.parquet", buf.getvalue()))
+
+
+def test_tables_are_scanned_few_times(spark):
+    assert scans(entry.queries()["insert_if_absent"](spark, DATA), "events") <= 3
+    assert scans(entry.queries()["master_view"](spark, DATA), "events") <= 5   # two of them below a reused exchange
+    assert scans(entry.queries()["median_by_group"](spark, DATA), "lineitem") <= 2
