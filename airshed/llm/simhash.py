@@ -143,7 +143,8 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_limit: int
     crowded = shared.where(F.col("size") > bucket_limit).select("fp").distinct()
     inner = max_distance // 2
     least = _ball(crowded, inner).groupBy("x").agg(F.min("fp").alias("least"))
-    met = _ball(crowded, max_distance - inner).join(least, "x").where("fp != least") \
+    # the size estimate of a ball is that of its centres: without the hint Spark would broadcast it
+    met = _ball(crowded, max_distance - inner).join(least.hint("merge"), "x").where("fp != least") \
         .select(F.col("fp").alias("u"), F.col("least").alias("v"))
     return pairs.union(met).distinct()
 
