@@ -52,5 +52,21 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def bucketed(df: DataFrame, label: str, buckets: int, *columns: str, sort: bool = False) -> DataFrame:
+    """Write ``df`` once in the shared folder, bucketed (and sorted) by columns, and return a reader that knows it.
+
+    Joins and aggregates on the columns then leave its rows where they are. Buckets need a catalog entry to be written
+    and read; it is dropped as soon as the reader has it, so nothing stays in a metastore.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", staging_path(spark, name)) \
+        .bucketBy(buckets, *columns)
+    (writer.sortBy(*columns) if sort else writer).saveAsTable(name)
+    reader = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return reader
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

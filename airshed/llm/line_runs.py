@@ -14,12 +14,12 @@ stay. Rows that repeat a doc_id are one document for the counts and lose the sam
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.llm.common import SPACE_CHARS, documents, shuffle_partitions, stage, staging_path, table
+from airshed.llm.common import SPACE_CHARS, bucketed, documents, shuffle_partitions, stage, table
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
@@ -61,18 +61,15 @@ class LineRuns:
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
         self.buckets = shuffle_partitions(spark)
-        self.levels: list[list[str]] = []
+        self.levels: list[list[DataFrame]] = []
         self.ledger: list[DataFrame] = []
 
-    def runs(self) -> list[str]:
-        return [name for level in self.levels for name in level]
+    def runs(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
 
-    def _write(self, rows: DataFrame) -> str:
+    def _write(self, rows: DataFrame) -> DataFrame:
         """One file per bucket, sorted by key: a scan of the run keeps both properties."""
-        name = f"line_run_{uuid.uuid4().hex}"
-        rows.repartition(self.buckets, *KEY).write.format("parquet").bucketBy(self.buckets, *KEY).sortBy(*KEY) \
-            .option("path", staging_path(self.spark, name)).saveAsTable(name)
-        return name
+        return bucketed(rows.repartition(self.buckets, *KEY), "line_run", self.buckets, *KEY, sort=True)
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Add a batch of ``(h1, h2, n_docs, last_doc)``, a row per key; returns the keys that no run had.
@@ -80,9 +77,8 @@ class LineRuns:
         A batch must hold whole documents, and a document must not come in two batches.
         """
         rows = batch.select(*KEY, "n_docs", "last_doc").withColumn("known", F.lit(False))
-        for name in self.runs():
-            run = self.spark.table(name).select(*KEY, F.lit(True).alias("here"))
-            rows = rows.join(run, KEY, "left").select(
+        for run in self.runs():
+            rows = rows.join(run.select(*KEY, F.lit(True).alias("here")), KEY, "left").select(
                 *KEY, "n_docs", "last_doc", (F.col("known") | F.coalesce("here", F.lit(False))).alias("known"))
         rows = stage(rows, "line-batch")
         self.ledger.append(rows.where("known").drop("known"))
@@ -90,28 +86,18 @@ class LineRuns:
         self._push(0, self._write(fresh))
         return fresh
 
-    def _push(self, level: int, run: str) -> None:
+    def _push(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
-            merged = None
-            for name in self.levels[level]:
-                part = self.spark.table(name)
-                merged = part if merged is None else merged.union(part)
-            old, self.levels[level] = self.levels[level], []
-            run = self._write(merged)
-            for name in old:
-                self.spark.sql(f"DROP TABLE {name}")
-            self._push(level + 1, run)
+            merged = reduce(DataFrame.union, self.levels[level])
+            self.levels[level] = []
+            self._push(level + 1, self._write(merged))
 
     def counts(self) -> DataFrame:
         """``(h1, h2, n_docs, last_doc)`` over all batches."""
-        parts = [self.spark.table(name) for name in self.runs()] + self.ledger
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+        return reduce(DataFrame.unionByName, self.runs() + self.ledger).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
 
 def repeated_lines(keyed: DataFrame, min_documents: int = MIN_DOCUMENTS, batches: int = BATCHES) -> DataFrame:

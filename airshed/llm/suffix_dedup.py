@@ -28,7 +28,6 @@ are the same document: they don't repeat each other, but lose what a smaller doc
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.llm.common import documents, shuffle_partitions, stage, staging_path, table
+from airshed.llm.common import bucketed, documents, shuffle_partitions, stage, table
 
 LENGTH = 50
 BLOCK_BYTES = 4 << 20
@@ -289,8 +288,6 @@ def _batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch
 def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Whole documents gathered to blocks of about ``block_bytes``, as a table bucketed by block."""
-    spark = docs.sparkSession
-
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         ids, texts, size = [], [], 0
@@ -306,11 +303,8 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if ids:
             yield _block(number, ids, texts)
 
-    name = f"text_blocks_{uuid.uuid4().hex}"
-    documents(docs, id_col, text_col).mapInArrow(gather, _BLOCK_SQL).write.format("parquet") \
-        .option("compression", "zstd").option("path", staging_path(spark, name)) \
-        .bucketBy(shuffle_partitions(spark), "block").saveAsTable(name)
-    return spark.table(name)
+    blocks = documents(docs, id_col, text_col).mapInArrow(gather, _BLOCK_SQL)
+    return bucketed(blocks, "text_blocks", shuffle_partitions(docs.sparkSession), "block")
 
 
 def _block(number: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
@@ -377,9 +371,9 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]
         yield part, rows
 
 
-def _round(sent: DataFrame, resolve, label: str) -> DataFrame:
-    """Deal names to their parts, sort, resolve; returns one row of answers per block."""
-    dealt = sent.repartition(shuffle_partitions(sent.sparkSession), "part").sortWithinPartitions("part", "block")
+def _round(sent: DataFrame, resolve, parts: int, label: str) -> DataFrame:
+    """Deal every part to a task of its own, sort, resolve; returns one row of answers per block."""
+    dealt = sent.repartitionById(parts, "part").sortWithinPartitions("part", "block")
     answers = stage(dealt.mapInArrow(resolve, _ANSWER_SQL), label)
     return answers.groupBy("block").agg(F.collect_list(F.struct("part", "answer")).alias("answers"))
 
@@ -479,9 +473,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [pa.array(block.names, pa.int64()), pa.array(block.ends - block.starts, pa.int64()),
                  pa.array(spans, span), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
-    state = _with(blocks, _round(blocks.mapInArrow(send_anchors, _NAMES_SQL), _shared_anchors, "repeats-a"), "shared")
-    state = _with(state, _round(state.mapInArrow(send_segments, _NAMES_SQL), _least_documents, "repeats-b"), "settled")
-    state = _with(state, _round(state.mapInArrow(send_windows, _NAMES_SQL), _least_documents, "repeats-c"), "least")
+    state = blocks
+    for send, resolve, answer in ((send_anchors, _shared_anchors, "shared"),
+                                  (send_segments, _least_documents, "settled"),
+                                  (send_windows, _least_documents, "least")):
+        sent = state.mapInArrow(send, _NAMES_SQL)
+        state = _with(state, _round(sent, resolve, parts, f"repeats-{answer}"), answer)
     return state.mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 

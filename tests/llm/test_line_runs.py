@@ -63,9 +63,10 @@ def test_runs_hold_a_key_once_and_are_compacted(spark):
         fresh.append(runs.add(batch).count())
     assert fresh == [20, 10, 10, 10, 10]
     assert [len(level) for level in runs.levels] == [1, 0, 1]  # five runs: one of four, one of one
-    kept = [r.h1 for name in runs.runs() for r in spark.table(name).collect()]
+    kept = [r.h1 for run in runs.runs() for r in run.collect()]
     assert sorted(kept) == list(range(60))
     counts = {r.h1: (r.n_docs, r.last_doc) for r in runs.counts().collect()}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run")]
     assert counts[5] == (1, 0) and counts[15] == (2, 1) and counts[45] == (2, 4) and counts[55] == (1, 4)
 
 
@@ -76,7 +77,7 @@ def test_a_batch_is_shuffled_alone(spark):
     runs.add(batch)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = batch.join(spark.table(runs.runs()[0]), ["h1", "h2"], "left_anti")
+        joined = batch.join(runs.runs()[0], ["h1", "h2"], "left_anti")
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

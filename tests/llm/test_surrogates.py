@@ -1,6 +1,9 @@
+import hashlib
+import random
 import re
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from airshed.llm import surrogates
@@ -117,3 +120,121 @@ def test_no_python_in_the_plan(make):
 @pytest.mark.parametrize("text", ["1234567890123456789012345", "1.2.3.4.5", "a@", "@b.c", "+1 555", "Mr. x", "Mary had"])
 def test_near_misses_stay(make, text):
     assert replaced(make, [text])[0] == (text, 0)
+
+
+# --- a plain version of the whole operator ---------------------------------------------------------------------------
+
+PIECE = regex.compile(surrogates.PATTERN.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}"))
+BARE = regex.compile(rf"^{surrogates._TITLE}\.? ")
+LATIN, CYRILLIC = surrogates.LETTERS["latin"], surrogates.LETTERS["cyrillic"]
+
+
+def draw(key, what, index):
+    return int(hashlib.sha256("\x1f".join([key, what, str(index)]).encode()).hexdigest()[:12], 16)
+
+
+def redrawn(key, value, what):
+    out = []
+    for i, c in enumerate(value, start=1):
+        n = draw(key, what, i)
+        out.append(str(n % 10) if c in "0123456789" else CYRILLIC[n % len(CYRILLIC)] if regex.match(r"\p{Cyrillic}", c)
+                   else LATIN[n % 26] if regex.match(r"\p{L}", c) else c)
+    return "".join(out)
+
+
+def plain_surrogate(key, kind, canon, attempt):
+    what = "\x1f".join([kind, canon, str(attempt)])
+    if kind == "email":
+        local, domain = canon.split("@")[0], canon.split("@")[-1]
+        top = domain.split(".")[-1]
+        more = "".join(LATIN[draw(key, what, i + 1000) % 26] for i in range(1, attempt + 1))
+        body = redrawn(key, domain[:-len(top) - 1], "\x1fdomain" + domain)
+        return f"{redrawn(key, local, what)}{more}@{body}.{top}"
+    if kind == "ip":
+        return ".".join(str(11 + draw(key, what, i) % 89 if i == 1 else 1 + draw(key, what, i) % 254) for i in range(1, 5))
+    drawn = redrawn(key, canon, what)
+    if kind == "phone":
+        head = max(len(canon) - 10, 0)
+        return canon[:head] + drawn[head:]
+    if kind == "ssn":
+        return "9" + drawn[1:]
+    if kind == "card":
+        front = canon[0] + drawn[1:-1]
+        return front + (next(d for d in "0123456789" if luhn(front + d)) if luhn(canon) else drawn[-1])
+    part, script, *gender = kind.split(":")
+    syllables = surrogates.SYLLABLES[script]
+    made = lambda n: "".join(syllables[draw(key, what, i) % len(syllables)] for i in range(1, n + attempt + 1))
+    if part == "family":
+        return made(3)
+    names = surrogates.GIVEN[script, gender[0]]
+    ends = surrogates.GENDER_END_CYRILLIC if script == "cyrillic" else surrogates.GENDER_END
+    return names[draw(key, what, 0) % len(names)].lower() if attempt == 0 else made(1) + ends[gender[0]]
+
+
+def plain_entities(mention):
+    """(kind of mention, {part: (kind, canonical value)})."""
+    for kind in ("email", "ip", "card", "ssn", "phone"):
+        if regex.fullmatch(surrogates.PATTERNS[kind], mention):
+            digits = "".join(c for c in mention if c in "0123456789")
+            return kind, {"whole": (kind, digits if kind in ("card", "ssn", "phone") else mention.lower())}
+    script = "cyrillic" if regex.search(r"\p{Cyrillic}", mention) else "latin"
+    bare = BARE.sub("", mention)
+    given, family = bare.split(" ")[0] if " " in bare else None, bare.split(" ")[-1]
+    known = {n: g for (_, g), names in surrogates.GIVEN.items() for n in names if g != "n"}
+    gender = known.get(given, "n")
+    for g in ("m", "f"):
+        if regex.match(rf"^(?:{surrogates._titles([g])})\.? ", mention):
+            gender = g
+    parts = {"family": (f"family:{script}", family.lower())}
+    if given:
+        parts["given"] = (f"given:{script}:{gender}", given.lower())
+    return "name", parts
+
+
+def plain_replace(texts, key):
+    found = [PIECE.findall(t) for t in texts]
+    real = {e for mentions in found for m in mentions for e in plain_entities(m)[1].values()}
+    space = lambda kind: kind.split(":")[0]
+    taken = {(space(k), c) for k, c in real}
+    attempts = dict.fromkeys(real, 0)
+    while True:
+        chosen = {e: plain_surrogate(key, *e, n) for e, n in attempts.items()}
+        first = {}
+        for (kind, canon), value in chosen.items():
+            claim = (attempts[kind, canon], kind, canon)
+            first[space(kind), value] = min(first.get((space(kind), value), claim), claim)
+        again = [e for e, value in chosen.items() if (space(e[0]), value) in taken
+                 or first[space(e[0]), value] != (attempts[e], *e)]
+        if not again:
+            break
+        for e in again:
+            attempts[e] += 1
+
+    def render(mention):
+        kind, parts = plain_entities(mention)
+        new = {p: chosen[e] for p, e in parts.items()}
+        if kind in ("card", "ssn", "phone"):
+            digits = iter(new["whole"])
+            return "".join(next(digits) if c in "0123456789" else c for c in mention)
+        if kind == "name":
+            title = (BARE.match(mention) or [""])[0]
+            names = " ".join(new[p][0].upper() + new[p][1:] for p in ("given", "family") if p in new)
+            return title + (names.upper() if not regex.search(r"\p{Ll}", BARE.sub("", mention)) else names)
+        loud = regex.search(r"\p{Lu}", mention) and not regex.search(r"\p{Ll}", mention)
+        return new["whole"].upper() if loud else new["whole"]
+
+    return [PIECE.sub(lambda m: render(m[0]), t) for t in texts], [len(m) for m in found]
+
+
+def test_matches_plain_version(make, corpus):
+    rng = random.Random(11)
+    pieces = ["a.b@x.example.com", "A.B@X.EXAMPLE.COM", "7@q.de", "é.9@mail-1.example.org", "10.0.0.1", "255.1.2.3",
+              "4539578763621486", "4539 5787 6362 1486", "3782-822463-10005", "1111111111111111", "123-45-6789",
+              "+1 (017) 555-7713", "017 555 7713", "+49 030 555-1234", "Mr. Smith", "MRS. ANNA SMITH", "Mary Smith",
+              "Mary O’Neil", "Dr Kim Lee", "господин Иванов", "Анна Иванова", "Herr Müller", "Frau Müller", "no match 12"]
+    pieces += [f"{k}@q.de" for k in range(10)] + [f"{n} Hill" for n in surrogates.GIVEN["latin", "m"]]
+    texts = [" ".join(rng.choices(pieces, k=rng.randint(0, 9))) + "\n" + rng.choice(corpus)[:200] for _ in range(60)] + TEXTS
+    expected, counts = plain_replace(texts, "key")
+    got = replaced(make, texts, "key")
+    for k, text in enumerate(expected):
+        assert got[k] == (text, counts[k])
