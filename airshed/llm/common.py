@@ -23,6 +23,38 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+class Recent(dict):
+    """A bounded cache in two generations: when the newer is full, the older goes.
+
+    The newer generation is the mapping itself, so a plain ``get`` is as fast as can be; ``recall`` also asks the older
+    one and moves what it finds to the newer.
+    """
+
+    def __init__(self, entries: int):
+        super().__init__()
+        self.entries, self.older = entries, {}
+
+    def recall(self, key):
+        value = self.older.get(key)
+        if value is not None:
+            self[key] = value
+        return value
+
+    def age(self) -> None:
+        """Start a new generation if this one is full; to be called where no lookup is under way."""
+        if len(self) >= self.entries:
+            self.older = dict(self)
+            self.clear()
+
+
+def holes(values: list):
+    """The places of None in a list."""
+    at = -1
+    for _ in range(values.count(None)):
+        at = values.index(None, at + 1)
+        yield at
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, also where ``body`` uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]

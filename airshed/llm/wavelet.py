@@ -16,14 +16,15 @@ to each other by text; each input row is a document. An empty table writes no sh
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
 from collections.abc import Iterator
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ from airshed.llm.common import documents, shuffle_partitions, staging_path, tabl
 
 SHARD_IDS = 1 << 20
 END_ID = 2
-TEXTS = 256  # encoded at a time
+TEXT_BYTES = 16 << 20  # encoded at a time
+WORDS = 256  # in a call of the library
 BLOCK_BITS = 512
 FILE_SCHEMA = ("part int, shard int, start long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
                "zeros array<long>, planes binary, ranks binary")
@@ -160,18 +162,31 @@ class WaveletMatrix:
         return int(at[0])
 
 
+def _gather(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The slices of an array one behind the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return ids[np.repeat((starts - ends + lengths).astype(np.int32), lengths) + np.arange(total, dtype=np.int32)]
+
+
 class _Encoder:
     """Texts to ids by the tokenizers library, one thread, with a bounded cache of blank-separated chunks.
 
     The byte-level pattern never joins what stands before a blank to what follows it, unless more white space or the
     end follows the blank. So a text without such blanks is the sequence of its chunks, each with its blank in front;
-    the library encodes the chunks that the cache lacks. Any other text goes to the library whole, and so does one with
-    the string of an added token.
+    the library encodes the chunks that the cache lacks, a word apart from the marks behind it, which the pattern never
+    joins either. Any other text goes to the library whole, and so does one with the string of an added token.
+
+    Arrow splits the texts, finds the distinct chunks and looks them up. The cache is an Arrow array of chunks beside
+    one array of all their ids; it lives as long as the Python worker, over all its tasks, and when it is full only what
+    the last texts used stays.
     """
 
     _LONE_BLANK = re.compile(r" (?:\s|\Z)")
+    _SPACE = re.compile(r"\s")
+    _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    def __init__(self, path: str, entries: int = 1 << 19):
+    def __init__(self, path: str, entries: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -179,40 +194,125 @@ class _Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.line_feed = self.tokenizer.token_to_id("Ċ")
         self.width = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.chunks: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
+        self.chunks = pa.array([""], pa.string())  # an empty chunk has no ids
+        self.starts, self.lengths, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts in one array, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], dtype=np.uint32), np.fromiter(map(len, found), np.int64)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_library`, for words with a blank in front, by one call: a line feed stands between any two.
+
+        A line feed before a blank and a word is a token of its own, so the ids can be told apart; words that hold
+        white space themselves are given to the library one by one.
+        """
+        if self._SPACE.search("".join(words)):
+            return self._library([" " + w for w in words])
+        ids, _ = self._library([" " + "\n ".join(words)])
+        between = ids == self.line_feed
+        cuts = np.flatnonzero(between)
+        return ids[~between], np.diff(cuts, prepend=-1, append=len(ids)) - 1
+
+    def _add(self, chunks: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Put chunks with their ids into the cache; returns their places."""
+        first = len(self.chunks)
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
+        self.lengths, self.ids = np.concatenate((self.lengths, lengths)), np.concatenate((self.ids, ids))
+        self.chunks = pa.concat_arrays([self.chunks, chunks])
+        return first + np.arange(len(chunks))
+
+    def _find(self, chunks: pa.Array) -> np.ndarray:
+        """Places in the cache, -1 for what it lacks."""
+        return pc.fill_null(pc.index_in(chunks, value_set=self.chunks), -1).to_numpy().astype(np.int64)
+
+    def _learn(self, chunks: pa.Array) -> np.ndarray:
+        """Put distinct chunks (without their blank) into the cache; returns their places."""
+        words = pc.utf8_rtrim(chunks, characters=self._MARKS)
+        last = pc.utf8_slice_codeunits(words, start=-1).dictionary_encode()
+        letter = np.array([c.isalpha() for c in last.dictionary.to_pylist()], dtype=bool)[last.indices.to_numpy()]
+        marked = letter & (pc.binary_length(words).to_numpy() < pc.binary_length(chunks).to_numpy())
+        mask = pa.array(marked, pa.bool_())
+        base = pc.if_else(mask, words, chunks).dictionary_encode()
+
+        places = self._find(base.dictionary)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            array = base.dictionary.take(pa.array(new))
+            names = array.to_pylist()
+            some = [self._words(names[at:at + WORDS]) for at in range(0, len(names), WORDS)]
+            places[new] = self._add(array, *map(np.concatenate, zip(*some)))
+        out = places[base.indices.to_numpy()]
+        if marked.any():
+            names, stems = chunks.filter(mask), words.filter(mask)
+            marks = pa.array([n[len(w):] for n, w in zip(names.to_pylist(), stems.to_pylist())]).dictionary_encode()
+            ids, lengths = self._library(marks.dictionary.to_pylist())
+            word, mark, size = out[marked], marks.indices.to_numpy(), len(self.ids)
+            starts = np.stack((self.starts[word], (size + np.cumsum(lengths) - lengths)[mark]), axis=1)
+            counts = np.stack((self.lengths[word], lengths[mark]), axis=1)
+            both = _gather(np.concatenate((self.ids, ids)), starts.ravel(), counts.ravel())
+            out[marked] = self._add(names, both, counts.sum(axis=1))
+        return out
 
     def _whole(self, text: str) -> bool:
         return self._LONE_BLANK.search(text) is not None or any(a in text for a in self.added)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [None if self._whole(t) else t.split(" ") for t in texts]
-        first = [parts[0] if parts else t for parts, t in zip(split, texts)]  # without a blank in front, or whole
-        missing: set[str] = set()
-        for parts in split:
-            if parts:
-                missing.update(parts[1:])
-        missing = list(missing - self.chunks.keys())
-        self.chunks.update(zip(missing, self._library([" " + p for p in missing])))
-        known, out = self.chunks, []
-        for head, parts in zip(self._library(first), split):
-            rest = [known[p] for p in parts[1:]] if parts else []
-            out.append(np.frombuffer(b"".join([head, *rest]), dtype="<u4"))
+        whole = texts.to_pylist()
+        if not whole:
+            return []
+        apart = [self._whole(t) for t in whole]
+        parts = pc.split_pattern(pc.if_else(pa.array(apart, pa.bool_()), "", texts), " ")
+        bounds, coded = parts.offsets.to_numpy() - parts.offsets[0].as_py(), parts.flatten().dictionary_encode()
+        places = self._find(coded.dictionary)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            places[new] = self._learn(coded.dictionary.take(pa.array(new)))
+        at = places[coded.indices.to_numpy()]
+
+        # the first chunk has no blank in front
+        heads, counts = self._library([t if a else t.partition(" ")[0] for t, a in zip(whole, apart)])
+        starts, lengths = self.starts[at], self.lengths[at]
+        starts[bounds[:-1]], lengths[bounds[:-1]] = len(self.ids) + np.cumsum(counts) - counts, counts
+        out = _gather(np.concatenate((self.ids, heads)), starts, lengths)
+        ends = np.cumsum(lengths)[bounds[1:] - 1]
         if len(self.chunks) > self.entries:
-            self.chunks.clear()
-        return out
+            self._forget(np.union1d([0], places))
+        return np.split(out, ends[:-1])
+
+    def _forget(self, keep: np.ndarray) -> None:
+        """Leave only some entries in the cache."""
+        self.ids, self.chunks = _gather(self.ids, self.starts[keep], self.lengths[keep]), self.chunks.take(pa.array(keep))
+        self.lengths = self.lengths[keep]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+
+def _portions(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours of about ``most`` in sum."""
+    start, held = 0, 0
+    for k, size in enumerate(sizes):
+        held += size
+        if held >= most:
+            yield start, k + 1
+            start, held = k + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
 
 
 def write_token_ids(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = END_ID,
                     shard_ids: int = SHARD_IDS, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``end_id``, and write the shards in ascending doc_id order to ``path``."""
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(vocabulary_path)
+        encoder = _encoder(vocabulary_path)
         part, shard, start = TaskContext.get().partitionId(), 0, 0
         doc_ids, pieces, held = [], [], 0
 
@@ -226,8 +326,8 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary_path: str, end_id: in
 
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(names), TEXTS):
-                for doc_id, ids in zip(names[at:at + TEXTS], encoder.encode(texts.slice(at, TEXTS).to_pylist())):
+            for at, end in _portions(pc.binary_length(texts).to_pylist(), TEXT_BYTES):
+                for doc_id, ids in zip(names[at:end], encoder.encode(texts.slice(at, end - at))):
                     doc_ids.append(doc_id)
                     pieces.append(np.append(ids, np.uint32(end_id)))
                     held += len(ids) + 1

@@ -75,3 +75,16 @@ def test_odd_rows(spark, make, odd_rows):
 def test_empty_table(spark, make):
     shards = written(spark, make([]))
     assert wavelet.token_digests(shards).collect() == [] and wavelet.count_token(shards, 2).first().n == 0
+
+
+def test_cache_that_forgets_gives_the_same_ids(corpus):
+    import pyarrow as pa
+
+    texts = (corpus + [t.upper() for t in corpus] + ["", " lead", "end ", "a b c", "x\ty z\n w", "don't won't. it's!?"]) * 2
+    library = Tokenizer.from_file(PATH)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for entries in (1, 50, 10 ** 6):
+        encoder = wavelet._Encoder(PATH, entries=entries)
+        got = [ids.tolist() for at in range(0, len(texts), 7) for ids in encoder.encode(pa.array(texts[at:at + 7]))]
+        assert got == expected
+    assert wavelet._Encoder(PATH).encode(pa.array([], pa.string())) == []
