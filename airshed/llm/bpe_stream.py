@@ -24,20 +24,19 @@ import functools
 import hashlib
 import heapq
 import json
-import re
-import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from pathlib import Path
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm.common import documents, table
+from airshed.llm.common import Recent, documents, holes, table
 
 BLOCK = 256
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 400_000
 
 
 def byte_alphabet() -> list[str]:
@@ -47,18 +46,18 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
 
 
-@functools.lru_cache(maxsize=1)
-def unassigned() -> re.Pattern:
-    """The code points without a meaning in this Unicode version."""
-    ranges, start = [], None
-    for point in range(sys.maxunicode + 2):
-        open_ = point <= sys.maxunicode and unicodedata.category(chr(point)) == "Cn"
-        if open_ and start is None:
-            start = point
-        elif not open_ and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{point - 1:08x}")
-            start = None
-    return re.compile("[" + "".join(ranges) + "]")
+_ASSIGNED: set[str] = set()  # code points seen and found to have a meaning; at most as many as there are
+
+
+def has_unassigned(text: str) -> bool:
+    """Whether a text has a code point without a meaning in this Unicode version."""
+    if text.isascii():
+        return False
+    new = set(text) - _ASSIGNED
+    if any(unicodedata.category(c) == "Cn" for c in new):
+        return True
+    _ASSIGNED.update(new)
+    return False
 
 
 def sufficient_lookahead(rules: list[tuple[int, int, int]], lengths: dict[int, int]) -> int:
@@ -229,62 +228,64 @@ class Transducer:
 
 
 class Encoder:
-    """Texts to ids, by words; repeated words come from a cache of bounded size."""
+    """Texts to ids, by words; repeated words, and chunks between white space, come from caches of bounded size."""
 
     def __init__(self, vocabulary: Vocabulary, cache_entries: int = CACHE_ENTRIES, block: int = BLOCK):
-        self.v, self.entries, self.block = vocabulary, cache_entries, block
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.v, self.block = vocabulary, block
+        self.words, self.chunks = Recent(cache_entries), Recent(cache_entries)
 
     def _encode(self, word: bytes) -> bytes:
         transducer = Transducer(self.v, self.block)
         ids = list(transducer.feed(word))
         ids += transducer.finish()
-        return np.array(ids, dtype="<u4").tobytes()
+        return pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
-        known = self.words.get(word)
+        known = self.words.get(word) or self.words.recall(word)
         if known is None:
             known = self._encode(word.encode("utf-8", "replace"))
             if len(word) <= self.block:
-                if len(self.words) >= self.entries:
-                    self.words.clear()
                 self.words[word] = known
         return known
 
     def _chunk(self, chunk: str) -> bytes:
-        known = b"".join(map(self._word, self.v.pattern.findall(chunk)))
-        if len(chunk) <= self.block:
-            if len(self.chunks) >= self.entries:
-                self.chunks.clear()
-            self.chunks[chunk] = known
+        known = self.chunks.recall(chunk)
+        if known is None:
+            known = b"".join(map(self._word, self.v.pattern.findall(chunk)))
+            if len(chunk) <= self.block:
+                self.chunks[chunk] = known
         return known
 
-    def _plain(self, text: str) -> Iterator[bytes]:
-        if not text.isascii() and unassigned().search(text):
-            yield from map(self._encode, self.v.split_by_library(text))
-            return
+    def _plain(self, text: str) -> bytes:
+        if has_unassigned(text):
+            return b"".join(map(self._encode, self.v.split_by_library(text)))
         text = self.v.prepare(text)
         if not self.v.spaces_vanish:  # words carry their blanks
-            for match in self.v.pattern.finditer(text):
-                yield self._word(match[0])
-            return
+            return b"".join([self._word(match[0]) for match in self.v.pattern.finditer(text)])
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")  # white space to Python alone
-        for chunk in self.v.space.split(text) if odd else text.split():
-            known = self.chunks.get(chunk)
-            yield self._chunk(chunk) if known is None else known
-
-    def encode(self, text: str) -> Iterator[bytes]:
-        """The ids as little-endian unsigned 32-bit integers, word by word."""
+        chunks = self.v.space.split(text) if odd else text.split()
+        ids = list(map(self.chunks.get, chunks))
+        for at in holes(ids):
+            ids[at] = self._chunk(chunks[at])
+        self.chunks.age()
+        self.words.age()
+        return b"".join(ids)
+
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
         if self.v.added_pattern is None:
-            yield from self._plain(text)
-            return
-        at = 0
+            return self._plain(text)
+        out, at = [], 0
         for match in self.v.added_pattern.finditer(text):
-            yield from self._plain(text[at:match.start()])
-            yield np.uint32(self.v.added[match[0]]).astype("<u4").tobytes()
+            out += [self._plain(text[at:match.start()]), pack("<I", self.v.added[match[0]])]
             at = match.end()
-        yield from self._plain(text[at:] if at else text)
+        return b"".join([*out, self._plain(text[at:] if at else text)])
+
+
+@functools.lru_cache(maxsize=2)
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of a Python worker: its cache serves all the worker's tasks."""
+    return Encoder(load(path))
 
 
 class Decoder:
@@ -328,9 +329,9 @@ class Decoder:
 def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, ids binary)``: ids as little-endian unsigned 32-bit integers, one row per input row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load(vocabulary_path))
+        encoder = shared_encoder(vocabulary_path)
         for batch in batches:
-            ids = [b"".join(encoder.encode(t.as_py())) for t in batch.column("text")]
+            ids = [encoder.encode(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())],
                                              names=["doc_id", "ids"])
 
@@ -358,11 +359,11 @@ def token_digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` per row: each text is encoded and its ids decoded again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load(vocabulary_path)
-        encoder = Encoder(vocabulary)
+        encoder = shared_encoder(vocabulary_path)
         for batch in batches:
             counts, id_digests, text_digests = [], [], []
             for value in batch.column("text"):
-                raw = b"".join(encoder.encode(value.as_py()))
+                raw = encoder.encode(value.as_py())
                 ids, decoder, digest = np.frombuffer(raw, dtype="<u4"), Decoder(vocabulary), hashlib.sha256()
                 for at in range(0, len(ids), block):
                     digest.update(decoder.feed(ids[at:at + block].tolist()).encode("utf-8"))
