@@ -163,11 +163,12 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep; a verdict belongs to a row's id, language and text."""
     gone = quality_verdicts(docs, id_col, text_col, lang_col).where("not kept") \
-        .select(F.col("doc_id").alias("gone_id"), F.col("lang").alias("gone_lang"), "text_hash").distinct()
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")) & \
-        F.col(lang_col).cast("string").eqNullSafe(F.col("gone_lang")) & \
-        (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("text_hash"))
-    return docs.join(gone, same, "left_anti")
+        .select("doc_id", "lang", "text_hash").distinct().alias("gone")
+    row = {c: F.col(f"row.`{c}`") for c in (id_col, text_col, lang_col)}
+    same = row[id_col].cast("long").eqNullSafe(F.col("gone.doc_id")) & \
+        row[lang_col].cast("string").eqNullSafe(F.col("gone.lang")) & \
+        (F.xxhash64(F.coalesce(row[text_col], F.lit(""))) == F.col("gone.text_hash"))
+    return docs.alias("row").join(gone, same, "left_anti")
 
 
 def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

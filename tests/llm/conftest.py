@@ -4,7 +4,7 @@ import pytest
 
 # Names that the operators use inside; an input may have columns of these names.
 CLASHING = ["fp", "words", "line", "h1", "block", "kind", "row", "rank", "hash", "root", "spans", "n_lines", "kept_text",
-            "component_id", "n_entities", "id", "shingle", "item_id", "kept", "label"]
+            "component_id", "n_entities", "text_hash", "gone", "id", "shingle", "item_id", "kept", "label"]
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
