@@ -14,17 +14,18 @@ row, also with a null or repeated doc_id. With no documents there is no row.
 
 from __future__ import annotations
 
-import re
+import functools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.llm.common import documents, stage, table
+from airshed.llm.common import Recent, documents, stage, table
 
 BUCKETS = 1 << 12
 SAMPLE = 4000
@@ -41,8 +42,8 @@ COMMON = frozenset("""
     le et les des du une est pour par dans avec qui pas sur au
     der die und den von zu das mit sich auf für ist im nicht dem ein eine als
 """.split())
+LABELLERS = 8
 SYMBOLS = frozenset("#*$%&|<>!{}[]=_~^\\")
-_WORD = re.compile(r"[^\W\d_]+")
 
 
 def _vote(value: float, bad_below: float | None = None, good_from: float | None = None,
@@ -55,36 +56,39 @@ def _vote(value: float, bad_below: float | None = None, good_from: float | None
     return 0
 
 
-def votes(text: str, tokens: list[str]) -> list[int]:
-    """The labellers' votes on a text and its tokens."""
-    n = len(tokens)
+@dataclass
+class Look:
+    """What the labellers see of a document: its length, and sums over its tokens."""
+
+    chars: int
+    tokens: int
+    distinct: int
+    twins: int  # tokens equal to the one before
+    letters: int
+    capitals: int
+    marked: int
+    common: int
+    ended: int
+    repeated_lines: float
+
+
+def votes(look: Look) -> list[int]:
+    """The labellers' votes on a document."""
+    n = look.tokens
     if not n:
-        return [-1, 0, 0, 0, 0, 0, 0, 0]
-    distinct = len(set(tokens))
-    twins = sum(a == b for a, b in zip(tokens, tokens[1:])) / n
-    letters = sum(map(str.isalpha, text))
-    capitals = sum(t.isupper() and len(t) > 1 for t in tokens) / n
-    marked = sum(not SYMBOLS.isdisjoint(t) for t in tokens) / n
-    bare = [t.strip(".,;:!?\"'()").lower() for t in tokens]
-    common = sum(t in COMMON for t in bare) / n
-    ended = sum(t[-1] in ".,;:?" for t in tokens) / n
-    lines = text.split("\n")
-    repeated = 1 - len(set(lines)) / len(lines) if len(lines) > 3 else 0.0
+        return [-1] + [0] * (LABELLERS - 1)
     return [
         _vote(n, bad_below=10, good_from=40),
-        _vote(marked, bad_above=0.30, good_to=0.05),
-        _vote(capitals, bad_above=0.40, good_to=0.10),
-        _vote(twins, bad_above=0.15, good_to=0.02) if n >= 10 else 0,
-        _vote(distinct / min(n, 200 + n / 10), bad_below=0.20, good_from=0.50) if n >= 30 else 0,
-        _vote(common, bad_below=0.05, good_from=0.15) if n >= 20 else 0,
-        _vote(ended, bad_below=0.01, good_from=0.04, bad_above=0.60, good_to=0.40) if n >= 20 else 0,
-        _vote(letters / max(1, len(text)), bad_below=0.60, good_from=0.75) if repeated < 0.5 else -1,
+        _vote(look.marked / n, bad_above=0.30, good_to=0.05),
+        _vote(look.capitals / n, bad_above=0.40, good_to=0.10),
+        _vote(look.twins / n, bad_above=0.15, good_to=0.02) if n >= 10 else 0,
+        _vote(look.distinct / min(n, 200 + n / 10), bad_below=0.20, good_from=0.50) if n >= 30 else 0,
+        _vote(look.common / n, bad_below=0.05, good_from=0.15) if n >= 20 else 0,
+        _vote(look.ended / n, bad_below=0.01, good_from=0.04, bad_above=0.60, good_to=0.40) if n >= 20 else 0,
+        _vote(look.letters / max(1, look.chars), bad_below=0.60, good_from=0.75) if look.repeated_lines < 0.5 else -1,
     ]
 
 
-LABELLERS = 8
-
-
 def shape(token: str) -> str:
     """A token's shape: runs of capitals, small letters and digits as one character each, other characters as they are."""
     out = []
@@ -95,41 +99,60 @@ def shape(token: str) -> str:
     return "".join(out[:8])
 
 
-class Features:
-    """Hashed features of a document: tokens, shapes, and shapes of repeated tokens; a bounded cache of tokens."""
+class Reader:
+    """Reads documents by their distinct tokens: for the labellers, and as hashed features for the scorer.
+
+    Features are tokens, shapes, and shapes of repeated tokens. What a token contributes is kept in a bounded cache.
+    """
 
-    def __init__(self, buckets: int = BUCKETS, entries: int = 1 << 17):
-        self.buckets, self.entries = buckets, entries
-        self.known: dict[str, tuple[int, int, int]] = {}
+    def __init__(self, buckets: int = BUCKETS, entries: int = 300_000):
+        self.buckets, self.known = buckets, Recent(entries)
 
     def _hash(self, space: str, value: str) -> int:
         return zlib.crc32(f"{space}\x1f{value}".encode("utf-8", "replace")) % self.buckets
 
-    def _of(self, token: str) -> tuple[int, int, int]:
-        out = self.known.get(token)
+    def _of(self, token: str) -> tuple[int, ...]:
+        """Buckets of a token (word, shape, repeated shape) and what the labellers count."""
+        out = self.known.recall(token)
         if out is None:
             form = shape(token)
-            out = (self._hash("word", token.lower()), self._hash("shape", form), self._hash("again", form))
-            if len(self.known) >= self.entries:
-                self.known.clear()
-            self.known[token] = out
+            out = self.known[token] = (
+                self._hash("word", token.lower()), self._hash("shape", form), self._hash("again", form),
+                sum(map(str.isalpha, token)), token.isupper() and len(token) > 1, not SYMBOLS.isdisjoint(token),
+                token.strip(".,;:!?\"'()").lower() in COMMON, token[-1] in ".,;:?")
         return out
 
-    def counts(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``(buckets, weights)`` of a document; weights are damped counts of unit length."""
-        found: Counter[int] = Counter()
-        last = None
-        for token, times in Counter(tokens).items():
-            word, form, _ = self._of(token)
-            found[word] += times
-            found[form] += times
-        for token in tokens:
-            if token == last:
-                found[self._of(token)[2]] += 1
-            last = token
+    def read(self, text: str, features: bool = True) -> tuple[int, np.ndarray, np.ndarray]:
+        """``(vote pattern, buckets, weights)``; weights are damped counts of unit length."""
+        tokens = text.split()
+        found: dict[int, int] = {}
+        letters = capitals = marked = common = ended = 0
+        get, distinct = self.known.get, Counter(tokens)
+        for token, times in distinct.items():
+            word, form, _, a, b, c, d, e = get(token) or self._of(token)
+            letters, capitals, marked = letters + a * times, capitals + b * times, marked + c * times
+            common, ended = common + d * times, ended + e * times
+            if features:
+                found[word] = found.get(word, 0) + times
+                found[form] = found.get(form, 0) + times
+        twins = [t for t, before in zip(tokens[1:], tokens) if t == before]
+        for token in twins if features else ():
+            again = (get(token) or self._of(token))[2]
+            found[again] = found.get(again, 0) + 1
+        self.known.age()
+        lines = text.split("\n")
+        repeated = 1 - len(set(lines)) / len(lines) if len(lines) > 3 else 0.0
+        pattern = pattern_of(votes(Look(len(text), len(tokens), len(distinct), len(twins), letters, capitals, marked,
+                                        common, ended, repeated)))
         at = np.fromiter(found.keys(), dtype=np.int32, count=len(found))
         weights = np.log1p(np.fromiter(found.values(), dtype=np.float64, count=len(found)))
-        return at, weights / max(1e-9, float(np.sqrt(weights @ weights)))
+        return pattern, at, weights / max(1e-9, float(np.sqrt(weights @ weights)))
+
+
+@functools.lru_cache(maxsize=2)
+def _reader(buckets: int) -> Reader:
+    """The reader of a Python worker: its cache serves all the worker's tasks."""
+    return Reader(buckets)
 
 
 def pattern_of(cast: list[int]) -> int:
@@ -195,8 +218,9 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = documents(docs, id_col, text_col)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _reader(buckets)
         for batch in batches:
-            found = [pattern_of(votes(t, t.split())) for t in batch.column("text").to_pylist()]
+            found = [reader.read(t, features=False)[0] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("rank"), pa.array(found, pa.int32())],
                 names=["doc_id", "rank", "pattern"])
@@ -212,14 +236,13 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     learning = ranked.join(F.broadcast(chosen), "rank", "left_semi")  # at most ``sample`` longs
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(buckets)
+        reader = _reader(buckets)
         for batch in batches:
-            split = [(t, t.split()) for t in batch.column("text").to_pylist()]
-            rows = [features.counts(tokens) for _, tokens in split]
+            rows = [reader.read(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rank"), pa.array([label[pattern_of(votes(t, tokens))] for t, tokens in split]),
-                 pa.array([at.tobytes() for at, _ in rows], pa.binary()),
-                 pa.array([w.astype(np.float32).tobytes() for _, w in rows], pa.binary())],
+                [batch.column("rank"), pa.array([label[p] for p, _, _ in rows], pa.float64()),
+                 pa.array([at.tobytes() for _, at, _ in rows], pa.binary()),
+                 pa.array([w.astype(np.float32).tobytes() for _, _, w in rows], pa.binary())],
                 names=["rank", "label", "buckets", "weights"])
 
     # the sample's rows are bounded: at most ``sample`` of at most ``buckets`` numbers (repeated rows count once)
@@ -229,13 +252,12 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  np.array([r["label"] for r in rows]), buckets)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(buckets)
+        reader = _reader(buckets)
         for batch in batches:
             soft, scores = [], []
             for text in batch.column("text").to_pylist():
-                tokens = text.split()
-                soft.append(label[pattern_of(votes(text, tokens))])
-                at, weights = features.counts(tokens)
+                pattern, at, weights = reader.read(text)
+                soft.append(label[pattern])
                 scores.append(float(1 / (1 + np.exp(-np.clip(w[at] @ weights + b, -40, 40)))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(soft, pa.float64()), pa.array(scores, pa.float64()),

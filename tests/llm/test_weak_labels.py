@@ -50,12 +50,31 @@ def test_scorer_separates_soft_labels():
     assert ((scores > 0) == (np.array(labels) > 0.5)).all()
 
 
+def plain_look(text):
+    """What the labellers see, token by token."""
+    tokens, lines = text.split(), text.split("\n")
+    return w.Look(
+        len(text), len(tokens), len(set(tokens)), sum(a == b for a, b in zip(tokens, tokens[1:])),
+        sum(c.isalpha() for c in text), sum(t.isupper() and len(t) > 1 for t in tokens),
+        sum(any(c in w.SYMBOLS for c in t) for t in tokens),
+        sum(t.strip(".,;:!?\"'()").lower() in w.COMMON for t in tokens), sum(t[-1] in ".,;:?" for t in tokens),
+        1 - len(set(lines)) / len(lines) if len(lines) > 3 else 0.0)
+
+
+@pytest.mark.parametrize("entries", [1, 10 ** 6])
+def test_reader_sees_what_a_plain_one_does(corpus, entries):
+    reader = w.Reader(64, entries=entries)
+    for text in [*corpus, "", " \n", "THE the THE THE end. $$$ a#b", "x\nx\nx\nx\ny"] * 2:
+        expected = w.pattern_of(w.votes(plain_look(text)))
+        assert reader.read(text)[0] == reader.read(text, features=False)[0] == expected
+
+
 def test_shape_and_features():
     assert w.shape("Abc12$$$") == "Aa0$" and w.shape("THE!!") == "A!"
-    features = w.Features(64, entries=2)
-    at, weights = features.counts("a a b c c c".split())
+    reader = w.Reader(64, entries=2)
+    _, at, weights = reader.read("a a b a c c c")
     assert len(at) == len(set(at.tolist())) and abs(weights @ weights - 1) < 1e-9
-    assert len(features.counts([])[0]) == 0
+    assert len(reader.read("")[1]) == 0
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
