@@ -6,7 +6,8 @@ sum of the histograms of its documents that pass the base rules and are long eno
 The verdict compares a document with the reference of its own language by Jensen-Shannon distance (base 2, from 0 to
 1): a text that is long enough for a histogram to mean something and lies farther off than the limit is rejected. The
 word histogram needs more words than the character histogram needs characters; shorter texts are not judged by it, and
-its limit allows for the distance that chance alone gives a short text.
+its limit allows for the distance that chance alone gives a short text. A text in several languages is far from each of
+their references, yet holds as many common words as they do; by words only a text that also lacks them is rejected.
 
 Repeated windows are found by 64-bit hashes of their five words; a chance collision inside one document would have to
 hit two of its windows.
@@ -29,6 +30,7 @@ MIN_CHARS_JUDGED = 300
 MIN_WORDS_JUDGED = 100
 MAX_CHAR_DISTANCE = 0.33
 MAX_WORD_DISTANCE = 0.20
+MIN_COMMON_SHARE = 0.5  # of the reference's share of common words
 WORD_ALLOWANCE = 12  # over the number of words: what chance adds to the distance of a short text
 
 # Common words of the four languages of the corpus, by language.
@@ -140,11 +142,18 @@ def references(rows: DataFrame) -> DataFrame:
         .withColumnRenamed("lang", "ref_lang")
 
 
+def _common_share(counts: Column) -> Column:
+    """The share of listed words in a word histogram; null if it is empty."""
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x)
+    return let(total, lambda t: F.when(t > 0, 1 - F.element_at(counts, -1) / t))
+
+
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      lang_col: str = "lang") -> DataFrame:
-    """The base counts, ``base_failed, char_distance, word_distance`` and ``kept`` of every row.
+    """The base counts, ``base_failed, char_distance, word_distance, common_share`` and ``kept`` of every row.
 
-    Columns: ``doc_id, lang, text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` and these.
+    Columns: ``doc_id, lang, text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` and these;
+    common_share is relative to the reference's.
     """
     rows = stage(features(docs, id_col, text_col, lang_col), "quality-features")
     judged = rows.join(references(rows), F.col("lang").eqNullSafe(F.col("ref_lang")), "left").select(
@@ -153,9 +162,11 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.when(F.col("n_chars") >= MIN_CHARS_JUDGED, js_distance(F.col("chars"), F.col("ref_chars")))
         .alias("char_distance"),
         F.when(F.col("n_words") >= MIN_WORDS_JUDGED, js_distance(F.col("common"), F.col("ref_common")))
-        .alias("word_distance"))
+        .alias("word_distance"),
+        F.try_divide(_common_share(F.col("common")), _common_share(F.col("ref_common"))).alias("common_share"))
     far_chars = F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False))
-    far_words = F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE + WORD_ALLOWANCE / F.col("n_words"), F.lit(False))
+    far_words = F.coalesce((F.col("word_distance") > MAX_WORD_DISTANCE + WORD_ALLOWANCE / F.col("n_words"))
+                           & (F.col("common_share") < MIN_COMMON_SHARE), F.lit(False))
     return judged.withColumn("kept", ~(F.col("base_failed") | far_chars | far_words))
 
 

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 import pytest
@@ -54,8 +55,10 @@ def plain_verdicts(rows):
         if lang in refs and f["n_chars"] >= q.MIN_CHARS_JUDGED:
             far |= (plain_distance(f["chars"], refs[lang][0]) or 0) > q.MAX_CHAR_DISTANCE
         if lang in refs and f["n_words"] >= q.MIN_WORDS_JUDGED:
-            far |= ((plain_distance(f["common"], refs[lang][1]) or 0)
-                    > q.MAX_WORD_DISTANCE + q.WORD_ALLOWANCE / f["n_words"])
+            ref = refs[lang][1]
+            share, wanted = 1 - f["common"][-1] / f["n_words"], 1 - ref[-1] / sum(ref)
+            far |= ((plain_distance(f["common"], ref) or 0) > q.MAX_WORD_DISTANCE + q.WORD_ALLOWANCE / f["n_words"]
+                    and wanted > 0 and share / wanted < q.MIN_COMMON_SHARE)
         out.append((f, bad, not bad and not far))
     return out
 
@@ -78,6 +81,22 @@ def test_matches_plain_version(make, corpus):
         assert (row["base_failed"], row["kept"]) == (failed, kept), k
 
 
+def test_two_languages_are_kept_and_a_text_without_common_words_is_not(make):
+    rng = random.Random(5)
+    own = {"en": "the of and to a in is that it for".split(), "fr": "de la le et les des un du une est".split()}
+
+    def prose(lang, n):
+        made = ["".join(rng.choices("aeilnorst", k=6)) for _ in range(400)]
+        return " ".join(rng.choice(own[lang]) if rng.random() < .3 else rng.choice(made) for _ in range(n))
+
+    rows = [(k, prose(lang, 300), lang, "s", 0) for k, lang in enumerate(["en", "fr"] * 20)]
+    rows += [(100, prose("en", 200) + " " + prose("fr", 250), "en", "s", 0), (101, prose("fr", 300), "en", "s", 0),
+             (102, " ".join("".join(rng.choices("aeilnorst", k=6)) for _ in range(300)), "en", "s", 0)]
+    got = {r.doc_id: r for r in q.quality_verdicts(make(rows)).collect()}
+    assert [k for k, r in got.items() if not r.kept] == [102]
+    assert got[101].word_distance > 0.4  # far, but made of common words
+
+
 def test_histograms(make, corpus):
     rows = rows_of(corpus + junk(corpus))
     for r in q.features(make(rows)).collect():
