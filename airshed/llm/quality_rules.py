@@ -5,9 +5,10 @@ histogram of character classes and one of common words (each listed word, and al
 sum of the histograms of its documents that pass the base rules and are long enough, over all documents of the corpus.
 The verdict compares a document with the reference of its own language by Jensen-Shannon distance (base 2, from 0 to
 1): a text that is long enough for a histogram to mean something and lies farther off than the limit is rejected. The
-word histogram needs more words than the character histogram needs characters; shorter texts are not judged by it, and
-its limit allows for the distance that chance alone gives a short text. A text in several languages is far from each of
-their references, yet holds as many common words as they do; by words only a text that also lacks them is rejected.
+word histogram needs a least number of words; shorter texts are not judged by it. A text in several languages is far
+from each of their references, yet holds as many common words as they do; by words only a text that also lacks them is
+rejected. That share carries the verdict of a short text, whose distance is large by chance alone; both limits allow for
+the number of words.
 
 Repeated windows are found by 64-bit hashes of their five words; a chance collision inside one document would have to
 hit two of its windows.
@@ -27,11 +28,12 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW_WORDS = 5
 MIN_CHARS_JUDGED = 300
-MIN_WORDS_JUDGED = 100
+MIN_WORDS_JUDGED = 45
 MAX_CHAR_DISTANCE = 0.33
 MAX_WORD_DISTANCE = 0.20
 MIN_COMMON_SHARE = 0.5  # of the reference's share of common words
-WORD_ALLOWANCE = 12  # over the number of words: what chance adds to the distance of a short text
+WORD_ALLOWANCE = 1  # over the number of words: what chance adds to the distance of a short text
+SHARE_ALLOWANCE = 6  # over the number of words: what chance takes from the share of a short text
 
 # Common words of the four languages of the corpus, by language.
 COMMON_WORDS = list(dict.fromkeys("""
@@ -166,7 +168,8 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.try_divide(_common_share(F.col("common")), _common_share(F.col("ref_common"))).alias("common_share"))
     far_chars = F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False))
     far_words = F.coalesce((F.col("word_distance") > MAX_WORD_DISTANCE + WORD_ALLOWANCE / F.col("n_words"))
-                           & (F.col("common_share") < MIN_COMMON_SHARE), F.lit(False))
+                           & (F.col("common_share") < MIN_COMMON_SHARE - SHARE_ALLOWANCE / F.col("n_words")),
+                           F.lit(False))
     return judged.withColumn("kept", ~(F.col("base_failed") | far_chars | far_words))
 
 

@@ -97,6 +97,25 @@ def test_two_languages_are_kept_and_a_text_without_common_words_is_not(make):
     assert got[101].word_distance > 0.4  # far, but made of common words
 
 
+def test_short_fragments_without_common_words_go_and_short_prose_stays(make):
+    rng = random.Random(6)
+    common = "the of and to a in is that it for".split()
+    made = ["".join(rng.choices("aeilnorst", k=6)) for _ in range(400)]
+
+    def prose(n, share):
+        words = rng.sample(made, n - int(n * share)) + rng.choices(common, k=int(n * share))
+        rng.shuffle(words)
+        return words
+
+    rows = [(k, " ".join(prose(300, .3)), "en", "s", 0) for k in range(20)]
+    rows += [(100 + n, " ".join(prose(n, .3)), "en", "s", 0) for n in (45, 60, 99)]
+    rows += [(200 + n, " | ".join(prose(n // 2, 0)), "en", "s", 0) for n in (60, 80, 99)]  # every bar is a word
+    rows += [(400, " ".join(prose(158, .04)), "en", "s", 0), (401, " ".join(prose(270, .1)), "en", "s", 0)]
+    got = q.quality_verdicts(make(rows)).collect()
+    assert sorted(r.doc_id for r in got if not r.kept and not r.base_failed) == [260, 280, 299, 400, 401]
+    assert not any(r.base_failed for r in got if r.doc_id < 200)
+
+
 def test_histograms(make, corpus):
     rows = rows_of(corpus + junk(corpus))
     for r in q.features(make(rows)).collect():
