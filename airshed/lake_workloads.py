@@ -2,8 +2,9 @@
 lake readers, the file selection, the payload cleaning and the keyed writers run on them.
 
 Landing is the collector's part: whole tables become files on shared storage, once per session and data directory. Events
-stand in for flights, road segments and observations (a file per event type and day, the type as city), suppliers for
-airports, parts for the busiest-airports list. What makes a record odd (code-share, missing time, missing key) follows
+stand in for flights, road segments and observations (files per event type and day, the type as city), suppliers for
+airports, parts for the busiest-airports list. A group's records are dealt to as many files as their bytes ask for, so no
+row and no file grows with the table. What makes a record odd (code-share, missing time, missing key) follows
 from its event_id, so the oracle knows it too.
 """
 
@@ -24,6 +25,7 @@ from airshed.sources.tables import Tables
 from airshed.workloads import CUTOFF_HALF, _round, register
 
 DAY = "2024-01-15"
+FILE_BYTES = 32 << 20  # about as much text a landed file holds
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
@@ -32,7 +34,10 @@ def _landed(spark: SparkSession, d: str, feed: str) -> str:
     key = (spark.sparkContext.applicationId, d, feed)
     if key not in _LANDED:
         root = shared_path(spark, "landed", f"{feed}-{uuid.uuid4().hex}")
-        _land(_FEEDS[feed](Tables(spark, d)), root)
+        if feed == "busiest":
+            _land_busiest(Tables(spark, d), root)
+        else:
+            _land(_FEEDS[feed](Tables(spark, d)), root)
         _LANDED[key] = root
     return _LANDED[key]
 
@@ -49,11 +54,28 @@ def _land(files: DataFrame, root: str) -> None:
     storage.delete(spark, staging)
 
 
-def _arrays(records: DataFrame, folder: Column, name: Column, wrap: str = "") -> DataFrame:
-    """A file per folder and name holding the array of its ``record`` texts, in a JSON object under ``wrap`` if given."""
+def _dealt(rows: DataFrame, keys: list[str], size: Column, row_id: str) -> DataFrame:
+    """The rows with ``slot``, the number (as text) of the file of their group that takes them: a hash of the row's id
+    over as many files as the group's bytes ask for."""
+    files = rows.groupBy(*[F.col(k).alias(f"of_{k}") for k in keys]).agg(
+        F.greatest(F.lit(1), F.ceil(F.sum(size) / FILE_BYTES)).alias("n_files"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    return rows.join(files, same).withColumn("slot", F.pmod(F.xxhash64(row_id), F.col("n_files")).cast("string"))
+
+
+def _array(wrap: str = "") -> Column:
+    """The array of a group's ``record`` texts, in a JSON object under ``wrap`` if given."""
     array = F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]"))
-    text = F.concat(F.lit('{"' + wrap + '":'), array, F.lit("}")) if wrap else array
-    return records.groupBy(folder.alias("folder"), name.alias("name")).agg(text.alias("text"))
+    return F.concat(F.lit('{"' + wrap + '":'), array, F.lit("}")) if wrap else array
+
+
+def _arrays(events: DataFrame, record: Column, folder: Column, name: Column, wrap: str = "") -> DataFrame:
+    """Files of the ``record`` texts of an event type and ``day``; folder or name holds the file's ``slot``."""
+    rows = events.select("event_id", "event_type", _stamp("ts", "yyyy-MM-dd").alias("day"), record.alias("record"))
+    dealt = _dealt(rows, ["event_type", "day"], F.octet_length("record"), "event_id")
+    return dealt.groupBy(folder.alias("folder"), name.alias("name")).agg(_array(wrap).alias("text"))
 
 
 def _k() -> Column:
@@ -64,6 +86,10 @@ def _stamp(ts, fmt: str = "yyyy-MM-dd'T'HH:mm:ss.SSS") -> Column:
     return F.date_format(ts, fmt)
 
 
+def _day_file() -> Column:
+    return F.concat("slot", F.lit("_"), "day", F.lit(".json"))
+
+
 def _every(n: int, rest: int = 0) -> Column:
     return F.col("event_id") % n == rest
 
@@ -87,8 +113,7 @@ def _flight_files(t: Tables) -> DataFrame:
                  F.lit("X1").alias("iataNumber")).alias("flight")))
     record = F.when(_every(7), F.regexp_replace(record, r"\}$", ',"codeshared":null}')).when(_every(23), F.lit("42")) \
         .otherwise(record)
-    files = _arrays(ev.select("event_type", "ts", record.alias("record")), F.col("event_type"),
-                    F.concat(F.lit("XYZ_"), _stamp("ts", "yyyy-MM-dd"), F.lit(".json")))
+    files = _arrays(ev, record, F.col("event_type"), F.concat(F.lit("XYZ"), "slot", F.lit("_"), "day", F.lit(".json")))
     odd = ev.sparkSession.createDataFrame(
         [("view", "CUT_2024-01-01.json", '[{"type": "arrival"'), ("view", "ONE_2024-01-01.json", '{"type": "arrival"}'),
          ("view", f"notes_{DAY}.txt", "not a feed")], "folder string, name string, text string")
@@ -104,9 +129,8 @@ def _road_files(t: Tables) -> DataFrame:
     whole = F.to_json(F.struct(where, flow.alias("currentFlow")))
     lacking = F.to_json(F.struct(where, flow.dropFields("jamFactor").alias("currentFlow")))
     record = F.when(_every(19), lacking).otherwise(whole)
-    day = _stamp("ts", "yyyy-MM-dd")
-    return _arrays(t.events.select("event_type", "ts", record.alias("record")), day,
-                   F.concat(F.col("event_type"), F.lit("_"), day, F.lit("T05--00--00_"), day, F.lit("T08--00--00.json")))
+    return _arrays(t.events, record, F.concat("day", F.lit("/"), "slot"),
+                   F.concat("event_type", F.lit("_"), "day", F.lit("T05--00--00_"), "day", F.lit("T08--00--00.json")))
 
 
 def _road_payload_files(t: Tables) -> DataFrame:
@@ -117,8 +141,7 @@ def _road_payload_files(t: Tables) -> DataFrame:
                  F.sequence(F.lit(1), (F.col("event_id") % 3 + 1)).alias("links")).alias("location"),
         F.struct(_k().alias("speed"), F.array(F.lit(1)).alias("subSegments"),
                  F.when(_every(2), F.lit(True)).alias("extra")).alias("currentFlow")))
-    return _arrays(t.events.select("event_type", "ts", record.alias("record")), F.col("event_type"),
-                   F.concat(_stamp("ts", "yyyy-MM-dd"), F.lit(".json")), wrap="results")
+    return _arrays(t.events, record, F.col("event_type"), _day_file(), wrap="results")
 
 
 def _components() -> Column:
@@ -135,8 +158,7 @@ def _pollution_history_files(t: Tables) -> DataFrame:
             tfn.epoch_seconds("ts").alias("timestamp"), _stamp("ts", "yyyy-MM-dd HH:mm:ss").alias("date"),
             (F.col("event_id") % 5 + 1).cast("int").alias("air_quality_index"), _components().alias("components")]
     record = F.when(_every(19), F.to_json(F.struct(*rest), _NULLS)).otherwise(F.to_json(F.struct(place, *rest), _NULLS))
-    return _arrays(t.events.select("event_type", "ts", record.alias("record")), F.col("event_type"),
-                   F.concat(_stamp("ts", "yyyy-MM-dd"), F.lit(".json")))
+    return _arrays(t.events, record, F.col("event_type"), _day_file())
 
 
 def _weather_history_files(t: Tables) -> DataFrame:
@@ -146,8 +168,7 @@ def _weather_history_files(t: Tables) -> DataFrame:
         _k().alias("temperature"), F.hour("ts").alias("humidity"), F.minute("ts").alias("pressure"),
         F.col("value").alias("wind_speed"), F.upper("event_type").alias("weather_main"),
         F.col("props").alias("weather_description")), _NULLS)
-    return _arrays(t.events.select("event_type", "ts", record.alias("record")), F.col("event_type"),
-                   F.concat(_stamp("ts", "yyyy-MM-dd"), F.lit(".json")))
+    return _arrays(t.events, record, F.col("event_type"), _day_file())
 
 
 def _payload_files(t: Tables) -> DataFrame:
@@ -159,8 +180,7 @@ def _payload_files(t: Tables) -> DataFrame:
         _components().alias("components"), F.struct(F.col("value").alias("speed")).alias("wind"),
         F.when(_every(6), F.array().cast("array<struct<main:string,description:string>>"))
         .otherwise(F.array(label, label)).alias("weather")), _NULLS)
-    files = _arrays(t.events.select("event_type", "ts", record.alias("record")), F.col("event_type"),
-                    F.concat(_stamp("ts", "yyyy-MM-dd"), F.lit(".json")), wrap="list")
+    files = _arrays(t.events, record, F.col("event_type"), _day_file(), wrap="list")
     odd = t.spark.createDataFrame([("view", "cut.json", '{"list": [{"dt": 17'), ("view", "none.json", '{"cod": 200}')],
                                   "folder string, name string, text string")
     return files.unionByName(odd)
@@ -174,10 +194,13 @@ def _airport_files(t: Tables) -> DataFrame:
         F.col("s_acctbal").cast("decimal(10,6)").cast("string").alias("latitudeAirport"),
         F.col("s_suppkey").cast("string").alias("longitudeAirport"), F.col("s_name").alias("nameAirport"),
         F.col("n_name").alias("nameCountry"), F.lit("").alias("phone"), F.lit("UTC").alias("timezone"))
-    lists = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")) \
-        .groupBy("n_name").agg(F.collect_list(airport).alias("airports"))
-    return lists.groupBy(F.lit("map").alias("folder"), F.lit("airport_per_city.json").alias("name")).agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct("n_name", "airports")))).alias("text"))
+    each = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")) \
+        .select("s_suppkey", "n_nationkey", "n_name", airport.alias("airport"))
+    dealt = _dealt(each, ["n_nationkey", "n_name"], F.octet_length(F.to_json("airport")), "s_suppkey")
+    name = F.concat(F.lit("airport_per_city_"), F.col("n_nationkey").cast("string"), F.lit("_"), "slot", F.lit(".json"))
+    return dealt.groupBy(F.lit("map").alias("folder"), name.alias("name"), "n_name") \
+        .agg(F.collect_list("airport").alias("airports")) \
+        .select("folder", "name", F.to_json(F.create_map("n_name", "airports")).alias("text"))
 
 
 def _dimension_files(t: Tables) -> DataFrame:
@@ -202,18 +225,18 @@ def _dimension_files(t: Tables) -> DataFrame:
     return boxes.unionByName(coordinates).unionByName(calendar)
 
 
-def _busiest_files(t: Tables) -> DataFrame:
-    line = F.concat(F.col("p_partkey").cast("string"), F.lit(","), F.col("p_brand"), F.lit(","), F.col("p_type"),
-                    F.lit(" Airport[3],"), F.col("p_name"), F.lit('[12],"'), F.col("p_size").cast("string"),
-                    F.lit(","), F.lpad((F.col("p_partkey") % 1000).cast("string"), 3, "0"), F.lit('[2]"'))
-    return t.part.groupBy(F.lit("csv").alias("folder"), F.lit("busiest.csv").alias("name")).agg(F.concat(
-        F.lit("Rank,Country,Airport,City served,Passengers 2023\n"),
-        F.array_join(F.collect_list(line), "\n")).alias("text"))
+def _land_busiest(t: Tables, root: str) -> None:
+    """The busiest-airports list as CSV files, each with the header."""
+    t.part.select(
+        F.col("p_partkey").alias("Rank"), F.col("p_brand").alias("Country"),
+        F.concat("p_type", F.lit(" Airport[3]")).alias("Airport"), F.concat("p_name", F.lit("[12]")).alias("City served"),
+        F.concat(F.col("p_size").cast("string"), F.lit(","), F.lpad((F.col("p_partkey") % 1000).cast("string"), 3, "0"),
+                 F.lit("[2]")).alias("Passengers 2023")).write.csv(f"{root}/csv", header=True, quote='"', escape='"')
 
 
 _FEEDS = {"flights": _flight_files, "road": _road_files, "road-payloads": _road_payload_files,
           "pollution-history": _pollution_history_files, "weather-history": _weather_history_files,
-          "payloads": _payload_files, "airports": _airport_files, "dimensions": _dimension_files, "busiest": _busiest_files}
+          "payloads": _payload_files, "airports": _airport_files, "dimensions": _dimension_files}
 
 # ---------------------------------------------------------------------------------------------------------------------
 # Flights
@@ -430,14 +453,16 @@ def q_lake_calendar(spark, d):
 
 
 def _answers(t: Tables) -> DataFrame:
-    """A landed lookup answer per nation: the suppliers of its region, each with its own nation."""
+    """Landed lookup answers per nation: the suppliers of its region, each with its own nation, in pages."""
     airport = F.struct(F.col("o.n_name").alias("nameCountry"),
                        F.when(F.col("s_suppkey") % 4 == 0, F.lit("")).otherwise(F.lit("ICAO")).alias("codeIcaoAirport"),
                        F.when(F.col("s_suppkey") % 5 == 0, F.lit("")).otherwise(F.col("s_name")).alias("codeIataAirport"))
-    per_region = t.supplier.join(t.nation.alias("o"), F.col("s_nationkey") == F.col("o.n_nationkey")) \
-        .groupBy("n_regionkey").agg(F.to_json(F.struct(F.collect_list(airport).alias("airportsByCities"))).alias("payload"))
+    each = t.supplier.join(t.nation.alias("o"), F.col("s_nationkey") == F.col("o.n_nationkey")) \
+        .select("s_suppkey", "n_regionkey", F.to_json(airport).alias("record"))
+    pages = _dealt(each, ["n_regionkey"], F.octet_length("record"), "s_suppkey").groupBy("n_regionkey", "slot") \
+        .agg(_array("airportsByCities").alias("payload"))
     return t.nation.select(F.col("n_name").alias("city"), F.col("n_name").alias("country"), "n_regionkey") \
-        .join(per_region, "n_regionkey").select("city", "country", "payload")
+        .join(pages, "n_regionkey").select("city", "country", "payload")
 
 
 @register("lookup_filter", """
@@ -445,7 +470,8 @@ SELECT n_name AS city, COUNT(*) AS n_airports FROM supplier JOIN nation ON s_nat
 WHERE s_suppkey % 4 <> 0 GROUP BY 1
 """)
 def q_lookup_filter(spark, d):
-    return lake.filter_lookup(_answers(Tables(spark, d))).select("city", F.size("airports").cast("long").alias("n_airports"))
+    pages = lake.filter_lookup(_answers(Tables(spark, d)))
+    return pages.groupBy("city").agg(F.sum(F.size("airports")).alias("n_airports"))
 
 
 @register("lookup_codes", "SELECT s_name AS code FROM supplier WHERE s_suppkey % 4 <> 0 AND s_suppkey % 5 <> 0")
