@@ -3,7 +3,8 @@
 quality rules, line dedup, SimHash near-dedup, benchmark decontamination, BPE. Every stage takes and returns whole
 tables; all but the last return the columns of documents.
 
-Rows without a doc_id are judged by the quality rules and take no part in what compares documents, so they stay there.
+Rows without a doc_id are judged by the quality rules and searched for benchmark items; they take no part in what
+compares documents with one another, so they stay there.
 """
 
 from __future__ import annotations
@@ -39,9 +40,16 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold no benchmark item; a row without a doc_id is searched on its own, under its text's hash."""
+    items, text_hash = table(spark, sf_dir, "benchmark"), F.xxhash64(F.coalesce("text", F.lit("")))
+    nameless = docs.where("doc_id is null").select(text_hash.alias("key"), "text")
+    found = [(False, decontam.find_items(docs, items)), (True, decontam.find_items(nameless, items, id_col="key"))]
+    by_id, by_text = (rows.select(F.lit(no_id).alias("no_id"), F.col("doc_id").alias("key")) for no_id, rows in found)
+    held = by_id.union(by_text).distinct().alias("held")
+    doc_id = F.col("row.doc_id")
+    key = F.coalesce(doc_id.cast("long"), F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    same = (doc_id.isNull() == F.col("held.no_id")) & (key == F.col("held.key"))
+    return docs.alias("row").join(held, same, "left_anti")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,6 +64,16 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, tables, odd_rows, corpu
     assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() == 2
 
 
+def test_rows_without_an_id_are_searched_for_items(spark, make, tables, corpus):
+    item = " ".join(corpus[7].split()[3:30])
+    rows = [(None, f"before {item} after", "en", "s", 0), (None, corpus[30], "en", "s", 0), (None, None, "en", "s", 0),
+            (1, f"lead {item} out", "en", "s", 0), (2, corpus[31], "en", "s", 0)]
+    path = tables(rows, [(1, item)])
+    got = corpus_pipeline.decontamination_stage(spark, make(rows, clashing=True), path)
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == sorted(
+        (str(r[0]), str(r[1])) for r in (rows[1], rows[2], rows[4]))
+
+
 def test_empty_tables(spark, tables):
     assert corpus_pipeline.run(spark, tables([], [])).collect() == []
 
