@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from airshed.llm import (bpe_stream, decontam, line_runs, quality_rules, secret_scan, simhash, suffix_dedup, surrogates,
-                         wavelet, weak_labels)
+from airshed.llm import (bpe_stream, decontam, fim, line_runs, periodic_runs, quality_rules, secret_scan, sharding,
+                         simhash, suffix_dedup, surrogates, wavelet, weak_labels)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.q_simhash,
@@ -21,12 +21,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_runs.q_line_dedup,
     "op9_token_ids": wavelet.q_token_ids,
     "op10_surrogates": surrogates.q_surrogates,
+    "op11_periodic_runs": periodic_runs.q_periodic_runs,
+    "op12_fill_in_middle": fim.q_fill_in_middle,
+    "op13_shards": sharding.q_shards,
     "pipeline": corpus_pipeline.run,
 }
 
 _ORACLES: dict[str, str | None] = {
     "op6_decontaminate": decontam.ORACLE,
     "op8_line_dedup": line_runs.ORACLE,
+    "op12_fill_in_middle": fim.ORACLE,
+    "op13_shards": sharding.ORACLE,
     "pipeline": corpus_pipeline.ORACLE_SQL,
 }
 
