@@ -57,11 +57,13 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--day", help="files with this day in their name")
     r.add_argument("--lenient", action="store_true", help="report bad records instead of refusing the load")
     r.add_argument("--reload", action="store_true", help="replace the table instead of appending")
+    r.add_argument("--name", help="name of the load: run again, it replaces what it had added")
     a = sub.add_parser("load-airports")
     a.add_argument("--airports", required=True)
     v = sub.add_parser("refresh")
     v.add_argument("--views", required=True)
     v.add_argument("--since")
+    v.add_argument("--changed", action="store_true", help="only the days that loads touched since the last refresh")
     return p
 
 
@@ -90,11 +92,12 @@ def main(argv: list[str] | None = None) -> int:
         load = jobs.import_history(spark, wh, args.history, args.kind)
     elif args.job == "load-road":
         load = jobs.load_road(spark, wh, args.lake, glob=args.glob, strict=not args.lenient, day=args.day,
-                              reload=args.reload)
+                              reload=args.reload, name=args.name)
     elif args.job == "load-airports":
         load = jobs.load_airports(spark, wh, args.airports)
     elif args.job == "refresh":
-        report = jobs.refresh_all(spark, wh, args.views, since=args.since)
+        report = jobs.refresh_changed(spark, wh, args.views) if args.changed else \
+            jobs.refresh_all(spark, wh, args.views, since=args.since)
         out.update(refreshed=report.refreshed, failed=report.failed, error=report.error)
         if not report.ok:
             print(json.dumps(out))

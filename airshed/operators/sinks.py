@@ -4,6 +4,9 @@ Plain Parquet has no MERGE, so each load is computed as a DataFrame (anti join /
 Insert-if-absent and strict append only append new files; an upsert writes the merged partitions beside the table and
 then puts them in the place of the old ones. Deduplication always goes through ``max_by``/``min_by`` aggregates
 (partial aggregation), never through a window that would gather a hot key into one task.
+
+A load touches the partitions of its own values and no others: their set (days, so bounded by the calendar) is found
+with one look at the batch, and only these folders of the target are opened.
 """
 
 from __future__ import annotations
@@ -38,10 +41,17 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     return picked.select(*df.columns)
 
 
-def _in_range(target: DataFrame, batch: DataFrame, col: str) -> DataFrame:
-    """Target rows within the batch's [min, max] of a column, found with one more look at the batch."""
-    bounds = batch.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
-    return target.filter(F.col(col).between(bounds["lo"], bounds["hi"]))
+def partition_values(batch: DataFrame, col: str) -> list:
+    """The different values of a column with few of them, such as the day a table is partitioned by; NULL comes first."""
+    found = [r[0] for r in batch.select(col).distinct().collect()]
+    return sorted(found, key=lambda v: (v is not None, v))
+
+
+def holds_value(col: str, values: Sequence) -> Column:
+    """Whether the column has one of these values, of which NULL may be one; reaches a scan as its partition filter."""
+    some = [v for v in values if v is not None]
+    one_of = F.col(col).isin(some) if some else F.lit(False)
+    return one_of | F.col(col).isNull() if None in values else one_of
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
@@ -50,10 +60,10 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], o
 
     The batch is deduplicated first (one row per key); existing keys win; keys with a NULL never conflict (an anti join
     never matches them). ``prune_col`` (a column in both tables, e.g. a day the table is partitioned by) restricts the
-    target scan to the batch's [min, max] range through a scalar subquery, so only the touched partitions are read.
+    target scan to the batch's values, so only the touched partitions are read.
     """
     fresh = dedupe_by_key(batch, keys, order_cols, keep)
-    existing = target if prune_col is None else _in_range(target, batch, prune_col)
+    existing = target if prune_col is None else target.filter(holds_value(prune_col, partition_values(batch, prune_col)))
     return fresh.join(existing.select(*keys), list(keys), "left_anti").select(*batch.columns)
 
 
@@ -85,12 +95,12 @@ def strict_append_conflicts(target: DataFrame, batch: DataFrame, keys: Sequence[
                             prune_col: str | None = None) -> DataFrame:
     """Keys that would make a strict (COPY-style) append fail: repeated inside the batch or already in the target.
 
-    Both sides are reduced to one row per key by partial aggregation before they meet. ``prune_col`` (a key column)
-    limits the target scan to the batch's range of that column.
+    Both sides are reduced to one row per key by partial aggregation before they meet. ``prune_col`` (a function of the
+    key) limits the target scan to the batch's values of that column.
     """
     batch_keys = batch.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_batch"))
     if prune_col is not None:
-        target = _in_range(target, batch, prune_col)
+        target = target.filter(holds_value(prune_col, partition_values(batch, prune_col)))
     target_keys = target.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_target"))
     report = batch_keys.join(target_keys, list(keys), "left")
     return (report.select(*keys, "n_batch", F.coalesce(F.col("n_target"), F.lit(0)).alias("n_target"))
@@ -108,12 +118,37 @@ def union_history(history: DataFrame, new: DataFrame, slice_col: str | None = No
 
 def strict_append(target_path: str, target: DataFrame, batch: DataFrame, keys: Sequence[str],
                   fmt: str = "parquet", prune_col: str | None = None, partition_by: Sequence[str] = (),
-                  sort_within: Sequence[str] = ()) -> None:
-    """Append ``batch`` only when no key collides; otherwise raise with the number of conflicting keys."""
+                  sort_within: Sequence[str] = (), load: str | None = None) -> None:
+    """Append ``batch`` only when no key collides; otherwise raise with the number of conflicting keys.
+
+    The files are added all or none. A ``load`` of that name that the table holds already is taken back first, so a job
+    that ended half-way and runs again doesn't collide with itself; ``target`` must have been read without it (see
+    :func:`read_without`).
+    """
     conflicts = strict_append_conflicts(target, batch, keys, prune_col)
     if not conflicts.isEmpty():
         raise ValueError(f"strict append refused: {conflicts.count()} conflicting keys")
-    storage.write_partitioned(batch, target_path, partition_by, sort_within, fmt)
+    append_rows(target_path, batch, load, partition_by, sort_within, fmt)
+
+
+def read_without(spark: SparkSession, target_path: str, load: str | None, fmt: str = "parquet") -> DataFrame | None:
+    """The table once a load of that name, if it holds one, is taken back."""
+    if load is not None:
+        storage.remove_batch(spark, target_path, load)
+    return storage.read_if_exists(spark, target_path, fmt)
+
+
+def append_rows(target_path: str, rows: DataFrame, load: str | None = None, partition_by: Sequence[str] = (),
+                sort_within: Sequence[str] = (), fmt: str = "parquet") -> str:
+    """Append a load that has no key: every row counts, also one that is there already. Returns the load's name.
+
+    The load's files are added all or none, and a load of the same name again replaces the former one, so a job that
+    runs twice under one name has run once.
+    """
+    name = load or f"load-{uuid.uuid4().hex}"
+    storage.append_batch(rows.sparkSession, target_path, name, lambda staging: storage.write_partitioned(
+        rows, staging, partition_by, sort_within, fmt))
+    return name
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
@@ -143,20 +178,17 @@ def upsert_table(target_path: str, batch: DataFrame, keys: Sequence[str], order_
     """Upsert ``batch`` into a table partitioned by ``partition_col`` (a function of the key, e.g. the day of the
     observation timestamp; it may be NULL), rewriting only the partitions the batch touches.
 
-    The touched partitions are read (partition filters from the batch's range, then a null-safe semi join), merged with
-    :func:`upsert_latest`, written beside the table and moved into the place of the old ones. Untouched partitions are
-    never read. A table that cannot be read fails the job; only a missing one counts as empty.
+    The touched partitions, and no others, are opened, merged with :func:`upsert_latest`, written beside the table and
+    moved into the place of the old ones. A table that cannot be read fails the job; only a missing one counts as empty.
     """
     spark = batch.sparkSession
-    target = storage.read_if_exists(spark, target_path, fmt)
+    values = partition_values(batch, partition_col)
+    target = storage.read_partitions(spark, target_path, partition_col, values, fmt)
     if target is None:
         merged = upsert_latest(batch.limit(0), batch, keys, order_cols)
     else:
-        part = F.col(partition_col)
-        bounds = batch.select(F.struct(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"))).scalar()
-        touched = batch.select(part.alias("_touched")).distinct()
-        scoped = target.filter(part.between(bounds["lo"], bounds["hi"]) | part.isNull()) \
-            .join(touched, part.eqNullSafe(F.col("_touched")), "left_semi")
-        merged = upsert_latest(scoped, batch.select(*target.columns), keys, order_cols)
+        kind = batch.schema[partition_col].dataType
+        target = target.withColumn(partition_col, F.col(partition_col).cast(kind))
+        merged = upsert_latest(target, batch.select(*target.columns), keys, order_cols)
     storage.replace_partitions(spark, target_path, lambda staging: storage.write_partitioned(
         merged, staging, [partition_col], sort_within, fmt))

@@ -5,11 +5,12 @@
 * observations: landed pollution / weather payloads → history lake (partitioned append) → upsert into
   ``air_pollution_data`` / ``weather_data`` (only the touched days are rewritten);
 * road: lake files → per-road length-weighted means → strict append into ``road_traffic``, or a full reload;
-* refresh: all six views rebuilt from the tables, in dependency order.
+* refresh: all six views rebuilt from the tables, in dependency order, or the days only that loads have touched.
 
 Tables live under one warehouse folder as Parquet, partitioned by day, each file in order of the table's lookup columns.
-A table that is missing counts as empty; one that cannot be read fails the job. Every job is a handful of distributed
-Spark jobs; the driver only sees row counts, folder names and the yes/no of a strict-append conflict.
+A table that is missing counts as empty; one that cannot be read fails the job. A load opens the day folders that its
+rows fall in, adds its files all or none, and notes its days for the refresh. Every job is a handful of distributed
+Spark jobs; the driver only sees row counts, days, folder names and the yes/no of a strict-append conflict.
 """
 
 from __future__ import annotations
@@ -24,9 +25,10 @@ from airshed.functions.clean import blank_to_null
 from airshed.functions.time import epoch_to_utc
 from airshed.operators import storage
 from airshed.operators.aggregates import weighted_means
-from airshed.operators.sinks import dedupe_by_key, insert_if_absent, strict_append, upsert_table, write_table
-from airshed.plans import views
-from airshed.plans.refresh import RefreshReport, refresh_views
+from airshed.operators.sinks import (append_rows, dedupe_by_key, insert_if_absent, partition_values, strict_append,
+                                      upsert_table, write_table)
+from airshed.plans import changes, views
+from airshed.plans.refresh import RefreshReport, Scope, refresh_views
 from airshed.sources import lake
 from airshed.streaming.ingest import incremental_ingest
 
@@ -60,6 +62,10 @@ class Warehouse:
     def read(self, spark: SparkSession, table: str) -> DataFrame | None:
         return storage.read_if_exists(spark, self.path(table))
 
+    def read_days(self, spark: SparkSession, table: str, days) -> DataFrame | None:
+        """The table's rows of these days; only their folders are opened."""
+        return storage.read_partitions(spark, self.path(table), "day", days)
+
 
 def _flight_rows(load: lake.Load, direction: str) -> DataFrame:
     """The table's rows. It is partitioned by the day of the direction's actual time, which is part of the key: only
@@ -77,10 +83,11 @@ def load_flights(spark: SparkSession, wh: Warehouse, lake_dir: str, direction: s
     load = lake.read_flights(spark, lake_dir, direction, glob=lake.day_glob(day) if day else "*.json").once()
     table = f"{direction}s"
     keys, rows = TABLE_KEYS[table], _flight_rows(load, direction)
-    target = wh.read(spark, table)
-    new = insert_if_absent(target if target is not None else rows.limit(0), rows, keys, _order(rows, keys),
-                           prune_col="day" if target is not None else None)
-    storage.write_partitioned(new, wh.path(table), ["day"], TABLE_LOOKUP[table])
+    days = partition_values(rows, "day")
+    target = wh.read_days(spark, table, [d for d in days if d is not None])  # a NULL in the key never conflicts
+    new = insert_if_absent(rows.limit(0) if target is None else target, rows, keys, _order(rows, keys))
+    changes.note(spark, wh.root, table, days)
+    append_rows(wh.path(table), new, partition_by=["day"], sort_within=TABLE_LOOKUP[table])
     return load
 
 
@@ -94,7 +101,8 @@ def ingest_flights(spark: SparkSession, wh: Warehouse, lake_dir: str, checkpoint
         spark, lake_dir, None, wh.path(table), checkpoint_path, keys, _order(example, keys), source_format="text",
         glob="*.json", reader_options={"wholetext": "true"}, prepare=lake.with_file_columns,
         transform=lambda files: _flight_rows(lake.flights_from_files(files, direction), direction),
-        partition_col="day", prune_col="day", sort_within=TABLE_LOOKUP[table])
+        partition_col="day", prune_col="day", sort_within=TABLE_LOOKUP[table],
+        touched=lambda days: changes.note(spark, wh.root, table, days))
 
 
 # The reader of landed payloads, the reader of histories and the table of each kind of observation.
@@ -121,6 +129,11 @@ def _upsert_observations(wh: Warehouse, load: lake.Load, table: str) -> DataFram
     keyed = load.rows.filter(F.col("timestamp").isNotNull() & F.col("place").isNotNull())
     rows = _day(dedupe_by_key(keyed, keys, ["source_file", "source_pos"], keep="last")
                 .drop("source_file", "source_pos"))
+    spark = rows.sparkSession
+    # The views go by the date, which may be another day than the key's; the dates that are replaced count too.
+    dates, before = rows.select("date"), wh.read_days(spark, table, partition_values(rows, "day"))
+    dates = dates if before is None else dates.union(before.select("date"))
+    changes.note(spark, wh.root, table, partition_values(dates.select(F.to_date("date").alias("day")), "day"))
     upsert_table(wh.path(table), rows, keys, ["date"], partition_col="day", sort_within=TABLE_LOOKUP[table])
     return rows
 
@@ -148,10 +161,11 @@ def import_history(spark: SparkSession, wh: Warehouse, history_dir: str, kind: s
 
 
 def load_road(spark: SparkSession, wh: Warehouse, lake_dir: str, glob: str = "*.json", strict: bool = True,
-              day: str | None = None, reload: bool = False) -> lake.Load:
+              day: str | None = None, reload: bool = False, name: str | None = None) -> lake.Load:
     """Road files → per (window start, city, road) length-weighted means → strict append (a repeated key aborts).
 
-    ``day`` takes the files with that day in their name. ``reload`` replaces the whole table instead of appending.
+    ``day`` takes the files with that day in their name. ``reload`` replaces the whole table instead of appending. A load
+    that is given a ``name`` and runs again takes its former rows back first, so it doesn't collide with itself.
     Roads without a name are left out, those with an empty one are grouped and stored without a name.
     """
     load = lake.read_road(spark, lake_dir, glob=lake.road_day_glob(day) if day else glob, strict=strict)
@@ -161,14 +175,17 @@ def load_road(spark: SparkSession, wh: Warehouse, lake_dir: str, glob: str = "*.
     per_road = means.withColumn("road", blank_to_null("road")).withColumn("day", F.to_date("date"))
     path, sort = wh.path("road_traffic"), TABLE_LOOKUP["road_traffic"]
     if reload:
+        changes.note(spark, wh.root, "road_traffic", None)
         write_table(per_road, path, ["day"], sort)
         return load
-    target = wh.read(spark, "road_traffic")
-    if target is None:
-        target = per_road.limit(0)
-    # Partitioned by day (a function of the key's window start): the collision check reads the batch's days only.
-    strict_append(path, target, per_road.select(*target.columns), TABLE_KEYS["road_traffic"], prune_col="day",
-                  partition_by=["day"], sort_within=sort)
+    keys, days = TABLE_KEYS["road_traffic"], partition_values(per_road, "day")
+    changes.note(spark, wh.root, "road_traffic", days)
+    if name is not None:
+        storage.remove_batch(spark, path, name)
+    # Partitioned by day (a function of the key's window start): the collision check opens the batch's days only.
+    target = wh.read_days(spark, "road_traffic", days)
+    strict_append(path, per_road.limit(0) if target is None else target, per_road, keys, partition_by=["day"],
+                  sort_within=sort, load=name)
     return load
 
 
@@ -179,6 +196,7 @@ def load_airports(spark: SparkSession, wh: Warehouse, airport_map_dir: str) -> l
     bad = load.rejects.head(1)
     if bad:
         raise ValueError(f"airport load refused: {bad[0]['reason']} in {bad[0]['file_path']}")
+    changes.note(spark, wh.root, "airports", None)
     write_table(load.rows, wh.path("airports"))
     return load
 
@@ -188,41 +206,113 @@ VIEW_DAY = {"flights_v": "day", "air_pollution_v": "day", "road_traffic_v": "tra
             "master_view_v": "date"}
 
 
-def refresh_all(spark: SparkSession, wh: Warehouse, views_dir: str, since: str | None = None) -> RefreshReport:
-    """Rebuild the six views from the warehouse tables (each view reads the written upstream views).
+# The tables that each view is made of, at first or second hand.
+VIEW_SOURCES = {
+    "flights_v": ["arrivals", "departures"],
+    "city_airports_v": ["airports"],
+    "air_pollution_v": ["air_pollution_data"],
+    "road_traffic_v": ["road_traffic"],
+    "weather_v": ["weather_data"],
+    "master_view_v": ["arrivals", "departures", "airports", "air_pollution_data", "road_traffic", "weather_data"],
+}
 
-    Views are partitioned by day. Every view row depends only on the data of its own day, so ``since`` ('YYYY-MM-DD')
-    recomputes just the days from ``since`` on — reading only those days of the tables (filters reach the scans,
-    partition pruning for the day-partitioned tables) — and replaces exactly those partitions. Without ``since`` the
-    whole history is rebuilt. The city-airport dimension is always rebuilt whole.
-    """
-    lo_day = F.lit(since).cast("date") if since else None
-    lo_ts = F.lit(since).cast("timestamp_ntz") if since else None
-
-    def table(name, ts_col=None, day_col=None):
-        df = spark.read.parquet(wh.path(name))
-        if since and day_col:
-            df = df.filter(F.col(day_col) >= lo_day)
-        elif since and ts_col:
-            df = df.filter(F.col(ts_col) >= lo_ts)
+
+def _refresh(spark: SparkSession, wh: Warehouse, views_dir: str, scopes: dict[str, Scope],
+             order: list[str]) -> RefreshReport:
+    """Rebuild the views of ``order``, those with a scope for its days only."""
+
+    def whole(name):
+        df = wh.read(spark, name)
+        if df is None:
+            raise FileNotFoundError(f"{wh.path(name)}: no such table")
         return df
 
+    def table(name, view):
+        """A table of the days that a view is rebuilt for."""
+        scope = scopes.get(view)
+        some = wh.read_days(spark, name, scope.days) if scope and scope.days is not None else None
+        if some is not None:
+            return some
+        return whole(name).filter(scope.rows("day")) if scope else whole(name)
+
+    def dated(name, view):
+        """Observations by their date, which may be another day than that of the folder they are in."""
+        scope, df = scopes.get(view), whole(name)
+        if scope is None:
+            return df
+        known = sorted(d for d in scope.days or () if d is not None)
+        of_day = df.withColumn("_of", F.to_date("date")).filter(scope.rows("_of")).drop("_of")
+        if scope.days is None:
+            return of_day.filter(F.col("date") >= F.lit(scope.since).cast("timestamp_ntz"))
+        if None in scope.days or not known:
+            return of_day
+        first, last = (F.lit(d.isoformat()).cast("timestamp_ntz") for d in (known[0], known[-1]))
+        return of_day.filter((F.col("date") >= first) & (F.col("date") < last + F.expr("INTERVAL 1 DAY")))
+
     def view(name):
-        df = spark.read.parquet(os.path.join(views_dir, name))
-        return df.filter(F.col(VIEW_DAY[name]) >= lo_day) if since and name in VIEW_DAY else df
+        """A written view, of the days that the master view is rebuilt for."""
+        scope, path = scopes.get("master_view_v"), os.path.join(views_dir, name)
+        if name not in VIEW_DAY or scope is None:
+            return storage.read_if_exists(spark, path)
+        some = None if scope.days is None else storage.read_partitions(spark, path, VIEW_DAY[name], scope.days)
+        return some if some is not None else storage.read_if_exists(spark, path).filter(scope.rows(VIEW_DAY[name]))
 
     def by_day(df, ts_col):
         return df.withColumn("day", F.to_date(ts_col))
 
     builders = {
-        "flights_v": lambda: by_day(views.flights_view(table("arrivals", day_col="day"),
-                                                       table("departures", day_col="day")), "date"),
-        "city_airports_v": lambda: views.city_airports_view(table("airports")),
-        "air_pollution_v": lambda: by_day(views.air_pollution_view(table("air_pollution_data", day_col="day")), "date"),
-        "road_traffic_v": lambda: views.road_traffic_view(table("road_traffic", day_col="day")),
-        "weather_v": lambda: by_day(views.weather_view(table("weather_data", day_col="day")), "date"),
+        "flights_v": lambda: by_day(views.flights_view(table("arrivals", "flights_v"),
+                                                       table("departures", "flights_v")), "date"),
+        "city_airports_v": lambda: views.city_airports_view(table("airports", "city_airports_v")),
+        "air_pollution_v": lambda: by_day(views.air_pollution_view(dated("air_pollution_data", "air_pollution_v")),
+                                          "date"),
+        "road_traffic_v": lambda: views.road_traffic_view(table("road_traffic", "road_traffic_v")),
+        "weather_v": lambda: by_day(views.weather_view(dated("weather_data", "weather_v")), "date"),
         "master_view_v": lambda: views.master_view(view("flights_v"), view("city_airports_v"), view("road_traffic_v"),
                                                    view("air_pollution_v"), view("weather_v")),
     }
-    return refresh_views(builders, views_dir, partition_by={k: [v] for k, v in VIEW_DAY.items()},
-                         since=since)
+    return refresh_views({v: builders[v] for v in order}, views_dir,
+                         partition_by={k: [v] for k, v in VIEW_DAY.items()}, scopes=scopes)
+
+
+def refresh_all(spark: SparkSession, wh: Warehouse, views_dir: str, since: str | None = None) -> RefreshReport:
+    """Rebuild the six views from the warehouse tables (each view reads the written upstream views).
+
+    Views are partitioned by day. Every view row depends only on the data of its own day, so ``since`` ('YYYY-MM-DD')
+    recomputes just the days from ``since`` on — reading only those days of the tables (filters reach the scans,
+    partition pruning for the day-partitioned tables) — and replaces exactly those partitions. Without ``since`` the
+    whole history is rebuilt. The city-airport dimension is always rebuilt whole.
+    """
+    if since:
+        return _refresh(spark, wh, views_dir, {v: Scope(since) for v in VIEW_DAY}, list(VIEW_SOURCES))
+    noted = _noted(spark, wh)
+    report = _refresh(spark, wh, views_dir, {}, list(VIEW_SOURCES))
+    if report.ok:
+        changes.forget(spark, noted.values())
+    return report
+
+
+def _noted(spark: SparkSession, wh: Warehouse) -> dict[str, changes.Changes]:
+    return {t: changes.pending(spark, wh.root, t) for t in VIEW_SOURCES["master_view_v"]}
+
+
+def refresh_changed(spark: SparkSession, wh: Warehouse, views_dir: str) -> RefreshReport:
+    """Bring the views up to date with what loads have touched since the last refresh, however late the data are.
+
+    The loads have noted their days. A view is rebuilt for the days of its tables only, and whole where it isn't there
+    yet or one of its tables was replaced; a view without a change is left as it is. The notes go once all views are
+    done; a refresh that fails leaves them for the next one.
+    """
+    noted = _noted(spark, wh)
+    scopes, order = {}, []
+    for name, tables in VIEW_SOURCES.items():
+        there = bool(storage.names_in(spark, os.path.join(views_dir, name)))
+        if not there or any(noted[t].whole for t in tables):
+            order.append(name)
+        elif days := frozenset().union(*[noted[t].days for t in tables]):
+            order.append(name)
+            scopes[name] = Scope(days=days)
+    report = _refresh(spark, wh, views_dir, scopes, order)
+    if report.ok:
+        changes.forget(spark, noted.values())
+    return report

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from airshed.operators import storage
-from airshed.operators.sinks import write_table
+from airshed.operators.sinks import holds_value, write_table
 
 # Fixed value: refresh order of the views (sources before the master view that reads them).
 VIEW_ORDER = ["flights_v", "city_airports_v", "air_pollution_v", "road_traffic_v", "weather_v", "master_view_v"]
@@ -36,20 +38,38 @@ class RefreshReport:
         return self.failed is None
 
 
-def _day_of(folder: str) -> str:
-    """The day in a partition folder's name; '' for the folder of rows without a day, which ``since`` never covers."""
-    value = unquote(folder.partition("=")[2])
-    return value if value[:1].isdigit() else ""
+@dataclass(frozen=True)
+class Scope:
+    """The days of a refresh: all from ``since`` ('YYYY-MM-DD') on, or a set in which None stands for rows without a
+    day, which ``since`` never covers."""
+    since: str | None = None
+    days: frozenset[date | None] | None = None
+
+    def rows(self, day: str) -> Column:
+        """Whether a row with this day column is covered; reaches a scan as its partition filter."""
+        if self.days is None:
+            return F.col(day) >= F.lit(self.since).cast("date")
+        return holds_value(day, sorted(self.days, key=lambda d: (d is not None, d)))
+
+    def folder(self, name: str) -> bool:
+        """Whether a partition folder such as ``day=2024-01-01`` is covered."""
+        value = unquote(name.partition("=")[2])
+        day = value if value[:1].isdigit() else None
+        if self.days is None:
+            return day is not None and day >= self.since
+        return (date.fromisoformat(day) if day else None) in self.days
 
 
 def refresh_views(builders: dict[str, Callable[[], DataFrame]], root: str, order: Sequence[str] = tuple(VIEW_ORDER),
                   partition_by: dict[str, Sequence[str]] | None = None,
-                  clustering: dict[str, Sequence[str]] | None = None, since: str | None = None) -> RefreshReport:
+                  clustering: dict[str, Sequence[str]] | None = None, since: str | None = None,
+                  scopes: dict[str, Scope] | None = None) -> RefreshReport:
     """Rebuild ``root/<view>`` for each view in ``order``; a failing view stops the run and is reported.
 
     A view is written beside its old version and then takes its place, so a failure leaves the old one readable. Rows
-    are sorted within each output file by the view's lookup columns. With ``since`` ('YYYY-MM-DD') a partitioned view
-    replaces the partitions from that day on: those it yields, and those that no longer yield rows go.
+    are sorted within each output file by the view's lookup columns. With a scope of its own, or ``since``
+    ('YYYY-MM-DD') for all, a partitioned view replaces the partitions of these days: those it yields, and those that no
+    longer yield rows go.
     """
     report = RefreshReport()
     clustering = VIEW_CLUSTERING if clustering is None else clustering
@@ -59,10 +79,11 @@ def refresh_views(builders: dict[str, Callable[[], DataFrame]], root: str, order
         parts, sort, path = (partition_by or {}).get(name, ()), clustering.get(name, ()), f"{root}/{name}"
         try:
             df = builders[name]()
-            if since and parts:
+            scope = (scopes or {}).get(name, Scope(since) if since else None)
+            if scope and parts:
                 storage.replace_partitions(
                     df.sparkSession, path, lambda staging: storage.write_partitioned(df, staging, parts, sort),
-                    gone=lambda folder: _day_of(folder) >= since)
+                    gone=scope.folder)
             else:
                 write_table(df, path, partition_by=parts, sort_within=sort)
         except Exception as exc:  # report, do not pretend success

@@ -487,12 +487,18 @@ def month_dirs(base: str, year: int | None, month: int | None) -> str | None:
     return f"{base}/{year:04d}-{month:02d}-*"
 
 
-def latest_file(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """The most recently modified file under ``path`` (one row): ``max_by(file_path, modification time)``."""
-    files = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").format("binaryFile") \
-        .load(path).select("path", "modificationTime")
-    return files.agg(F.max_by("path", "modificationTime").alias("file_path"),
-                     F.max("modificationTime").alias("modified"))
+def latest_file(spark: SparkSession, path: str, glob: str = "*.json", after: str | None = None) -> DataFrame:
+    """The most recently modified file under ``path`` (one row), of several at one moment the one with the last path.
+
+    Only the listing is looked at, no file is opened. ``after`` ('YYYY-MM-DDTHH:mm:ss') leaves out files that were not
+    modified since.
+    """
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    if after:
+        reader = reader.option("modifiedAfter", after)
+    files = reader.format("binaryFile").load(path).select("path", "modificationTime")
+    last = F.max(F.struct("modificationTime", "path")).alias("last")
+    return files.agg(last).select(F.col("last.path").alias("file_path"), F.col("last.modificationTime").alias("modified"))
 
 
 def write_lake_json(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append") -> None:

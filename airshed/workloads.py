@@ -397,7 +397,9 @@ MASTER_POLLUTANTS = ["co", "no2"]
 MASTER_DOUBLES = ["median_speed", "median_freeflow", "median_jam", "temperature", "humidity", "pressure", "wind_speed"]
 
 
-@register("master_view", f"""
+def master_sql(width: int) -> str:
+    """The master view in SQL, with a flight-count bucket of this width."""
+    return f"""
 WITH morning AS (
   SELECT n_name AS city, CAST(ts AS DATE) AS date, ts, event_type AS kind, value,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
@@ -419,16 +421,19 @@ countries AS (
   SELECT DISTINCT n_name AS city, CAST(r_regionkey AS VARCHAR) AS code_iso2_country, r_name AS name_country
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 SELECT city, code_iso2_country, name_country, date, no_arrivals, no_departures, no_total_flights,
-       {_sql_bucket('no_total_flights', VOLUME_WIDTH)} AS custom_group,
+       {_sql_bucket('no_total_flights', width)} AS custom_group,
        ROUND(median_speed, 6) AS median_speed, ROUND(median_freeflow, 6) AS median_freeflow,
        ROUND(median_jam, 6) AS median_jam, air_quality_index, co, no2, ROUND(temperature, 6) AS temperature,
        ROUND(humidity, 6) AS humidity, ROUND(pressure, 6) AS pressure, ROUND(wind_speed, 6) AS wind_speed, weather_main
 FROM city_days JOIN countries USING (city)
 WHERE no_total_flights > 0
-""")
+"""
+
+
+@register("master_view", master_sql(VOLUME_WIDTH))
 def q_master_view(spark, d):
     t = Tables(spark, d)
-    flights_v = _flights_v(t.events, t.events)  # one feed: counted in one pass
+    flights_v = _flights_v(t.events, t.events)
     ca = views.city_airports_view(_customer_airports(t))
     ev = _event_cities(t)
     road = ev.filter(F.col("event_type") == "click").select(

@@ -1,11 +1,11 @@
 import math
 import random
-import re
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
-from airshed.operators.percentile import exact_percentile, slot
+from airshed.operators.percentile import DIGIT_BITS, RANGE_VALUES, exact_percentile, ordered_keys, select_ranges
 
 
 def interpolated(values, q):
@@ -65,22 +65,38 @@ def test_several_measures(spark):
                    "cold": (2.0, None)}
 
 
-def test_no_job_runs_while_the_plan_is_built(spark):
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("plan-only", "percentile")
-    exact_percentile(spark.range(100).selectExpr("id % 3 as g", "double(id) as v"), ["g"], ["v"])
-    assert list(tracker.getJobIdsForGroup("plan-only")) == []
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-
-
-def test_slots_are_monotone_and_few(spark):
-    values = sorted([0.0, -0.0, 1e-308, 5e-324, 1.0, 1.0000001, 130.0, 1e18, 1.7e308, -1.0, -130.0, -1.7e308, float("inf"),
-                     float("-inf")])
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    slots = [r["s"] for r in df.select("v", slot(F.col("v")).alias("s")).orderBy("v").collect()]
-    assert slots == sorted(slots)
-    many = spark.range(200000).select((F.rand(1) * 1e6).alias("v")).select(slot(F.col("v")).alias("s"))
-    assert many.distinct().count() < 256 * 20
+def test_keys_have_the_bits_of_the_double(spark):
+    rnd = random.Random(5)
+    values = [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 1.7976931348623157e308, float("inf")]
+    values += [math.nextafter(2.0 ** e, to) for e in range(-1074, 1024, 7) for to in (0.0, math.inf)]
+    values += [2.0 ** e for e in range(-1074, 1024)] + [rnd.random() * 10 ** rnd.randint(-300, 300) for _ in range(3000)]
+    values += [-v for v in values]
+    got = ordered_keys(spark.createDataFrame([(v,) for v in values], "v double"), "v", "k").collect()
+    bits = lambda v: struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+    assert [r.k for r in got] == [-bits(v) if v < 0 else bits(v) for v in values]
+
+
+@pytest.mark.parametrize("value, rounds", [("id / 1e9", 2), ("1704067200D + id * 2.6784", 2),
+                                           ("(id * 7919 % 1000000) + 1e12", 3), ("double(id % 3)", 3)])
+def test_ranges_stay_small(spark, value, rounds):
+    """A million values in [0, 0.001], a month of epoch seconds, values that agree in their leading bits; and three
+    values only, whose ranges never get small but hold one value each."""
+    df = spark.range(1_000_000).selectExpr("id % 2 as g", f"{value} as v").where("g = 0").repartition(4)
+    selection = select_ranges(df, ["g"], ["v"], 0.5)
+    used = (64 - selection.shift) // DIGIT_BITS
+    values = selection.inside().groupBy("_m", "_range").agg(F.count_distinct("_k").alias("n")).collect()
+    assert 1 <= len(values) <= 2 and max(r.n for r in values) <= RANGE_VALUES
+    assert used <= rounds
+    expected = df.agg(F.expr("percentile(v, 0.5)")).first()[0]
+    assert exact_percentile(df, ["g"], ["v"], 0.5, ["p"]).first()["p"] == pytest.approx(expected, rel=1e-15)
+
+
+def test_more_rounds_give_the_same(spark, monkeypatch):
+    df = spark.createDataFrame(fixture_rows(), "g string, v double")
+    few = sorted(map(str, exact_percentile(df, ["g"], ["v"], 0.37).collect()))
+    monkeypatch.setattr("airshed.operators.percentile.RANGE_VALUES", 1)
+    assert select_ranges(df, ["g"], ["v"], 0.37).shift == DIGIT_BITS
+    assert sorted(map(str, exact_percentile(df, ["g"], ["v"], 0.37).collect())) == few
 
 
 def test_nan_is_the_greatest(spark):
@@ -88,9 +104,8 @@ def test_nan_is_the_greatest(spark):
     assert exact_percentile(df, ["g"], ["v"], 0.5, ["p"]).first()["p"] == 2.0
 
 
-def test_one_input_scan_in_the_executed_plan(spark, tmp_dir):
-    spark.range(1000).selectExpr("id % 7 as g", "double(id) as v").write.parquet(f"{tmp_dir}/t")
-    out = exact_percentile(spark.read.parquet(f"{tmp_dir}/t"), ["g"], ["v"])
-    out.collect()
-    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert len(re.findall(r"FileScan parquet", final)) <= 2  # the second stands below a reused exchange
+def test_the_input_is_read_once(spark, tmp_dir):
+    """The columns that count are written out; the rounds read those, not the input."""
+    spark.range(1000).selectExpr("id % 7 as g", "double(id) as v", "'wide' as w").write.parquet(f"{tmp_dir}/t")
+    plan = exact_percentile(spark.read.parquet(f"{tmp_dir}/t"), ["g"], ["v"])._jdf.queryExecution().optimizedPlan()
+    assert f"{tmp_dir}/t" not in plan.toString() and "wide" not in plan.toString()

@@ -80,3 +80,43 @@ def test_a_replayed_batch_adds_nothing(spark, tmp_dir):
         merge_batch(batch, tgt, ["k", "day"], ["v"], name, partition_col="day", prune_col="day")
     got = sorted((r["k"] or "-", r["day"], r["v"]) for r in spark.read.parquet(tgt).collect())
     assert got == [("-", 1, 2), ("-", 1, 2), ("-", 2, 4), ("a", 1, 1), ("b", 2, 3)]
+
+
+def test_late_rows_over_several_runs(spark, tmp_dir):
+    """Rows behind the watermark of earlier runs are left out by both stateful operators; repeats inside it count once
+    in the one and as rows of their hour in the other."""
+    from airshed.streaming.ingest import append_stream, hourly_counts_stream
+    at = lambda day, hour: dt.datetime(2024, 1, day, hour, 30)
+    drops = [[("a", at(1, 6), 1), ("b", at(9, 6), 2)], [("b", at(9, 6), 2), ("c", at(10, 7), 3)],
+             [("late", at(2, 6), 4), ("d", at(20, 6), 5)]]
+    outs = {}
+    for name, transform in (("dedupe", lambda s: dedupe_in_stream(s, ["k"], "ts")),
+                            ("hourly", lambda s: hourly_counts_stream(s, "k", "ts"))):
+        src, out, ck = (os.path.join(tmp_dir, name, x) for x in ("src", "out", "ck"))
+        for n, rows in enumerate(drops):
+            frame = spark.createDataFrame(rows, SCHEMA)
+            frame.write.parquet(os.path.join(src, str(n)))
+            append_stream(spark, src, frame.schema, transform, out, ck)
+        outs[name] = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert [r[0] for r in outs["dedupe"]] == ["a", "b", "c", "d"]
+    assert [(r[0], r[2]) for r in outs["hourly"]] == [("A", 1), ("B", 2), ("C", 1)]      # d's hour is still open
+
+
+def test_a_batch_of_two_days_opens_two_folders(spark, tmp_dir, monkeypatch):
+    from airshed.operators import storage
+    from airshed.streaming import ingest
+    schema, tgt, told = "k string, day int, v int", os.path.join(tmp_dir, "tgt"), []
+    for day in range(6):
+        ingest.merge_batch(spark.createDataFrame([(f"k{day}", day, 1)], schema), tgt, ["k", "day"], ["v"], f"b{day}",
+                           partition_col="day", prune_col="day")
+    listed, real = [], storage.names_in
+    monkeypatch.setattr(storage, "names_in", lambda s, p: listed.append(p) or real(s, p))
+    opened = []
+    load = storage.read_partitions
+    monkeypatch.setattr(storage, "read_partitions", lambda *a, **k: opened.append(load(*a, **k)) or opened[-1])
+    ingest.merge_batch(spark.createDataFrame([("k0", 0, 9), ("new", 5, 9)], schema), tgt, ["k", "day"], ["v"], "b9",
+                       partition_col="day", prune_col="day", touched=told.append)
+    assert not [p for p in listed if p.startswith(tgt)] and told == [[0, 5]]
+    assert sorted(os.path.dirname(f)[-5:] for f in opened[0].inputFiles()) == ["day=0", "day=5"]
+    assert sorted((r.k, r.v) for r in spark.read.parquet(tgt).where("day in (0, 5)").collect()) == \
+        [("k0", 1), ("k5", 1), ("new", 9)]
