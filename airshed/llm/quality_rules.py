@@ -152,7 +152,7 @@ def _common_share(counts: Column) -> Column:
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      lang_col: str = "lang") -> DataFrame:
-    """The base counts, ``base_failed, char_distance, word_distance, common_share`` and ``kept`` of every row.
+    """The base counts, ``base_failed, kept, char_distance, word_distance`` and ``common_share`` of every row.
 
     Columns: ``doc_id, lang, text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` and these;
     common_share is relative to the reference's.
@@ -170,7 +170,9 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     far_words = F.coalesce((F.col("word_distance") > MAX_WORD_DISTANCE + WORD_ALLOWANCE / F.col("n_words"))
                            & (F.col("common_share") < MIN_COMMON_SHARE - SHARE_ALLOWANCE / F.col("n_words")),
                            F.lit(False))
-    return judged.withColumn("kept", ~(F.col("base_failed") | far_chars | far_words))
+    found = ["char_distance", "word_distance", "common_share"]
+    return judged.select(*[c for c in judged.columns if c not in found],
+                         (~(F.col("base_failed") | far_chars | far_words)).alias("kept"), *found)
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -35,6 +35,7 @@ SHARD_IDS = 1 << 20
 END_ID = 2
 TEXT_BYTES = 16 << 20  # encoded at a time
 WORDS = 256  # in a call of the library
+CACHED_CHUNKS = 400_000  # in a Python worker, about 100 MB
 BLOCK_BITS = 512
 FILE_SCHEMA = ("part int, shard int, start long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
                "zeros array<long>, planes binary, ranks binary")
@@ -169,6 +170,30 @@ def _gather(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return ids[np.repeat((starts - ends + lengths).astype(np.int32), lengths) + np.arange(total, dtype=np.int32)]
 
 
+class _Grown:
+    """Numbers in an array that grows by doubling, so adding some costs no copy of the others."""
+
+    def __init__(self, kind):
+        self.array, self.used = np.zeros(1 << 10, kind), 0
+
+    def scratch(self, more: np.ndarray) -> np.ndarray:
+        """The numbers with some more behind them, which the next ones overwrite."""
+        end = self.used + len(more)
+        if end > len(self.array):
+            grown = np.zeros(max(end, 2 * len(self.array)), self.array.dtype)
+            grown[:self.used] = self.array[:self.used]
+            self.array = grown
+        self.array[self.used:end] = more
+        return self.array[:end]
+
+    def add(self, more: np.ndarray) -> None:
+        self.scratch(more)
+        self.used += len(more)
+
+    def keep(self, some: np.ndarray) -> None:
+        self.array, self.used = some, len(some)
+
+
 class _Encoder:
     """Texts to ids by the tokenizers library, one thread, with a bounded cache of blank-separated chunks.
 
@@ -177,16 +202,16 @@ class _Encoder:
     the library encodes the chunks that the cache lacks, a word apart from the marks behind it, which the pattern never
     joins either. Any other text goes to the library whole, and so does one with the string of an added token.
 
-    Arrow splits the texts, finds the distinct chunks and looks them up. The cache is an Arrow array of chunks beside
-    one array of all their ids; it lives as long as the Python worker, over all its tasks, and when it is full only what
-    the last texts used stays.
+    Arrow splits the texts and finds the distinct chunks. The cache is a dict from a chunk to its place beside one array
+    of all their ids, which both only grow, so a look-up costs the chunks that are asked for and not those that are held.
+    It lives as long as the Python worker, over all its tasks, and when it is full only what the last texts used stays.
     """
 
     _LONE_BLANK = re.compile(r" (?:\s|\Z)")
     _SPACE = re.compile(r"\s")
     _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    def __init__(self, path: str, entries: int = 1_500_000):
+    def __init__(self, path: str, entries: int = CACHED_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -196,8 +221,10 @@ class _Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line_feed = self.tokenizer.token_to_id("Ċ")
         self.width = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.chunks = pa.array([""], pa.string())  # an empty chunk has no ids
-        self.starts, self.lengths, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.places = {"": 0}  # an empty chunk has no ids
+        self.starts, self.lengths, self.ids = _Grown(np.int64), _Grown(np.int64), _Grown(np.uint32)
+        self.starts.add(np.zeros(1, np.int64))
+        self.lengths.add(np.zeros(1, np.int64))
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some texts in one array, and how many each has."""
@@ -217,17 +244,19 @@ class _Encoder:
         cuts = np.flatnonzero(between)
         return ids[~between], np.diff(cuts, prepend=-1, append=len(ids)) - 1
 
-    def _add(self, chunks: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def _add(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Put chunks with their ids into the cache; returns their places."""
-        first = len(self.chunks)
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
-        self.lengths, self.ids = np.concatenate((self.lengths, lengths)), np.concatenate((self.ids, ids))
-        self.chunks = pa.concat_arrays([self.chunks, chunks])
+        first = self.starts.used
+        self.starts.add(self.ids.used + np.cumsum(lengths) - lengths)
+        self.lengths.add(lengths)
+        self.ids.add(ids)
+        self.places.update(zip(chunks, range(first, first + len(chunks))))
         return first + np.arange(len(chunks))
 
-    def _find(self, chunks: pa.Array) -> np.ndarray:
+    def _find(self, chunks: list[str]) -> np.ndarray:
         """Places in the cache, -1 for what it lacks."""
-        return pc.fill_null(pc.index_in(chunks, value_set=self.chunks), -1).to_numpy().astype(np.int64)
+        get = self.places.get
+        return np.fromiter((get(c, -1) for c in chunks), np.int64, len(chunks))
 
     def _learn(self, chunks: pa.Array) -> np.ndarray:
         """Put distinct chunks (without their blank) into the cache; returns their places."""
@@ -238,23 +267,23 @@ class _Encoder:
         mask = pa.array(marked, pa.bool_())
         base = pc.if_else(mask, words, chunks).dictionary_encode()
 
-        places = self._find(base.dictionary)
+        names = base.dictionary.to_pylist()
+        places = self._find(names)
         new = np.flatnonzero(places < 0)
         if len(new):
-            array = base.dictionary.take(pa.array(new))
-            names = array.to_pylist()
-            some = [self._words(names[at:at + WORDS]) for at in range(0, len(names), WORDS)]
-            places[new] = self._add(array, *map(np.concatenate, zip(*some)))
+            lacking = [names[k] for k in new.tolist()]
+            some = [self._words(lacking[at:at + WORDS]) for at in range(0, len(lacking), WORDS)]
+            places[new] = self._add(lacking, *map(np.concatenate, zip(*some)))
         out = places[base.indices.to_numpy()]
         if marked.any():
-            names, stems = chunks.filter(mask), words.filter(mask)
-            marks = pa.array([n[len(w):] for n, w in zip(names.to_pylist(), stems.to_pylist())]).dictionary_encode()
+            whole, stems = chunks.filter(mask).to_pylist(), words.filter(mask).to_pylist()
+            marks = pa.array([n[len(w):] for n, w in zip(whole, stems)]).dictionary_encode()
             ids, lengths = self._library(marks.dictionary.to_pylist())
-            word, mark, size = out[marked], marks.indices.to_numpy(), len(self.ids)
-            starts = np.stack((self.starts[word], (size + np.cumsum(lengths) - lengths)[mark]), axis=1)
-            counts = np.stack((self.lengths[word], lengths[mark]), axis=1)
-            both = _gather(np.concatenate((self.ids, ids)), starts.ravel(), counts.ravel())
-            out[marked] = self._add(names, both, counts.sum(axis=1))
+            word, mark, size = out[marked], marks.indices.to_numpy(), self.ids.used
+            starts = np.stack((self.starts.array[word], (size + np.cumsum(lengths) - lengths)[mark]), axis=1)
+            counts = np.stack((self.lengths.array[word], lengths[mark]), axis=1)
+            both = _gather(self.ids.scratch(ids), starts.ravel(), counts.ravel())
+            out[marked] = self._add(whole, both, counts.sum(axis=1))
         return out
 
     def _whole(self, text: str) -> bool:
@@ -268,7 +297,7 @@ class _Encoder:
         apart = [self._whole(t) for t in whole]
         parts = pc.split_pattern(pc.if_else(pa.array(apart, pa.bool_()), "", texts), " ")
         bounds, coded = parts.offsets.to_numpy() - parts.offsets[0].as_py(), parts.flatten().dictionary_encode()
-        places = self._find(coded.dictionary)
+        places = self._find(coded.dictionary.to_pylist())
         new = np.flatnonzero(places < 0)
         if len(new):
             places[new] = self._learn(coded.dictionary.take(pa.array(new)))
@@ -276,19 +305,22 @@ class _Encoder:
 
         # the first chunk has no blank in front
         heads, counts = self._library([t if a else t.partition(" ")[0] for t, a in zip(whole, apart)])
-        starts, lengths = self.starts[at], self.lengths[at]
-        starts[bounds[:-1]], lengths[bounds[:-1]] = len(self.ids) + np.cumsum(counts) - counts, counts
-        out = _gather(np.concatenate((self.ids, heads)), starts, lengths)
+        starts, lengths = self.starts.array[at], self.lengths.array[at]
+        starts[bounds[:-1]], lengths[bounds[:-1]] = self.ids.used + np.cumsum(counts) - counts, counts
+        out = _gather(self.ids.scratch(heads), starts, lengths)
         ends = np.cumsum(lengths)[bounds[1:] - 1]
-        if len(self.chunks) > self.entries:
+        if len(self.places) > self.entries:
             self._forget(np.union1d([0], places))
         return np.split(out, ends[:-1])
 
     def _forget(self, keep: np.ndarray) -> None:
         """Leave only some entries in the cache."""
-        self.ids, self.chunks = _gather(self.ids, self.starts[keep], self.lengths[keep]), self.chunks.take(pa.array(keep))
-        self.lengths = self.lengths[keep]
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        starts, lengths = self.starts.array[keep], self.lengths.array[keep]
+        self.ids.keep(_gather(self.ids.array, starts, lengths))
+        self.lengths.keep(lengths)
+        self.starts.keep(np.cumsum(lengths) - lengths)
+        moved = dict(zip(keep.tolist(), range(len(keep))))
+        self.places = {c: moved[k] for c, k in self.places.items() if k in moved}
 
 
 def _portions(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
