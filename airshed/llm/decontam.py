@@ -6,19 +6,22 @@ item of thirty words inside it, so only the items are sketched: the items are pa
 their shingle count), and an item's sketch is the k least hashes of its shingles, with k taken from the upper size of
 its partition so that it exceeds the number of shingles a document may lack. Every document that holds the item thus
 holds one of the sketch's hashes: the search loses nothing. Each candidate pair is then verified on the shingles
-themselves.
+themselves. Items of fewer words than a shingle are size partitions of their own: their shingle is the whole item, and
+the documents are read in windows of that length too, where such items occur.
 
 The document side is never shuffled for the search as long as the sketches fit ``BROADCAST_BYTES`` (their bytes are
 known: two longs a row); beyond it the same join is left to Spark to shuffle.
 
-Nulls and odd rows: null texts have no words and match nothing, null ids take no part. A text of fewer words than a
+Nulls and odd rows: null texts have no words and match nothing, null ids take no part. An item of fewer words than a
 shingle has one shingle, its whole sequence; one without words has none. Rows that repeat an id are one document (item)
-with the shingles of all its rows. Empty tables give no rows.
+with the shingles of all its rows; an item's rows of different short lengths are searched apart and found where the
+shingles of one length suffice. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,13 +78,9 @@ def sketches(shingles: DataFrame, min_containment: Fraction = MIN_CONTAINMENT) -
     return per_item.select("item_id", F.explode(F.slice("hashes", F.lit(1), (may_lack + 1).cast("int"))).alias("hash"))
 
 
-def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
-               min_containment: Fraction = MIN_CONTAINMENT) -> DataFrame:
-    """``(doc_id, item_id, n_shared, n_shingles)`` for every document and item it holds."""
-    n = shingle_words
-    texts = documents(docs, id_col, text_col).where("doc_id is not null")
-    shingles = stage(item_shingles(items, item_col, item_text_col, n), "decontam-items")
+def _find_long(texts: DataFrame, items: DataFrame, n: int, min_containment: Fraction) -> DataFrame:
+    """:func:`find_items` for items ``(doc_id, text)`` of at least ``n`` words."""
+    shingles = stage(item_shingles(items, "doc_id", "text", n), "decontam-items")
     sketch = stage(sketches(shingles, min_containment), "decontam-sketches")
     if sketch.count() * _ROW_BYTES <= BROADCAST_BYTES:
         sketch = F.broadcast(sketch)
@@ -98,25 +97,42 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     return shared.where(enough).select("doc_id", "item_id", "n_shared", "n_shingles")
 
 
+def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_col: str = "item_id", item_text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
+               min_containment: Fraction = MIN_CONTAINMENT) -> DataFrame:
+    """``(doc_id, item_id, n_shared, n_shingles)`` for every document and item it holds."""
+    n = shingle_words
+    texts = documents(docs, id_col, text_col).where("doc_id is not null")
+    wanted = documents(items, item_col, item_text_col).where("doc_id is not null")
+    sized = stage(wanted.withColumn("length", F.least(F.size(words_of(F.lower("text"))), F.lit(n)))
+                  .where("length > 0"), "decontam-lengths")
+    lengths = sorted(r["length"] for r in sized.select("length").distinct().collect()) or [n]  # n of them at most
+    found = [_find_long(texts, sized.where(F.col("length") == m).drop("length"), m, min_containment) for m in lengths]
+    return found[0] if len(found) == 1 else reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(
+        F.max_by(F.struct("n_shared", "n_shingles"), "n_shingles").alias("best")).select("doc_id", "item_id", "best.*")
+
+
 def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def _duck_shingles(source: str, key: str) -> str:
-    words = r"[x FOR x IN string_split_regex(lower(text), '[\x20\x09-\x0D]+') IF x <> '']"
-    n = SHINGLE_WORDS
-    return f"""
-  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) = 0 THEN [] ELSE
-    [list_aggregate(w[i:i + {n - 1}], 'string_agg', ' ') FOR i IN range(1, greatest(len(w) - {n - 1}, 1) + 1)] END) AS shingle
-  FROM (SELECT {key}, {words} AS w FROM {source} WHERE {key} IS NOT NULL)"""
-
+_DUCK_WORDS = r"[x FOR x IN string_split_regex(lower(text), '[\x20\x09-\x0D]+') IF x <> '']"
 
+# An item is searched in windows of its own length, up to that of a shingle.
 ORACLE = f"""
-WITH held AS ({_duck_shingles('documents', 'doc_id')}),
-wanted AS ({_duck_shingles('benchmark', 'item_id')}),
-sized AS (SELECT item_id, shingle, count(*) OVER (PARTITION BY item_id) AS n_shingles FROM wanted)
+WITH items AS (
+  SELECT item_id, w, least(len(w), {SHINGLE_WORDS}) AS n FROM (SELECT item_id, {_DUCK_WORDS} AS w FROM benchmark)
+  WHERE len(w) > 0 AND item_id IS NOT NULL),
+wanted AS (
+  SELECT DISTINCT item_id, n, unnest([list_aggregate(w[i:i + n - 1], 'string_agg', ' ')
+                                      FOR i IN range(1, len(w) - n + 2)]) AS shingle FROM items),
+held AS (
+  SELECT DISTINCT doc_id, n, unnest([list_aggregate(w[i:i + n - 1], 'string_agg', ' ')
+                                     FOR i IN range(1, len(w) - n + 2)]) AS shingle
+  FROM (SELECT doc_id, {_DUCK_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL), (SELECT DISTINCT n FROM items)),
+sized AS (SELECT item_id, n, shingle, count(*) OVER (PARTITION BY item_id, n) AS n_shingles FROM wanted)
 SELECT doc_id, item_id, count(*) AS n_shared, n_shingles
-FROM held JOIN sized USING (shingle)
+FROM held JOIN sized USING (n, shingle)
 GROUP BY doc_id, item_id, n_shingles
 HAVING count(*) * {MIN_CONTAINMENT.denominator} >= n_shingles * {MIN_CONTAINMENT.numerator}
 """

@@ -35,7 +35,7 @@ SHARD_IDS = 1 << 20
 END_ID = 2
 TEXT_BYTES = 16 << 20  # encoded at a time
 WORDS = 256  # in a call of the library
-CACHED_CHUNKS = 400_000  # in a Python worker, about 100 MB
+CACHED_CHUNKS = 1_000_000  # in a Python worker, about 200 MB
 BLOCK_BITS = 512
 FILE_SCHEMA = ("part int, shard int, start long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
                "zeros array<long>, planes binary, ranks binary")
@@ -170,6 +170,18 @@ def _gather(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return ids[np.repeat((starts - ends + lengths).astype(np.int32), lengths) + np.arange(total, dtype=np.int32)]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones stand for themselves, the others
+    take the letters from U+0100 on, in order."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b if b in own else next(others)) for b in range(256)}
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()  # many times as fast as to_pylist
+
+
 class _Grown:
     """Numbers in an array that grows by doubling, so adding some costs no copy of the others."""
 
@@ -210,16 +222,20 @@ class _Encoder:
     _LONE_BLANK = re.compile(r" (?:\s|\Z)")
     _SPACE = re.compile(r"\s")
     _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")  # letters only, so a word of them is one piece of the pattern
 
     def __init__(self, path: str, entries: int = CACHED_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer, self.entries = Tokenizer.from_file(path), entries
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line_feed = self.tokenizer.token_to_id("Ċ")
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.whole_words = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, ByteLevel)
         self.width = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.places = {"": 0}  # an empty chunk has no ids
         self.starts, self.lengths, self.ids = _Grown(np.int64), _Grown(np.int64), _Grown(np.uint32)
@@ -231,6 +247,13 @@ class _Encoder:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.array([i for ids in found for i in ids], dtype=np.uint32), np.fromiter(map(len, found), np.int64)
 
+    def _latin(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_words`, for words of Latin letters: the library's model gets each as its one piece, in the letters
+        that stand for its bytes, without a search for pieces."""
+        blank, tokenize = self.letters[ord(" ")], self.model.tokenize
+        found = [[t.id for t in tokenize(blank + w.encode().decode("latin-1").translate(self.letters))] for w in words]
+        return np.array([i for ids in found for i in ids], dtype=np.uint32), np.fromiter(map(len, found), np.int64)
+
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As :meth:`_library`, for words with a blank in front, by one call: a line feed stands between any two.
 
@@ -267,16 +290,18 @@ class _Encoder:
         mask = pa.array(marked, pa.bool_())
         base = pc.if_else(mask, words, chunks).dictionary_encode()
 
-        names = base.dictionary.to_pylist()
+        names = _strings(base.dictionary)
         places = self._find(names)
         new = np.flatnonzero(places < 0)
-        if len(new):
-            lacking = [names[k] for k in new.tolist()]
-            some = [self._words(lacking[at:at + WORDS]) for at in range(0, len(lacking), WORDS)]
-            places[new] = self._add(lacking, *map(np.concatenate, zip(*some)))
+        latin = np.array([self.whole_words and self._LATIN.fullmatch(names[k]) is not None for k in new.tolist()], bool)
+        for which, encode, most in ((new[latin], self._latin, len(new)), (new[~latin], self._words, WORDS)):
+            if len(which):
+                lacking = [names[k] for k in which.tolist()]
+                some = [encode(lacking[at:at + most]) for at in range(0, len(lacking), most)]
+                places[which] = self._add(lacking, *map(np.concatenate, zip(*some)))
         out = places[base.indices.to_numpy()]
         if marked.any():
-            whole, stems = chunks.filter(mask).to_pylist(), words.filter(mask).to_pylist()
+            whole, stems = _strings(chunks.filter(mask)), _strings(words.filter(mask))
             marks = pa.array([n[len(w):] for n, w in zip(whole, stems)]).dictionary_encode()
             ids, lengths = self._library(marks.dictionary.to_pylist())
             word, mark, size = out[marked], marks.indices.to_numpy(), self.ids.used
@@ -297,7 +322,7 @@ class _Encoder:
         apart = [self._whole(t) for t in whole]
         parts = pc.split_pattern(pc.if_else(pa.array(apart, pa.bool_()), "", texts), " ")
         bounds, coded = parts.offsets.to_numpy() - parts.offsets[0].as_py(), parts.flatten().dictionary_encode()
-        places = self._find(coded.dictionary.to_pylist())
+        places = self._find(_strings(coded.dictionary))
         new = np.flatnonzero(places < 0)
         if len(new):
             places[new] = self._learn(coded.dictionary.take(pa.array(new)))

@@ -8,19 +8,31 @@ from airshed.llm import decontam
 from .conftest import rows_of
 
 
+def words_in(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+
+
 def shingles(text, n=5):
-    words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
-    return {" ".join(words[i:i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+    words = words_in(text)
+    return {" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
 def plain_find(docs, items, share=Fraction(4, 5)):
-    held, wanted = {}, {}
-    for table, rows in ((held, docs), (wanted, items)):
-        for key, text in rows:
-            if key is not None:
-                table.setdefault(key, set()).update(shingles(text))
-    return sorted((d, i, len(s & q), len(q)) for d, s in held.items() for i, q in wanted.items()
-                  if q and len(s & q) >= share * len(q))
+    """An item is searched in windows of its own length, up to five words; rows of one item by their lengths."""
+    wanted, out = {}, {}
+    for key, text in items:
+        n = min(5, len(words_in(text)))
+        if key is not None and n:
+            wanted.setdefault((key, n), set()).update(shingles(text, n))
+    for (item, n), q in wanted.items():
+        held = {}
+        for doc, text in docs:
+            if doc is not None:
+                held.setdefault(doc, set()).update(shingles(text, n))
+        for doc, s in held.items():
+            if len(s & q) >= share * len(q):
+                out[doc, item] = max(out.get((doc, item), (0, 0)), (len(q), len(s & q)))
+    return sorted((d, i, shared, n) for (d, i), (n, shared) in out.items())
 
 
 @pytest.fixture()
@@ -63,6 +75,17 @@ def test_without_broadcast(make, items, corpus, monkeypatch):
     assert sorted(map(tuple, got.collect())) == plain_find(list(enumerate(corpus)), wanted)
 
 
+def test_short_items_are_found_inside_long_documents(make, items, corpus):
+    wanted = [(1, "Alpha beta gamma"), (2, "delta"), (3, "one two three four"), (4, "beta"), (5, "five words make a shingle"),
+              (6, "gamma alpha")]
+    docs = rows_of(["x alpha beta gamma y z w", "alpha beta gamma", "alphabeta gamma delta", "one two three", "ONE two\nthree four",
+                    "lead five words make a shingle out", "beta", "delta delta " * 400, *corpus[:5]])
+    got = sorted(map(tuple, decontam.find_items(make(docs, clashing=True), items(wanted)).collect()))
+    assert got == plain_find([(r[0], r[1]) for r in docs], wanted)
+    assert {(0, 1), (1, 1), (2, 2), (4, 3), (0, 4), (5, 5), (6, 4), (7, 2)} <= {r[:2] for r in got}
+    assert not {(2, 1), (3, 3), (0, 6)} & {r[:2] for r in got}
+
+
 def test_odd_rows(make, items, odd_rows):
     wanted = [(1, None), (2, ""), (None, "one"), (3, "one"), (4, "same text in two rows with one id"), (4, " "), (5, "no id here")]
     got = decontam.find_items(make(odd_rows, clashing=True), items(wanted))
