@@ -280,7 +280,7 @@ SELECT CASE WHEN event_id % 7 = 0 THEN 'codeshared' WHEN event_id % 23 = 0 THEN
 FROM events GROUP BY 1 UNION ALL SELECT 'bad_file', 2
 """)
 def q_lake_flight_rejects(spark, d):
-    return lake.read_flights(spark, _landed(spark, d, "flights"), "arrival").stats()
+    return lake.read_flights(spark, _landed(spark, d, "flights"), "arrival").once().stats()
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -315,7 +315,7 @@ SELECT date, city, COUNT(*) AS n_rows, COUNT(road) AS n_named FROM r
 WHERE CAST(date AS DATE) = DATE '{DAY}' GROUP BY 1, 2
 """)
 def q_lake_road_day(spark, d):
-    rows = lake.read_road(spark, _landed(spark, d, "road"), glob=lake.road_day_glob(DAY)).rows
+    rows = lake.read_road(spark, _landed(spark, d, "road"), day=DAY).rows
     return rows.groupBy("date", "city").agg(F.count(F.lit(1)).alias("n_rows"), F.count("road").alias("n_named"))
 
 

@@ -80,7 +80,8 @@ def _order(rows: DataFrame, keys: list[str]) -> list[str]:
 def load_flights(spark: SparkSession, wh: Warehouse, lake_dir: str, direction: str = "arrival",
                  day: str | None = None) -> lake.Load:
     """Load one day (``day``) or every file of a direction; existing keys win, NULL keys never conflict."""
-    load = lake.read_flights(spark, lake_dir, direction, glob=lake.day_glob(day) if day else "*.json").once()
+    where = lake.day_paths(spark, lake_dir, day) if day else lake_dir
+    load = lake.read_flights(spark, where, direction, glob=lake.day_glob(day) if day else "*.json").once()
     table = f"{direction}s"
     keys, rows = TABLE_KEYS[table], _flight_rows(load, direction)
     days = partition_values(rows, "day")
@@ -168,7 +169,7 @@ def load_road(spark: SparkSession, wh: Warehouse, lake_dir: str, glob: str = "*.
     that is given a ``name`` and runs again takes its former rows back first, so it doesn't collide with itself.
     Roads without a name are left out, those with an empty one are grouped and stored without a name.
     """
-    load = lake.read_road(spark, lake_dir, glob=lake.road_day_glob(day) if day else glob, strict=strict)
+    load = lake.read_road(spark, lake_dir, glob=glob, strict=strict, day=day)
     if not strict:
         load = load.once()
     means = weighted_means(load.rows, ["date", "city", "road"], "length", ["speed", "freeflow", "jamfactor"])

@@ -15,29 +15,38 @@ one task and must stay below 2 GB; the histories that the jobs write are many fi
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions.clean import (blank_to_null, decode_file_name, name_token, safe_int, strip_extension,
                                      strip_footnotes, strip_trailing_digits, thousands_to_long)
 from airshed.functions.time import epoch_to_utc, file_stamp_to_ts, hour_in_window, parse_flight_ts, parse_iso_ntz
+from airshed.operators import storage
 from airshed.operators.joins import zip_lists
 from airshed.operators.sinks import dedupe_by_key, staged_rewrite
 from airshed.sources import schemas
 
 
+ACCEPTED = "accepted"
+# Why a reader rejects a file or an element.
+REASONS = ("bad_file", "not_object", "codeshared", "no_actual_time", "outside_window", "missing_key", "no_list")
+
+
 @dataclass
 class Load:
     """Rows accepted by a reader and the rejected inputs with a reason each, both views of one classified table.
 
-    ``classified`` holds the row's columns, ``file_path``, ``pos`` and ``_reason`` (NULL: accepted).
+    ``classified`` holds the row's columns, ``file_path``, ``pos`` and ``_reason`` (NULL: accepted). ``counts`` has the
+    elements by reason where the table was written and counted on the way.
     """
     classified: DataFrame
     columns: list[str]
+    counts: dict[str, int] | None = None
 
     @property
     def rows(self) -> DataFrame:
@@ -49,28 +58,53 @@ class Load:
                                                                          F.col("_reason").alias("reason"))
 
     def once(self) -> Load:
-        """The same load read from a staged copy: the files are parsed once, whatever is asked of the load."""
-        return Load(staged_rewrite(self.classified, "load"), self.columns)
+        """The same load read from a staged copy: the files are parsed once, whatever is asked of the load. The write
+        counts what passes, so the statistics need no look at the copy."""
+        seen = Observation()
+        reason = F.coalesce("_reason", F.lit(ACCEPTED))
+        known = [F.count_if(reason == r).alias(r) for r in (ACCEPTED, *REASONS)]
+        counted = self.classified.observe(seen, *known, F.count_if(~reason.isin(ACCEPTED, *REASONS)).alias("other"))
+        copy = staged_rewrite(counted, "load")
+        return Load(copy, self.columns, {r: n for r, n in seen.get.items() if n})
 
     def stats(self) -> DataFrame:
-        """Load statistics: accepted rows and rejects per reason (one small aggregate)."""
-        return self.classified.groupBy(F.coalesce("_reason", F.lit("accepted")).alias("reason")) \
+        """Load statistics: accepted rows and rejects per reason, as counted by the write, or by one small aggregate."""
+        if self.counts is not None:
+            return self.classified.sparkSession.createDataFrame(list(self.counts.items()), "reason string, n long")
+        return self.classified.groupBy(F.coalesce("_reason", F.lit(ACCEPTED)).alias("reason")) \
             .agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------------------------------------------------------------
 # Files and elements
 
-def read_files(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = True) -> DataFrame:
+_DAY_FOLDER = re.compile(r"\d{4}-\d{2}-\d{2}")
+_FILE_COLUMNS = "file_path string, file_name string, parent string, modified timestamp, value string"
+
+
+def read_files(spark: SparkSession, path: str | Sequence[str], glob: str = "*.json", recursive: bool = True) -> DataFrame:
     """One row per file: ``file_path, file_name, parent, modified, value`` (whole text).
 
-    ``glob`` selects files by name (``*_2024-01-01.json`` for one day, ``*.json`` for all); with ``recursive`` day
-    folders that are not ``key=value`` partitions are still listed.
+    ``path`` is a folder or several (see :func:`day_paths`). ``glob`` selects files by name (``*_2024-01-01.json`` for one
+    day, ``*.json`` for all); with ``recursive`` day folders that are not ``key=value`` partitions are still listed.
     """
+    if not path:
+        return spark.createDataFrame([], _FILE_COLUMNS)
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return with_file_columns(reader.text(path, wholetext=True))
+    return with_file_columns(reader.text(path if isinstance(path, str) else list(path), wholetext=True))
+
+
+def day_paths(spark: SparkSession, base: str, day: str) -> str | list[str]:
+    """Where a day's files of a lake may be: of the folders that are named by days only those of this day, and all else.
+
+    One look at the names in ``base``; the other days' folders are never listed.
+    """
+    names = storage.names_in(spark, base)
+    if not any(_DAY_FOLDER.match(n) for n in names):
+        return base
+    return [f"{base.rstrip('/')}/{n}" for n in names if n.startswith(day) or not _DAY_FOLDER.match(n)]
 
 
 def with_file_columns(files: DataFrame) -> DataFrame:
@@ -193,15 +227,17 @@ ROAD_REQUIRED = [("location", "length"), ("currentFlow", "speed"), ("currentFlow
                  ("currentFlow", "jamFactor")]
 
 
-def read_road(spark: SparkSession, path: str, glob: str = "*.json", strict: bool = False) -> Load:
+def read_road(spark: SparkSession, path: str, glob: str = "*.json", strict: bool = False, day: str | None = None) -> Load:
     """Road-flow files ``{dir}/{day}/{City}_{startUTC}_{endUTC}.json`` (':' written '--') → rows
     ``date, city, road, length, speed, freeflow, jamfactor``.
 
     ``location.description`` is optional (NULL road; an empty one stays ''); the other four keys are required. With
     ``strict`` a reject fails the job (the bulk loader aborts): the files are parsed once into a staged table, which is
-    checked and then read. Otherwise the element is rejected with reason ``missing_key``.
+    checked and then read. Otherwise the element is rejected with reason ``missing_key``. ``day`` takes the files with
+    that day in their name and lists that day's folders only.
     """
-    elements = json_elements(read_files(spark, path, glob))
+    files = read_files(spark, day_paths(spark, path, day), road_day_glob(day)) if day else read_files(spark, path, glob)
+    elements = json_elements(files)
     missing = ~reduce(lambda a, b: a & b, [_has_path(F.col("elem"), p, k) for p, k in ROAD_REQUIRED])
     rec = F.from_json("elem", schemas.ROAD_RECORD)
     stem = strip_extension(F.col("file_name"))

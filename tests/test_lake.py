@@ -328,3 +328,36 @@ def test_a_staged_load_parses_its_files_once(spark, flight_lake):
     plan = load.rows._jdf.queryExecution().executedPlan().toString()
     assert "FileScan text" not in plan and "FileScan parquet" in plan
     assert load.rows.count() == 4
+
+
+def _road(speed):
+    return {"location": {"length": 1.0}, "currentFlow": {"speed": speed, "freeFlow": 1.0, "jamFactor": 0.0}}
+
+
+def test_a_day_lists_its_own_folders(spark, tmp_dir):
+    for day in range(1, 9):
+        write(f"{tmp_dir}/road/2024-01-{day:02d}/Paris_2024-01-{day:02d}T05--00--00_2024-01-{day:02d}T08--00--00.json",
+              json.dumps([_road(float(day))]))
+    write(f"{tmp_dir}/road/backfill/Rome_2024-01-03T05--00--00_2024-01-03T08--00--00.json",
+          json.dumps([_road(33.0)]))
+    assert lake.day_paths(spark, f"{tmp_dir}/road", "2024-01-03") == [f"{tmp_dir}/road/2024-01-03", f"{tmp_dir}/road/backfill"]
+    rows = lake.read_road(spark, f"{tmp_dir}/road", day="2024-01-03").rows
+    assert sorted(r.speed for r in rows.collect()) == [3.0, 33.0]
+    assert lake.read_road(spark, f"{tmp_dir}/road/backfill", day="2024-01-03").rows.count() == 1   # no day folders
+    only_days = f"{tmp_dir}/only"
+    write(f"{only_days}/2024-01-01/Paris_2024-01-01T05--00--00_2024-01-01T08--00--00.json", "[]")
+    assert lake.read_road(spark, only_days, day="2024-02-01").rows.count() == 0
+
+
+def test_the_write_counts_the_load(spark, tmp_dir):
+    """Reasons and numbers are those of a count over the rows, and come without a job of their own."""
+    write(f"{tmp_dir}/road/Paris_2024-01-01T05--00--00_2024-01-01T08--00--00.json",
+          json.dumps([_road(1.0), 5, {"location": {}, "currentFlow": {"speed": 1.0}}]))
+    write(f"{tmp_dir}/road/Rome_2024-01-01T05--00--00_2024-01-01T08--00--00.json", json.dumps({"not": "an array"}))
+    load = lake.read_road(spark, f"{tmp_dir}/road")
+    counted = load.once()
+    assert counted.counts == {r["reason"]: r["n"] for r in load.stats().collect()} == {
+        "accepted": 1, "not_object": 1, "missing_key": 1, "bad_file": 1}
+    assert {r["reason"]: r["n"] for r in counted.stats().collect()} == counted.counts
+    assert "Scan parquet" not in counted.stats()._jdf.queryExecution().executedPlan().toString()
+    assert lake.read_road(spark, f"{tmp_dir}/road", glob="nothing*.json").once().counts == {}
