@@ -216,14 +216,19 @@ def read_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
 # Writing
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
-                      fmt: str = "parquet", mode: str = "append") -> None:
+                      fmt: str = "parquet", mode: str = "append", ranges: bool = False) -> None:
     """Write a table with few files per partition, the rows of each file in order of ``sort_within``.
 
     Rows are dealt by partition value first (adaptive execution splits a large value over several tasks and joins small
-    ones), then sorted by partition and lookup columns: the writer needs the first and so keeps the second.
+    ones), then sorted by partition and lookup columns: the writer needs the first and so keeps the second. With
+    ``ranges`` rows are dealt by ranges of all these columns, so the files of a large value have narrow key ranges and a
+    lookup skips most of them; the input is looked at once more to find the ranges, so it should be a written table.
     """
-    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
     order = [*partition_by, *[c for c in sort_within if c not in partition_by]]
+    if ranges and order:
+        out = df.repartitionByRange(*order)
+    else:
+        out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
     if sort_within:
         out = out.sortWithinPartitions(*order)
     writer = out.write.mode(mode).format(fmt)

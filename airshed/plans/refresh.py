@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed.operators import storage
-from airshed.operators.sinks import holds_value, write_table
+from airshed.operators.sinks import holds_value, staged_rewrite
 
 # Fixed value: refresh order of the views (sources before the master view that reads them).
 VIEW_ORDER = ["flights_v", "city_airports_v", "air_pollution_v", "road_traffic_v", "weather_v", "master_view_v"]
@@ -60,6 +60,10 @@ class Scope:
         return (date.fromisoformat(day) if day else None) in self.days
 
 
+def _writer(df: DataFrame, parts: Sequence[str], sort: Sequence[str]) -> Callable[[str], None]:
+    return lambda staging: storage.write_partitioned(df, staging, parts, sort, ranges=True)
+
+
 def refresh_views(builders: dict[str, Callable[[], DataFrame]], root: str, order: Sequence[str] = tuple(VIEW_ORDER),
                   partition_by: dict[str, Sequence[str]] | None = None,
                   clustering: dict[str, Sequence[str]] | None = None, since: str | None = None,
@@ -67,7 +71,8 @@ def refresh_views(builders: dict[str, Callable[[], DataFrame]], root: str, order
     """Rebuild ``root/<view>`` for each view in ``order``; a failing view stops the run and is reported.
 
     A view is written beside its old version and then takes its place, so a failure leaves the old one readable. Rows
-    are sorted within each output file by the view's lookup columns. With a scope of its own, or ``since``
+    are dealt to files by ranges of day and lookup columns and sorted within each, so a lookup reads few files of a large
+    day. With a scope of its own, or ``since``
     ('YYYY-MM-DD') for all, a partitioned view replaces the partitions of these days: those it yields, and those that no
     longer yield rows go.
     """
@@ -78,14 +83,13 @@ def refresh_views(builders: dict[str, Callable[[], DataFrame]], root: str, order
             continue
         parts, sort, path = (partition_by or {}).get(name, ()), clustering.get(name, ()), f"{root}/{name}"
         try:
-            df = builders[name]()
+            df = staged_rewrite(builders[name](), name)
+            write = _writer(df, parts, sort)
             scope = (scopes or {}).get(name, Scope(since) if since else None)
             if scope and parts:
-                storage.replace_partitions(
-                    df.sparkSession, path, lambda staging: storage.write_partitioned(df, staging, parts, sort),
-                    gone=scope.folder)
+                storage.replace_partitions(df.sparkSession, path, write, gone=scope.folder)
             else:
-                write_table(df, path, partition_by=parts, sort_within=sort)
+                storage.replace_table(df.sparkSession, path, write)
         except Exception as exc:  # report, do not pretend success
             report.failed, report.error = name, f"{type(exc).__name__}: {exc}"
             break

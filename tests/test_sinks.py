@@ -157,6 +157,26 @@ def test_files_per_partition_are_few_and_ordered(spark, tmp_dir):
         assert cities == sorted(cities)
 
 
+def test_a_lookup_reads_few_files_of_a_large_day(spark, tmp_dir):
+    """Dealt by ranges, a city's rows are in one or two of a day's files by the row groups' bounds."""
+    import pyarrow.parquet as pq
+
+    df = spark.range(20_000).select(F.lit(1).alias("day"), F.concat(F.lit("c"), (F.col("id") * 7 % 100 + 100).cast("string"))
+                                    .alias("city"), F.col("id").alias("date")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        storage.write_partitioned(sinks.staged_rewrite(df), f"{tmp_dir}/t", ["day"], ["city", "date"], ranges=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = glob.glob(f"{tmp_dir}/t/day=1/*.parquet")
+    groups = [pq.ParquetFile(f).metadata.row_group(g).column(0) for f in files
+              for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert len(files) == 4 and {c.path_in_schema for c in groups} == {"city"}
+    for city in ("c100", "c137", "c199"):
+        assert 1 <= sum(c.statistics.min <= city <= c.statistics.max for c in groups) <= 2
+    assert spark.read.parquet(f"{tmp_dir}/t").where("city = 'c137'").count() == 200
+
+
 def test_a_batch_written_again_replaces_itself(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     for name, n in (("b0", 3), ("b1", 2), ("b0", 4)):
