@@ -5,7 +5,8 @@ match counts when its value and its whole are long enough. Matches that fail sti
 for the pattern without its lengths.
 
 Nulls and odd rows: a null text is an empty one, without spans. Rows are independent of each other; each gives a row,
-also with a null or repeated doc_id. Offsets are code points of the text, the end exclusive.
+also with a null or repeated doc_id; repeated rows give equal rows. Other columns are left behind, whatever their names.
+Offsets are code points of the text, the end exclusive. An empty table gives no rows.
 """
 
 from __future__ import annotations
