@@ -130,10 +130,10 @@ def json_elements(files: DataFrame, lines: bool = False) -> DataFrame:
         rows = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
         elements = F.when(F.col("value").rlike(r"^\s*\{"), rows).otherwise(elements)
     file_cols = [c for c in files.columns if c != "value"]
-    parsed = files.select(*file_cols, elements.alias("_arr"))
-    return parsed.select(*file_cols, F.col("_arr").isNull().alias("bad_file"), F.posexplode_outer("_arr").alias(
-        "pos", "elem")).filter("bad_file or pos is not null") \
-        .withColumn("is_object", F.json_object_keys("elem").isNotNull())
+    # Told before the array is exploded: what is asked of it beside the generator stands above that and has it in every row.
+    parsed = files.select(*file_cols, elements.alias("_arr")).withColumn("bad_file", F.col("_arr").isNull())
+    return parsed.select(*file_cols, "bad_file", F.posexplode_outer("_arr").alias("pos", "elem")) \
+        .filter("bad_file or pos is not null").withColumn("is_object", F.json_object_keys("elem").isNotNull())
 
 
 def _reason(checks: Sequence[tuple[Column, str]]) -> Column:

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -361,3 +362,14 @@ def test_the_write_counts_the_load(spark, tmp_dir):
     assert {r["reason"]: r["n"] for r in counted.stats().collect()} == counted.counts
     assert "Scan parquet" not in counted.stats()._jdf.queryExecution().executedPlan().toString()
     assert lake.read_road(spark, f"{tmp_dir}/road", glob="nothing*.json").once().counts == {}
+
+
+def test_exploded_rows_do_not_carry_their_file(spark, tmp_dir):
+    """A row per element that holds the whole parsed array too takes memory by the square of a file's elements."""
+    write(os.path.join(tmp_dir, "Paris", "X_2024-01-01T05--00--00_2024-01-01T08--00--00.json"), json.dumps([{"a": 1}, 42]))
+    loads = [lake.read_flights(spark, tmp_dir), lake.read_road(spark, tmp_dir), lake.read_pollution_history(spark, tmp_dir),
+             lake.read_weather_history(spark, tmp_dir)]
+    for df in [x for load in loads for x in (load.rows, load.rejects)]:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        carried = re.findall(r"Generate posexplode\w*\(_arr#\d+\), \[([^\]]*)\]", plan)
+        assert carried and not any("_arr" in c or "value" in c for c in carried)
