@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airshed.functions import clean, time as tfn
@@ -43,22 +43,38 @@ def _landed(spark: SparkSession, d: str, feed: str) -> str:
 
 
 def _land(files: DataFrame, root: str) -> None:
-    """Write ``(folder, name, text)`` rows as the files ``root/folder/name``. Only the names pass through the driver."""
+    """Write ``folder, name, head, text, tail`` rows as the files ``root/folder/name``: a file's head, its texts, a line
+    each with commas between, and its tail. The writer passes the lines on, so no task holds a file. Only the names pass
+    through the driver."""
     spark = files.sparkSession
-    numbered = sinks.staged_rewrite(files.withColumn("n", F.xxhash64("folder", "name")), "files")
+    numbered = files.withColumn("n", F.xxhash64("folder", "name"))
+    of_file = Window.partitionBy("n").orderBy("n")
+    placed = numbered.select("n", "head", "text", "tail", F.row_number().over(of_file).alias("at"),
+                             F.lead(F.lit(1)).over(of_file).isNull().alias("last"))
+    line = F.concat(F.when(F.col("at") == 1, F.col("head")).otherwise(","), "text",
+                    F.when(F.col("last"), F.col("tail")).otherwise(""))
     staging = f"{root}-parts"
-    numbered.select("n", "text").write.partitionBy("n").text(staging)
-    for row in numbered.select("n", "folder", "name").collect():
+    placed.select("n", "at", line.alias("text")).sortWithinPartitions("n", "at").select("n", "text") \
+        .write.partitionBy("n").text(staging)
+    for row in numbered.select("n", "folder", "name").distinct().collect():
         part = storage.names_in(spark, f"{staging}/n={row['n']}")
         storage.move(spark, f"{staging}/n={row['n']}/{part[0]}", f"{root}/{row['folder']}/{row['name']}")
     storage.delete(spark, staging)
 
 
-def _dealt(rows: DataFrame, keys: list[str], size: Column, row_id: str) -> DataFrame:
+def _whole(files: DataFrame) -> DataFrame:
+    """``(folder, name, text)`` rows, each a file of its own, as :func:`_land` takes them."""
+    return files.select("folder", "name", F.lit("").alias("head"), "text", F.lit("").alias("tail"))
+
+
+def _dealt(rows: DataFrame, keys: list[str], size: Column, row_id: str, staged: bool = False) -> DataFrame:
     """The rows with ``slot``, the number (as text) of the file of their group that takes them: a hash of the row's id
-    over as many files as the group's bytes ask for."""
+    over as many files as the group's bytes ask for. With ``staged`` the groups, a small table, are written first and so
+    measured once, whatever is asked of the rows."""
     files = rows.groupBy(*[F.col(k).alias(f"of_{k}") for k in keys]).agg(
         F.greatest(F.lit(1), F.ceil(F.sum(size) / FILE_BYTES)).alias("n_files"))
+    if staged:
+        files = sinks.staged_rewrite(files, "groups")
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
@@ -72,10 +88,13 @@ def _array(wrap: str = "") -> Column:
 
 
 def _arrays(events: DataFrame, record: Column, folder: Column, name: Column, wrap: str = "") -> DataFrame:
-    """Files of the ``record`` texts of an event type and ``day``; folder or name holds the file's ``slot``."""
-    rows = events.select("event_id", "event_type", _stamp("ts", "yyyy-MM-dd").alias("day"), record.alias("record"))
-    dealt = _dealt(rows, ["event_type", "day"], F.octet_length("record"), "event_id")
-    return dealt.groupBy(folder.alias("folder"), name.alias("name")).agg(_array(wrap).alias("text"))
+    """Files of the ``record`` texts of an event type and ``day``, an array each, in a JSON object under ``wrap`` if given;
+    folder or name holds the file's ``slot``."""
+    rows = events.withColumn("day", _stamp("ts", "yyyy-MM-dd"))
+    dealt = _dealt(rows, ["event_type", "day"], F.octet_length(record), "event_id", staged=True)
+    head, tail = ('{"' + wrap + '":[', "]}") if wrap else ("[", "]")
+    return dealt.select(folder.alias("folder"), name.alias("name"), F.lit(head).alias("head"), record.alias("text"),
+                        F.lit(tail).alias("tail"))
 
 
 def _k() -> Column:
@@ -117,7 +136,7 @@ def _flight_files(t: Tables) -> DataFrame:
     odd = ev.sparkSession.createDataFrame(
         [("view", "CUT_2024-01-01.json", '[{"type": "arrival"'), ("view", "ONE_2024-01-01.json", '{"type": "arrival"}'),
          ("view", f"notes_{DAY}.txt", "not a feed")], "folder string, name string, text string")
-    return files.unionByName(odd)
+    return files.unionByName(_whole(odd))
 
 
 def _road_files(t: Tables) -> DataFrame:
@@ -183,7 +202,7 @@ def _payload_files(t: Tables) -> DataFrame:
     files = _arrays(t.events, record, F.col("event_type"), _day_file(), wrap="list")
     odd = t.spark.createDataFrame([("view", "cut.json", '{"list": [{"dt": 17'), ("view", "none.json", '{"cod": 200}')],
                                   "folder string, name string, text string")
-    return files.unionByName(odd)
+    return files.unionByName(_whole(odd))
 
 
 def _airport_files(t: Tables) -> DataFrame:
@@ -200,7 +219,7 @@ def _airport_files(t: Tables) -> DataFrame:
     name = F.concat(F.lit("airport_per_city_"), F.col("n_nationkey").cast("string"), F.lit("_"), "slot", F.lit(".json"))
     return dealt.groupBy(F.lit("map").alias("folder"), name.alias("name"), "n_name") \
         .agg(F.collect_list("airport").alias("airports")) \
-        .select("folder", "name", F.to_json(F.create_map("n_name", "airports")).alias("text"))
+        .select("folder", "name", F.to_json(F.create_map("n_name", "airports")).alias("text")).transform(_whole)
 
 
 def _dimension_files(t: Tables) -> DataFrame:
@@ -222,7 +241,7 @@ def _dimension_files(t: Tables) -> DataFrame:
             F.transform("rows", lambda r: r["n_regionkey"].cast("string")).alias("country_codes"),
             F.transform("rows", lambda r: r["n_nationkey"].cast("int")).alias("timezones"),
             F.transform("rows", lambda r: (r["n_nationkey"] % 2).cast("int")).alias("summer_time_addition"))).alias("text"))
-    return boxes.unionByName(coordinates).unionByName(calendar)
+    return _whole(boxes.unionByName(coordinates).unionByName(calendar))
 
 
 def _land_busiest(t: Tables, root: str) -> None:

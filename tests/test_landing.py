@@ -1,5 +1,6 @@
 """Landed files stay bounded: small files land and read back to the same results."""
 
+import json
 import os
 import types
 
@@ -39,3 +40,28 @@ def test_busiest_list_is_written_by_every_task(spark, tmp_path):
     files = [f for f in os.listdir(tmp_path / "csv") if f.endswith(".csv")]
     assert len(files) == 3
     assert lake.read_busiest_airports(spark, str(tmp_path / "csv")).count() == part.count()
+
+
+def events(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-15 07:00:00").cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 9).alias("user_id"), F.lit("click").alias("event_type"), F.col("id").cast("double").alias("value"),
+        F.lit('{"k": 1}').alias("props"))
+
+
+def test_no_task_gathers_a_landed_file(spark):
+    tables = types.SimpleNamespace(events=events(spark, 10), spark=spark)
+    for feed in ("flights", "road", "road-payloads", "pollution-history", "weather-history", "payloads"):
+        plan = w._FEEDS[feed](tables)._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in plan and "array_join" not in plan, feed
+
+
+def test_a_landed_file_is_one_array_of_all_its_records(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(w, "FILE_BYTES", 100_000)
+    rows = events(spark, 9000).repartition(7)                   # more than a window holds in memory at once
+    record = F.to_json(F.struct("event_id"))
+    for wrap in ("", "list"):
+        w._land(w._arrays(rows, record, F.col("event_type"), w._day_file(), wrap), f"{tmp_path}/{wrap or 'flat'}")
+        files = [json.loads(f.read_text()) for f in (tmp_path / (wrap or "flat") / "click").iterdir() if f.suffix == ".json"]
+        found = [r["event_id"] for f in files for r in (f[wrap] if wrap else f)]
+        assert len(files) == 2 and sorted(found) == list(range(9000))
