@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import types
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from airshed import lake_workloads as w
 from airshed.sources import lake
 from airshed.sources.tables import Tables
+from airshed.workloads import REGISTRY
 from tools.oracle_check import run_checks
 
 DATA = "/root/testdata/sf0.001"
@@ -65,3 +67,19 @@ def test_a_landed_file_is_one_array_of_all_its_records(spark, monkeypatch, tmp_p
         files = [json.loads(f.read_text()) for f in (tmp_path / (wrap or "flat") / "click").iterdir() if f.suffix == ".json"]
         found = [r["event_id"] for f in files for r in (f[wrap] if wrap else f)]
         assert len(files) == 2 and sorted(found) == list(range(9000))
+
+
+@pytest.mark.parametrize("name", ["lake_day_files"])
+def test_a_query_explodes_its_files_into_bare_elements(spark, monkeypatch, tmp_path, name):
+    """The results are whole, and what the query reads its files by, staged or not, holds no array or text per element."""
+    events(spark, 400).coalesce(1).write.parquet(f"{tmp_path}/parts")
+    next(tmp_path.glob("parts/*.parquet")).rename(tmp_path / "events.parquet")
+    monkeypatch.setattr(w, "_LANDED", {})
+    read, staged = [], lake.staged_rewrite
+    monkeypatch.setattr(lake, "staged_rewrite", lambda df, *label: read.append(df) or staged(df, *label))
+    result = REGISTRY[name].run(spark, str(tmp_path))
+    for df in read or [result]:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        carried = re.findall(r"Generate posexplode\w*\(_arr#\d+\), \[([^\]]*)\]", plan)
+        assert carried and not any("_arr" in c or "value" in c for c in carried)
+    assert [s for _, s, _ in run_checks(spark, str(tmp_path), only={name})] == ["OK"]
