@@ -69,7 +69,8 @@ def test_a_landed_file_is_one_array_of_all_its_records(spark, monkeypatch, tmp_p
         assert len(files) == 2 and sorted(found) == list(range(9000))
 
 
-@pytest.mark.parametrize("name", ["lake_day_files", "lake_pollution_history", "road_reload_round_trip", "lake_flight_rejects"])
+@pytest.mark.parametrize("name", ["lake_day_files", "lake_pollution_history", "road_reload_round_trip", "lake_flight_rejects",
+                                  "lake_departures"])
 def test_a_query_explodes_its_files_into_bare_elements(spark, monkeypatch, tmp_path, name):
     """The results are whole, and what the query reads its files by, staged or not, holds no array or text per element."""
     events(spark, 400).coalesce(1).write.parquet(f"{tmp_path}/parts")
