@@ -2,6 +2,7 @@
 
 import glob
 import os
+import time
 import uuid
 
 import pyarrow as pa
@@ -197,3 +198,8 @@ def test_a_strict_load_does_not_collide_with_itself(spark, tmp_dir):
     with pytest.raises(ValueError, match="2 conflicting keys"):
         load("b", rows)
     assert content(spark, path) == [(1, 1), (2, 2)]
+
+
+def test_other_threads_keep_their_sleep(monkeypatch):
+    monkeypatch.setattr(storage.time, "sleep", None)
+    assert callable(time.sleep) and storage.time.time() <= time.time()
